@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mailtriage import constants as K
 from mailtriage.functions import headers as H, text as X, urls as U
+from mailtriage.functions.literals import among
 
 _TERM_SETS = {
     "urgency_term_count": K.URGENCY_TERMS, "account_term_count": K.ACCOUNT_TERMS,
@@ -17,7 +18,7 @@ _DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉]"
 
 
 def term_count(hits: Column, terms: list[str]) -> Column:
-    return F.size(F.filter(hits, lambda h: h.isin(terms)))
+    return F.size(F.filter(hits, lambda h: among(h, terms)))
 
 
 def numeric_features(df: DataFrame, subject: str, body: str, sender_domain: str, urls: str) -> DataFrame:
@@ -46,7 +47,7 @@ def numeric_features(df: DataFrame, subject: str, body: str, sender_domain: str,
         "digit_ratio": F.bround(count(t, _DIGIT) / F.col("_n"), 4),
         "currency_symbol_count": count(low, "[$€£¥]|sgd|usd|eur|gbp"),
         **{name: term_count(F.col("_hits"), terms) for name, terms in _TERM_SETS.items()},
-        "sender_is_free_mail": F.col(sender_domain).isin(K.FREE_MAIL_DOMAINS),
+        "sender_is_free_mail": among(F.col(sender_domain), K.FREE_MAIL_DOMAINS),
         "ip_url_count": F.size(F.filter(hosts, lambda h: h.rlike(U.IPV4))),
         "hyphenated_url_count": F.size(F.filter(hosts, lambda h: h.rlike("-[^-]*-"))),
         "link_token_count": count(low, r"https?://|www\.|bit\.ly|tinyurl|click"),

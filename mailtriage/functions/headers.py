@@ -43,7 +43,7 @@ def split_message(raw: Column) -> Column:
 
 def header_value(header: Column, field: str) -> Column:
     """First value of a field, folded lines kept as they are; null when absent."""
-    pattern = rf"(?im)^{field}:[ \t]*(.*(?:\n[ \t].*)*)"
+    pattern = rf"(?im)^{field}:[ \t]*(.*(?:\n[ \t].*)*+)"
     return F.when(header.rlike(rf"(?im)^{field}:"), F.regexp_extract(header, pattern, 1))
 
 

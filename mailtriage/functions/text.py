@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, functions as F
 
 from mailtriage import constants as K
+from mailtriage.functions.literals import among
 
 # white space as a text user sees it, with the four ASCII separators Java leaves out
 _SPACE = r"[\s\x1c-\x1f]"
@@ -43,7 +44,7 @@ def collapse_spaces(c: Column, by: str = " ") -> Column:
 def clean_value(c: Column) -> Column:
     """Trim; null and placeholder words such as ``nan`` become the empty string."""
     trimmed = strip(F.coalesce(c.cast("string"), F.lit("")))
-    return F.when(F.lower(trimmed).isin(K.PLACEHOLDER_VALUES), "").otherwise(trimmed)
+    return F.when(among(F.lower(trimmed), K.PLACEHOLDER_VALUES), "").otherwise(trimmed)
 
 
 def fill_text(df, columns: Iterable[str]):
@@ -154,7 +155,7 @@ def keyword_tokens(c: Column) -> Column:
 def candidate_keywords(c: Column, stop_words: Iterable[str] | None = None) -> Column:
     """Distinct tokens in first-seen order, without stop words and words in -ly."""
     stops = list(stop_words or K.COMMON_WORDS + K.POSITIVE_WORDS + K.WEAK_SIGNAL_WORDS)
-    kept = F.filter(keyword_tokens(c), lambda t: ~t.endswith("ly") & ~t.isin(stops))
+    kept = F.filter(keyword_tokens(c), lambda t: ~t.endswith("ly") & ~among(t, stops))
     return F.array_distinct(kept)
 
 

@@ -8,14 +8,16 @@ from pyspark.sql import Column, functions as F
 
 from mailtriage import constants as K
 from mailtriage.functions import text as X
+from mailtriage.functions.literals import among
 
 _LABEL = r"[a-zA-Z0-9](?:[a-zA-Z0-9\-]{0,61}[a-zA-Z0-9])?"
-_BODY_URL = rf"(?U)(?:https?://|www\.){_LABEL}(?:\.{_LABEL})*(?:[/?#][^\s]*)?"
+# possessive groups: the engine loops over them instead of recursing into them
+_BODY_URL = rf"(?U)(?:https?://|www\.){_LABEL}(?:\.{_LABEL})*+(?:[/?#][^\s]*)?"
 _RAW_URL = r"(?U)((?:https?://|www\.)[^\s,\)\]>\[}]+)"
 _TEXT_URL = r"(?iU)https?://([^/\s,]+)"
 # \G or a run start: a long run without '@' is read once, not once per position
 _TEXT_ADDRESS = r"(?U)(?:\G|(?<![\w.-]))[\w.-]++@([\w.-]+\.\w+)"
-_HOST = rf"^(?:{_LABEL}\.)*{_LABEL}\z"
+_HOST = rf"^(?:{_LABEL}\.)*+{_LABEL}\z"
 IPV4 = r"^\d{1,3}(?:\.\d{1,3}){3}\z"
 _AUTHORITY = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)"
 
@@ -108,8 +110,8 @@ def base_domain(url: Column) -> Column:
     host = F.regexp_replace(host, r"(?s)[/?#].*\z", "")
     parts = F.split(host, r"\.")
     n = F.size(parts)
-    pair = (F.try_element_at(parts, F.lit(-2)).isin(K.SECOND_LEVEL_LABELS)
-            & F.try_element_at(parts, F.lit(-1)).isin(K.SECOND_LEVEL_COUNTRIES))
+    pair = (among(F.try_element_at(parts, F.lit(-2)), K.SECOND_LEVEL_LABELS)
+            & among(F.try_element_at(parts, F.lit(-1)), K.SECOND_LEVEL_COUNTRIES))
     keep = F.when(F.coalesce(pair, F.lit(False)), 3).otherwise(2)
     return F.when(n > 2, F.array_join(F.slice(parts, n - keep + 1, keep), ".")).otherwise(host)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mailtriage import constants as K
 from mailtriage.functions import urls as U
+from mailtriage.functions.literals import strings
 from mailtriage.operators.lookup import lookup
 from mailtriage.operators.ordering import numbered
 
@@ -75,7 +76,7 @@ def domain_counts(mails: DataFrame, suffixes: Iterable[str] | None = None) -> Da
 def legitimacy_score(domain: Column, count: Column, spam: Column, ham: Column) -> Column:
     """0 to 100, neutral at 50."""
     def mentions(words):
-        return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(domain, w))
+        return F.exists(strings(words), lambda w: F.contains(domain, w))
 
     points = [
         F.when(mentions(K.KNOWN_LEGIT_DOMAINS), 40),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mailtriage import constants as K
+from mailtriage.functions.literals import among, mapping
 
 
 def readable_reason(source: Column, value: Column, name_numeric: bool = False) -> Column:
@@ -14,8 +15,8 @@ def readable_reason(source: Column, value: Column, name_numeric: bool = False) -
     them is named; ``name_numeric`` looks up the plain name instead.
     """
     text = F.trim(F.regexp_replace(F.replace(value, F.lit("_"), F.lit(" ")), r"\s+", " "))
-    usable = (F.length(text) >= 3) & text.rlike("[A-Za-z]") & ~text.isin(K.GENERIC_TOKENS)
-    labels = F.create_map(*[F.lit(x) for pair in K.NUMERIC_FEATURES.items() for x in pair])
+    usable = (F.length(text) >= 3) & text.rlike("[A-Za-z]") & ~among(text, K.GENERIC_TOKENS)
+    labels = mapping(K.NUMERIC_FEATURES)
     return (F.when(source == "numeric", F.try_element_at(labels, value if name_numeric else text))
             .when((source == "subject_word") & usable, F.concat(F.lit('Subject mentions "'), text, F.lit('"')))
             .when((source == "body_word") & usable, F.concat(F.lit('Body contains "'), text, F.lit('"'))))

@@ -12,15 +12,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mailtriage import constants as K
 from mailtriage.functions import text as X
+from mailtriage.functions.literals import mapping, strings
 from mailtriage.operators.lookup import lookup
 
 _UNIT = 20
 
 
-def _weights(weights: dict[str, int]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
-
-
 def _times(hits: Column, term: Column) -> Column:
     return F.size(F.filter(hits, lambda h: h == term))
 
@@ -30,7 +27,7 @@ def _total(items: Column, points) -> Column:
 
 
 def _in(words: Column, cluster: list[str]) -> Column:
-    return F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in cluster])))
+    return F.size(F.array_intersect(words, strings(cluster)))
 
 
 def lexicon_score(mails: DataFrame, subject: str = "subject", body: str = "body",
@@ -38,9 +35,8 @@ def lexicon_score(mails: DataFrame, subject: str = "subject", body: str = "body"
                   phrases: dict[str, int] = K.PHRASE_WEIGHTS) -> DataFrame:
     """Mails with ``keyword_part``, ``phrase_part``, ``bonus_part``, ``keyword_score``,
     ``keyword_label``, ``matched`` (text order) and ``keywords`` (cleaned, sorted)."""
-    weight, phrase_weight = _weights(keywords), _weights(phrases)
-    words_of = F.create_map(*[x for p in phrases for x in (
-        F.lit(p), F.array(*[F.lit(w) for w in p.split() if w in keywords]).cast("array<string>"))])
+    weight, phrase_weight = mapping(keywords), mapping(phrases)
+    words_of = mapping({p: " ".join(w for w in p.split() if w in keywords) for p in phrases})
 
     # Stages keep every regex result in a column, so that none is evaluated twice.  Only the
     # keyword pass reads all texts; if every phrase holds a keyword, the rest of the work
@@ -57,7 +53,7 @@ def lexicon_score(mails: DataFrame, subject: str = "subject", body: str = "body"
         "_words": F.array_distinct(F.concat("_hs", "_hb")), "_hp": X.term_hits(F.col("_all"), phrases),
         "_tokens": X.token_terms(F.col("_all"), keywords),
     }).withColumn("_phrases", F.array_distinct("_hp")).withColumn("_matched", F.array_union("_words", F.flatten(
-        F.transform("_phrases", lambda p: words_of[p]))))
+        F.transform("_phrases", lambda p: F.filter(F.split(words_of[p], " "), lambda w: w != "")))))
 
     def keyword_points(k: Column) -> Column:
         w, repeats = weight[k], _times(F.col("_hb"), k) - 1

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mailtriage import constants as K
 from mailtriage.functions import urls as U
+from mailtriage.functions.literals import no_strings, strings
 from mailtriage.operators.lookup import lookup
 
 NO_SITE_DISTANCE = 99
@@ -37,8 +38,8 @@ def deletion_keys(word: Column, distance: Column) -> Column:
     two = F.flatten(F.transform(one, lambda s: F.transform(
         _drop_one(s["w"], s["i"]), lambda t: t["w"])))
     words = F.concat(F.array(word), F.when(distance >= 1, F.transform(one, lambda s: s["w"]))
-                     .otherwise(F.array().cast("array<string>")),
-                     F.when(distance >= 2, two).otherwise(F.array().cast("array<string>")))
+                     .otherwise(no_strings()),
+                     F.when(distance >= 2, two).otherwise(no_strings()))
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
@@ -132,7 +133,7 @@ def brand_impersonation(domains: DataFrame, brands: DataFrame, suffixes: Iterabl
     seen = lookup(tokens, facts, "token", F.col("domain"), small)
 
     risky = F.array_sort(F.array_intersect(
-        F.filter("_t", lambda t: t != F.col("token")), F.array(*[F.lit(m) for m in K.RISKY_BRAND_MODIFIERS])))
+        F.filter("_t", lambda t: t != F.col("token")), strings(K.RISKY_BRAND_MODIFIERS)))
     reused = F.when(F.col("_exact").isNotNull() & (F.size(risky) > 0), F.struct(
         F.col("_exact").alias("site"), F.array_join(F.slice(risky, 1, 3), ", ").alias("words")))
     found = seen.groupBy("domain").agg(F.min(reused).alias("_r"), F.min("_near").alias("_n"))

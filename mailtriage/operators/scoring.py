@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mailtriage import constants as K
 from mailtriage.functions import features as FE, headers as H, text as X, urls as U
+from mailtriage.functions.literals import among, no_strings
 from mailtriage.operators.lexicon import lexicon_score
 from mailtriage.operators.links import decide, url_facts
 from mailtriage.operators.lookalike import nearest_sites
@@ -44,7 +45,7 @@ def mail_requests(mails: DataFrame, key: str) -> DataFrame:
 
 def raw_links(body: Column, url: Column, suffixes: Iterable[str] | None = None) -> Column:
     """Domains of the body's links followed by the supplied URL, first seen first."""
-    found = F.coalesce(U.body_domains(body, suffixes), F.array().cast("array<string>"))
+    found = F.coalesce(U.body_domains(body, suffixes), no_strings())
     return X.first_seen(F.concat(found, F.array(url)))
 
 
@@ -108,8 +109,8 @@ def risk_level(score: Column) -> Column:
 
 def sender_status(category: Column) -> Column:
     low = F.lower(category)
-    return (F.when(low.isin(K.RISKY_CATEGORIES), "Suspicious")
-            .when(low.isin(K.WATCH_CATEGORIES), "Unknown").otherwise("Trusted"))
+    return (F.when(among(low, K.RISKY_CATEGORIES), "Suspicious")
+            .when(among(low, K.WATCH_CATEGORIES), "Unknown").otherwise("Trusted"))
 
 
 def fuse(df: DataFrame) -> DataFrame:
@@ -119,7 +120,7 @@ def fuse(df: DataFrame) -> DataFrame:
     not depend on binary fractions.
     """
     suspicious, alike = F.size("suspicious_urls") > 0, F.size("lookalikes") > 0
-    risky = F.lower("sender_category").isin(K.RISKY_CATEGORIES)
+    risky = among(F.lower("sender_category"), K.RISKY_CATEGORIES)
     flags = df.withColumn("check_flags", F.struct(
         (F.col("model_prediction") == "Spam").alias("trained_model"),
         (F.col("keyword_score") >= 50).alias("keyword_scan"), suspicious.alias("url_safety"),
@@ -170,8 +171,8 @@ def reasons() -> Column:
         F.when(F.size("lookalikes") > 0, _text(
             'Lookalike domain detected: "', first["source"], '" is close to trusted site "', first["closest"],
             '" (distance ', first["distance"], ").")),
-        F.when(low.isin(K.RISKY_CATEGORIES), _text("Sender domain ", host, " is marked as ", cat, "."))
-        .when(low.isin(K.WATCH_CATEGORIES) & (host != "Not Found"),
+        F.when(among(low, K.RISKY_CATEGORIES), _text("Sender domain ", host, " is marked as ", cat, "."))
+        .when(among(low, K.WATCH_CATEGORIES) & (host != "Not Found"),
               _text("Sender domain ", host, " is not strongly trusted in the domain dataset.")),
     ))
     nothing = (F.size(found) == 0) & (F.col("final_label") == "Safe")
@@ -238,7 +239,7 @@ def score_mails(mails: DataFrame, trusted: DataFrame, safe: DataFrame, reputatio
 
 def error_record(df: DataFrame, error: Column) -> DataFrame:
     """Default record for rows that could not be scored."""
-    strings = F.array().cast("array<string>")
+    strings = no_strings()
     no = F.lit(False)
     return df.withColumns({
         "error": error, "final_label": F.lit("Error"), "overall_score": F.lit(0.0),

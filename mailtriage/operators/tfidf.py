@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailtriage import constants as K
 from mailtriage.functions import text as X
+from mailtriage.functions.literals import no_strings
 from mailtriage.operators.lookup import computed_once
 
 SUBLINEAR = "sublinear_counts"
@@ -48,17 +49,16 @@ def char_terms(text: Column, sizes: Iterable[int] = (3, 4, 5)) -> Column:
     sizes = list(sizes)
     words = F.filter(F.split(X.normalise(text), " "), lambda w: w != "")
 
+    def windows(padded: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1)))
+        found = F.transform(starts, lambda i: F.substring(padded, i, F.lit(n)))
+        # too short for n: only the smallest size takes the word whole
+        return found if n == min(sizes) else F.when(F.length(padded) >= n, found).otherwise(
+            no_strings())
+
     def grams(word: Column) -> Column:
         padded = F.concat(F.lit(" "), word, F.lit(" "))
-        length = F.length(padded)
-        per_size = []
-        for n in sizes:
-            windows = F.transform(F.sequence(F.lit(1), F.greatest(length - n + 1, F.lit(1))),
-                                  lambda i, n=n: F.substring(padded, i, F.lit(n)))
-            # too short for n: only the first size that covers the word counts it
-            take = length >= n if n != sizes[0] else F.lit(True)
-            per_size.append(F.when(take, windows).otherwise(F.array().cast("array<string>")))
-        return F.concat(*per_size)
+        return F.concat(*[windows(padded, n) for n in sizes])
 
     return F.flatten(F.transform(words, grams))
 

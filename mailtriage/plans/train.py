@@ -56,8 +56,9 @@ def fit(corpus: DataFrame, key: str = "email_id", test_size: float = 0.2, seed:
     require_columns(corpus, K.REQUIRED_COLUMNS)
     spark = corpus.sparkSession
     labelled = corpus.withColumn("label", F.col("label").cast("int"))
-    table = feature_table(labelled, [key, "label"], stops)
-    rows = staged_table(O.stratified_split(table, key, "label", test_size, seed), "features")
+    # the split reads keys and labels only, so it comes before the features
+    split = O.stratified_split(labelled, key, "label", test_size, seed)
+    rows = staged_table(feature_table(split, [key, "label", "is_test"], stops), "features")
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
 
     weights = M.class_weights(train)
