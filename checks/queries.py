@@ -11,7 +11,7 @@ from mailtriage.functions import features as FE, headers as H, text as X, urls a
 from mailtriage.operators import (domains as D, explain as EX, lexicon as LX, links as LK, lookalike as LA,
                                   metrics as M, ordering as O, quality as QA, scoring as S, sender as SE, tfidf as T)
 from mailtriage.plans import corpus as PC, score as PS, train as TR
-from mailtriage.session import staging_dir
+from mailtriage.session import spread_small, staging_dir
 from mailtriage.sources import corpus as C, files as FS, sinks as SK
 
 SUF = C.CORPUS_SUFFIXES
@@ -289,7 +289,7 @@ def corpus_csv_round_trip(spark, sf):
     r"regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?>.*?</script>', ' ', 'g'), "
     r"'(?is)<style.*?>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g')") + " AS text FROM pages")
 def html_stripped(spark, sf):
-    return C.table(spark, sf, "pages").select("page_id", X.strip_html(F.col("html")).alias("text"))
+    return spread_small(C.table(spark, sf, "pages")).select("page_id", X.strip_html(F.col("html")).alias("text"))
 
 
 def _sql_entities(c):
@@ -311,7 +311,7 @@ def _sql_html_text():
 
 @query(f"SELECT page_id, {_sql_html_text()} AS text FROM pages")
 def html_text(spark, sf):
-    return C.table(spark, sf, "pages").select("page_id", X.html_to_text(F.col("html")).alias("text"))
+    return spread_small(C.table(spark, sf, "pages")).select("page_id", X.html_to_text(F.col("html")).alias("text"))
 
 
 # --- text normalisation ------------------------------------------------------------------

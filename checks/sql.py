@@ -163,10 +163,10 @@ found AS (
 # --- lexicon ---------------------------------------------------------------------
 
 def lexicon(source="emails"):
-    doubled = rf"regexp_replace(t, '({NW})', '\1\1', 'g')"
-    phrase = rf"'(?:^|{NW})' || replace(phrase, ' ', '  ') || '(?:$|{NW})'"
+    counted = " UNION ALL ".join(
+        f"SELECT email_id, {q(p)} AS phrase, {w} AS pw, len(regexp_extract_all(dt, "
+        f"'(?:^|{NW}){p.replace(' ', '  ')}(?:$|{NW})')) AS hits FROM doubled" for p, w in K.PHRASE_WEIGHTS.items())
     return f"""weights(term, w) AS {values(list(K.KEYWORD_WEIGHTS.items()))},
-phrases(phrase, pw) AS {values(list(K.PHRASE_WEIGHTS.items()))},
 texts AS (SELECT email_id, subject, body, {strip(f"{normal('subject')} || ' ' || {normal('body')}")} AS t FROM {source}),
 runs AS (
   SELECT email_id, 1 AS s, 0 AS b, unnest(regexp_extract_all(lower(coalesce(subject, '')), '{W}+')) AS term FROM texts
@@ -174,10 +174,8 @@ runs AS (
   SELECT email_id, 0, 1, unnest(regexp_extract_all(lower(coalesce(body, '')), '{W}+')) FROM texts
 ), kw AS (
   SELECT email_id, term, w, sum(s) AS s, sum(b) AS b FROM runs JOIN weights USING (term) GROUP BY ALL
-), ph AS (
-  SELECT * FROM (SELECT email_id, phrase, pw, len(regexp_extract_all({doubled}, {phrase})) AS hits
-                 FROM texts, phrases) WHERE hits > 0
-), matched AS (
+), doubled AS MATERIALIZED (SELECT email_id, regexp_replace(t, '({NW})', '\\1\\1', 'g') AS dt FROM texts),
+ph AS (SELECT * FROM ({counted}) WHERE hits > 0), matched AS (
   SELECT email_id, term FROM kw
   UNION SELECT email_id, unnest(string_split(phrase, ' ')) FROM ph
 ), lex_words AS (

@@ -40,6 +40,21 @@ def staging_dir(spark: SparkSession) -> str:
     return found
 
 
+SPLIT_BYTES = 128 << 20
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a scan that is too small to occupy all cores.
+
+    A few row groups give a few tasks, however many cores there are, and text work is bound
+    by cores.  A scan with at least one split per core is returned as it is, so large
+    tables are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SPLIT_BYTES else df
+
+
 def staged_table(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the staging folder and read it back.
 
@@ -49,5 +64,6 @@ def staged_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # small row groups, so that a wide staged row set is read by many tasks
+    df.write.option("parquet.block.size", 8 << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
