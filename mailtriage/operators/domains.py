@@ -60,9 +60,11 @@ def domain_counts(mails: DataFrame, suffixes: Iterable[str] | None = None) -> Da
     Counts and flags are fixed-width, so a domain that occurs in every third mail shrinks
     to one row per input partition before the only shuffle.
     """
+    # outer: an inner explode makes the planner test the list's size in a filter of its
+    # own, which would run every pattern twice
     rows = mail_domains(mails, suffixes).select(
-        "label", "from", "urls", F.explode("domains").alias("domain")
-    ).select("domain", "label", _inside(F.col("domain"), "from").alias("_from"),
+        "label", "from", "urls", F.explode_outer("domains").alias("domain")
+    ).where("domain is not null").select("domain", "label", _inside(F.col("domain"), "from").alias("_from"),
              _inside(F.col("domain"), "urls").alias("_urls"))
     spam = F.coalesce(F.col("label") == 1, F.lit(False))
     return rows.groupBy("domain").agg(

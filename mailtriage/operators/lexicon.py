@@ -95,8 +95,8 @@ def keyword_hits(mails: DataFrame, terms: DataFrame, key: str = "email_id", subj
         found = F.regexp_extract_all(X.normalise(F.col(column)), F.lit(r"(?U)\w+"), F.lit(0))
         return F.transform(found, lambda t: F.struct(t.alias("term"), F.lit(s).alias("s"), F.lit(b).alias("b")))
 
-    tagged = mails.select(key, F.explode(F.concat(runs(subject, 1, 0), runs(body, 0, 1))).alias("t")).select(
-        key, "t.*")
+    tagged = mails.select(key, F.explode_outer(F.concat(runs(subject, 1, 0), runs(body, 0, 1))).alias("t")).select(
+        key, "t.*").where("term is not null")
     if small:
         tagged = tagged.join(F.broadcast(dim), "term", "left_semi")
     counted = tagged.groupBy(key, "term").agg(F.sum("s").alias("subject_hits"), F.sum("b").alias("body_hits"))
@@ -111,7 +111,7 @@ def phrase_hits(mails: DataFrame, key: str = "email_id", subject: str = "subject
     """key, phrase, hits: one row per phrase that occurs in a mail."""
     text = X.strip(F.concat(X.normalise(F.col(subject)), F.lit(" "), X.normalise(F.col(body))))
     found = mails.select(key, X.term_hits(text, phrases).alias("_h"))
-    return found.select(key, "_h", F.explode(F.array_distinct("_h")).alias("phrase")).select(
+    return found.select(key, "_h", F.explode_outer(F.array_distinct("_h")).alias("phrase")).where("phrase is not null").select(
         key, "phrase", _times(F.col("_h"), F.col("phrase")).alias("hits"))
 
 

@@ -15,6 +15,7 @@ from mailtriage import constants as K
 from mailtriage.functions import urls as U
 from mailtriage.functions.literals import no_strings, strings
 from mailtriage.operators.lookup import lookup
+from mailtriage.session import staged_table
 
 NO_SITE_DISTANCE = 99
 BLOCK_SITES = 1000
@@ -53,9 +54,9 @@ def edit_neighbours(left: DataFrame, right: DataFrame, allowed: Column | None =
     """
     bound = F.lit(most) if allowed is None else allowed
     a = left.select("left").distinct().select(
-        "left", F.explode(deletion_keys(F.col("left"), F.lit(most))).alias("_v"))
+        "left", F.explode_outer(deletion_keys(F.col("left"), F.lit(most))).alias("_v"))
     b = right.select("right").distinct().select("right", bound.alias("_d")).select(
-        "right", "_d", F.explode(deletion_keys(F.col("right"), F.col("_d"))).alias("_v"))
+        "right", "_d", F.explode_outer(deletion_keys(F.col("right"), F.col("_d"))).alias("_v"))
     gap = F.call_function("levenshtein", F.col("left"), F.col("right"), F.col("_d"))
     pairs = a.join(b, "_v").where(F.abs(F.length("left") - F.length("right")) <= F.col("_d"))
     return (pairs.withColumn("distance", gap).where("distance >= 0")
@@ -71,8 +72,10 @@ def nearest_sites(domains: DataFrame, sites: DataFrame, order: Column | None = N
     variant join.  The rest is folded over blocks of sites: one row per domain and block
     leaves the fold, never one per pair, and the best distance so far bounds the next test.
     """
-    targets = domains.select(F.col(domain).alias("left")).distinct()
-    named = sites.select(F.col("domain").alias("right"), (F.col("domain") if order is None else order).alias("_o"))
+    # both sides are read several times below
+    targets = staged_table(domains.select(F.col(domain).alias("left")).distinct(), "targets")
+    named = staged_table(sites.select(
+        F.col("domain").alias("right"), (F.col("domain") if order is None else order).alias("_o")), "sites")
     close = edit_neighbours(targets, named).join(named.groupBy("right").agg(F.min("_o").alias("_o")), "right")
     best_close = close.groupBy("left").agg(
         F.min(F.struct("distance", "_o", F.col("right").alias("site"))).alias("_best"))
@@ -118,7 +121,7 @@ def brand_impersonation(domains: DataFrame, brands: DataFrame, suffixes: Iterabl
     """
     label = U.domain_label(F.col("domain"), suffixes)
     parts = domains.select("domain").distinct().withColumn("_t", U.label_tokens(label))
-    tokens = parts.select("domain", "_t", F.explode(F.array_distinct("_t")).alias("token")).where(
+    tokens = parts.select("domain", "_t", F.explode_outer(F.array_distinct("_t")).alias("token")).where(
         F.length("token") >= 4)
     known = brands.where(F.length("brand") >= 4)
 

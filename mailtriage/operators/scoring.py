@@ -58,8 +58,9 @@ def mail_links(requests: DataFrame, key: str, suffixes: Iterable[str] | None = N
     links = raw_links(F.col("body"), F.col("url"), suffixes)
     if not raw:
         links = X.first_seen(F.transform(links, U.base_domain))
+    # outer, so that the planner does not add a filter that evaluates the list again
     return requests.select(key, H.text_host(F.col("sender")).alias("sender_domain"),
-                           F.posexplode(links).alias("pos", "url"))
+                           F.posexplode_outer(links).alias("pos", "url")).where("pos is not null")
 
 
 def link_results(links: DataFrame, key: str, trusted: DataFrame, safe: DataFrame,

@@ -86,7 +86,7 @@ def block_stats(df: DataFrame, columns: dict[str, str]) -> DataFrame:
                         F.transform(F.array_distinct(terms), lambda t: row(t, 0, 1)))
 
     rows = F.concat(*[counted(block, terms) for block, terms in columns.items()])
-    return df.select(F.explode(rows).alias("t")).select("t.*").groupBy("block", "term").agg(
+    return df.select(F.explode_outer(rows).alias("t")).select("t.*").where("term is not null").groupBy("block", "term").agg(
         F.sum("o").alias("tf"), F.sum("d").alias("df"))
 
 
@@ -105,7 +105,7 @@ def tfidf_rows(df: DataFrame, terms: str, key: str, vocab: DataFrame, n_rows: Co
     ``vocab`` holds at most the block's term cap, so it is broadcast and drops terms
     before the count per mail.
     """
-    long = df.select(key, F.explode(terms).alias("term")).join(F.broadcast(vocab.select("term", "df")), "term")
+    long = df.select(key, F.explode_outer(terms).alias("term")).join(F.broadcast(vocab.select("term", "df")), "term")
     counted = long.groupBy(key, "term").agg(F.count("*").alias("n"), F.first("df").alias("df"))
     weighted = counted.withColumn("w", (1 + F.log("n")) * idf(F.col("df"), n_rows))
     norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
