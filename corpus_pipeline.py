@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mailtriage.llm import packing, pii, toxicity
+from mailtriage.llm import langid, packing, pii, toxicity
+from mailtriage.llm.common import fold
 from mailtriage.llm.queries import PII_KEY, table
 from mailtriage.session import staged_table
 
@@ -15,6 +16,11 @@ def clean_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or whose best language has less than 0.35 of the positions, go."""
+    return langid.drop_unknown(docs, langid.fit(docs, fold("doc_id", 4) != 2), min_score=0.35)
+
+
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms; n_chars counts the new text."""
     return pii.hide(docs, PII_KEY)
@@ -25,7 +31,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("toxicity", clean_toxic), ("pii", hide_personal_data), ("packing", pack)]
+STAGES = [("toxicity", clean_toxic), ("language", known_language), ("pii", hide_personal_data), ("packing", pack)]
 #: The stages score, sample hashes and encode tokens, which SQL cannot express.
 ORACLE_SQL = None
 

@@ -33,7 +33,7 @@ def text_groups(batches: Iterable[pa.RecordBatch], limit: int = BATCH_BYTES) ->
     """Batches cut so that each holds about ``limit`` bytes of text, one row at least."""
     for batch in batches:
         at = batch.schema.get_field_index("text")
-        sizes = pc.binary_length(batch.column(at)).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for row, size in enumerate(sizes):
             if row > start and held + size > limit:

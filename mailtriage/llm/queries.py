@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtriage.llm import packing, pii, toxicity
+from mailtriage.llm import langid, packing, pii, toxicity
 from mailtriage.llm.common import fold
 
 PII_KEY = b"mailtriage pseudonym key"
@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, fold("doc_id", 4) != 2)
+    return langid.identify(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
 
@@ -35,6 +41,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op10_packing": op10_packing,
+    "op2_language": op2_language, "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
