@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mailtriage.llm import langid, packing, pii, toxicity
+from mailtriage.llm import langid, minhash, packing, pii, toxicity
 from mailtriage.llm.common import fold
 from mailtriage.llm.queries import PII_KEY, table
 from mailtriage.session import staged_table
@@ -21,6 +21,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return langid.drop_unknown(docs, langid.fit(docs, fold("doc_id", 4) != 2), min_score=0.35)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every class of near duplicates the document with the smallest id stays."""
+    return minhash.drop_duplicates(docs)
+
+
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms; n_chars counts the new text."""
     return pii.hide(docs, PII_KEY)
@@ -31,7 +36,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("toxicity", clean_toxic), ("language", known_language), ("pii", hide_personal_data), ("packing", pack)]
+STAGES = [("toxicity", clean_toxic), ("language", known_language), ("minhash", one_of_each), ("pii", hide_personal_data), ("packing", pack)]
 #: The stages score, sample hashes and encode tokens, which SQL cannot express.
 ORACLE_SQL = None
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtriage.llm import langid, packing, pii, toxicity
+from mailtriage.llm import langid, minhash, packing, pii, toxicity
 from mailtriage.llm.common import fold
 
 PII_KEY = b"mailtriage pseudonym key"
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, fold("doc_id", 4) != 2)
@@ -41,6 +45,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_language": op2_language, "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op10_packing": op10_packing,
+    "op1_minhash": op1_minhash, "op2_language": op2_language, "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
