@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtriage.llm import langid, minhash, packing, pii, toxicity
+from mailtriage.llm import langid, minhash, packing, pii, sentencepieces, toxicity
 from mailtriage.llm.common import fold
 
 PII_KEY = b"mailtriage pseudonym key"
@@ -39,12 +39,22 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "hits")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = sentencepieces.decode(sentencepieces.encode(table(spark, sf_dir, "documents"), model), model)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_minhash": op1_minhash, "op2_language": op2_language, "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op10_packing": op10_packing,
+    "op1_minhash": op1_minhash, "op2_language": op2_language, "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op9_sentencepiece": op9_sentencepiece,
+    "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
