@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtriage.llm import langid, minhash, packing, pii, sentencepieces, spotsigs, toxicity
+from mailtriage.llm import langid, minhash, packing, pii, pivots, sentencepieces, spotsigs, toxicity
 from mailtriage.llm.common import fold
 
 PII_KEY = b"mailtriage pseudonym key"
@@ -39,6 +39,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "hits")
 
 
+def op7_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
@@ -60,7 +64,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_minhash": op1_minhash, "op2_language": op2_language, "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op8_spotsigs": op8_spotsigs, "op9_sentencepiece": op9_sentencepiece,
+    "op1_minhash": op1_minhash, "op2_language": op2_language, "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op7_pivots": op7_pivots, "op8_spotsigs": op8_spotsigs, "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
