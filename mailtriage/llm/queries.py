@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtriage.llm import langid, minhash, packing, pii, pivots, sentencepieces, spotsigs, toxicity
+from mailtriage.llm import hmm, langid, minhash, packing, pii, pivots, sentencepieces, spotsigs, toxicity
 from mailtriage.llm.common import fold
 
 PII_KEY = b"mailtriage pseudonym key"
@@ -28,6 +28,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op3_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = hmm.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return scored.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
 
@@ -64,7 +69,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_minhash": op1_minhash, "op2_language": op2_language, "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op7_pivots": op7_pivots, "op8_spotsigs": op8_spotsigs, "op9_sentencepiece": op9_sentencepiece,
+    "op1_minhash": op1_minhash, "op2_language": op2_language, "op3_hmm": op3_hmm, "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op7_pivots": op7_pivots, "op8_spotsigs": op8_spotsigs, "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
