@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtriage.llm import hmm, langid, minhash, packing, pii, pivots, sentencepieces, spotsigs, toxicity
+from mailtriage.llm import hmm, langid, licenses, minhash, packing, pii, pivots, sentencepieces, spotsigs, toxicity
 from mailtriage.llm.common import fold
 
 PII_KEY = b"mailtriage pseudonym key"
@@ -37,6 +37,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -69,7 +73,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_minhash": op1_minhash, "op2_language": op2_language, "op3_hmm": op3_hmm, "op4_pii": op4_pii, "op6_toxicity": op6_toxicity, "op7_pivots": op7_pivots, "op8_spotsigs": op8_spotsigs, "op9_sentencepiece": op9_sentencepiece,
+    "op1_minhash": op1_minhash, "op2_language": op2_language, "op3_hmm": op3_hmm, "op4_pii": op4_pii, "op5_licenses": op5_licenses, "op6_toxicity": op6_toxicity, "op7_pivots": op7_pivots, "op8_spotsigs": op8_spotsigs, "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
