@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mailtriage.llm import blocks
 from mailtriage.llm.common import column_of
 from mailtriage.llm.graph import components
 from mailtriage.session import staged_table
@@ -22,6 +23,7 @@ from mailtriage.session import staged_table
 NEAREST, SHARED = 6, 3
 PIVOTS_PER_ROOT, MOST_PIVOTS = 2.0, 8192
 APART = 0.8
+LIST = ["part", "u", "v"]
 LIST_BLOCK = 512
 CHUNK_PAIRS = 1 << 16
 
@@ -82,23 +84,6 @@ def descriptions(nodes: DataFrame, points: dict[int, np.ndarray]) -> DataFrame:
     return nodes.select("node", "width", "vec").mapInArrow(run, "node binary, pivots array<int>")
 
 
-def _list_pairs(sizes: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (i, j) of rows that lie in one list, in chunks; ``firsts`` are the rows of the first side of
-    each list, whose partners are all rows after them."""
-    starts = np.cumsum(sizes) - sizes
-    row = np.concatenate([np.arange(s, s + f) for s, f in zip(starts.tolist(), firsts.tolist())]) if len(sizes) else np.zeros(0, int)
-    end = np.repeat(starts + sizes, firsts)
-    inner = np.repeat(starts + firsts, firsts)
-    same = np.repeat(firsts == sizes, firsts)
-    begin = np.where(same, row + 1, inner)
-    counts = end - begin
-    total = np.concatenate([[0], np.cumsum(counts)])
-    for at in range(0, int(total[-1]), CHUNK_PAIRS):
-        k = np.arange(at, min(at + CHUNK_PAIRS, int(total[-1])))
-        r = np.searchsorted(total, k, side="right") - 1
-        yield row[r], begin[r] + (k - total[r])
-
-
 def _meeting(a: np.ndarray, b: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Whether two descriptions share SHARED pivots and their list is that of the two smallest shared ones."""
     equal = (a[:, :, None] == b[:, None, :]).any(axis=2) & (a >= 0)
@@ -106,20 +91,6 @@ def _meeting(a: np.ndarray, b: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.n
     return (equal.sum(axis=1) >= np.minimum(SHARED, np.minimum((a >= 0).sum(axis=1), (b >= 0).sum(axis=1)))) & ~low.any(axis=1)
 
 
-def _settled(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest index that each of n rows reaches by links (i, j)."""
-    label = np.arange(n)
-    while len(i):
-        low = np.minimum(label[i], label[j])
-        before = label.copy()
-        np.minimum.at(label, i, low)
-        np.minimum.at(label, j, low)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def links(nodes: DataFrame, described: DataFrame, threshold: float) -> DataFrame:
     """(node, partner, n): partial results of the lists: n vectors linked with a node, and a node of the same
     component (a spanning set of the links, not all of them)."""
@@ -130,51 +101,17 @@ def links(nodes: DataFrame, described: DataFrame, threshold: float) -> DataFrame
     entries = entries.where("size(s) > 1").select("node", "part", pair.alias("k")).unionByName(
         entries.where("size(s) = 1").select("node", "part", F.explode(one).alias("k")))
     entries = staged_table(entries.select("node", "part", "k.u", "k.v"), "entries")
-    lists = entries.groupBy("part", "u", "v").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / LIST_BLOCK).cast("int")
-    entries = entries.join(lists, ["part", "u", "v"]).withColumn("blocks", blocks)
-    entries = entries.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    entries = entries.select("*", other.alias("other")).select(
-        "node", "part", "u", "v", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        (F.col("block") > F.col("other")).alias("second"))
-    full = (entries.join(described, "node").join(nodes.select("node", "vec", "size"), "node")
-            .repartition("part", "u", "v", "x", "y").sortWithinPartitions("part", "u", "v", "x", "y", "second", "node"))
+    entries = blocks.units(entries, LIST, "node", LIST_BLOCK)
+    full = blocks.sorted_units(entries.join(described, "node").join(nodes.select("node", "vec", "size"), "node"), LIST, "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([carry, table]) if carry is not None and carry.num_rows else table
-            edges = _edges(table)
-            if len(edges) > 1:
-                yield _linked(table.slice(0, int(edges[-1])), threshold)
-            carry = table.slice(int(edges[-1]))
-        if carry is not None and carry.num_rows:
-            yield _linked(carry, threshold)
+        yield from blocks.tables(batches, LIST, lambda table, starts: _linked(table, starts, threshold))
 
     columns = full.select("part", "u", "v", "x", "y", "second", "node", "pivots", "vec", "size")
     return staged_table(columns.mapInArrow(run, "node binary, partner binary, n long"), "links")
 
 
-def _edges(table: pa.Table) -> np.ndarray:
-    """First rows of the lists of a sorted table."""
-    change = np.zeros(max(table.num_rows - 1, 0), bool)
-    for name in ("u", "v", "x", "y"):
-        column = table[name].to_numpy()
-        change |= column[1:] != column[:-1]
-    part = table["part"].combine_chunks().dictionary_encode()
-    part = (part.combine_chunks() if isinstance(part, pa.ChunkedArray) else part).indices.to_numpy()
-    change |= part[1:] != part[:-1]
-    return np.concatenate([[0], np.flatnonzero(change) + 1])
-
-
-def _linked(table: pa.Table, threshold: float) -> pa.RecordBatch:
-    starts = _edges(table)
-    sizes = np.diff(np.append(starts, table.num_rows))
-    second = table["second"].to_numpy()
-    firsts = sizes - np.add.reduceat(second.astype(int), starts)
-    firsts = np.where((table["x"].to_numpy() == table["y"].to_numpy())[starts], sizes, firsts)
+def _linked(table: pa.Table, starts: np.ndarray, threshold: float) -> pa.RecordBatch:
     found = table["pivots"].combine_chunks()
     spans = np.diff(found.offsets.to_numpy())
     near = np.full((table.num_rows, max(1, int(spans.max(initial=1)))), -1, np.int32)
@@ -189,7 +126,7 @@ def _linked(table: pa.Table, threshold: float) -> pa.RecordBatch:
     place = np.zeros(table.num_rows, int)
     for w in units:
         place[widths == w] = np.arange((widths == w).sum())
-    for i, j in _list_pairs(sizes, firsts):
+    for i, j in blocks.pairs(table, starts, CHUNK_PAIRS):
         ok = _meeting(near[i], near[j], u[i], v[i])
         i, j = i[ok], j[ok]
         for w, unit in units.items():
@@ -201,7 +138,7 @@ def _linked(table: pa.Table, threshold: float) -> pa.RecordBatch:
     i, j = (np.concatenate(h) if h else np.zeros(0, int) for h in (hits_i, hits_j))
     count = np.bincount(i, weight[j], table.num_rows) + np.bincount(j, weight[i], table.num_rows)
     rows = np.flatnonzero(count)
-    partner = _settled(table.num_rows, i, j)[rows]
+    partner = blocks.settled(np.arange(table.num_rows), i, j)[rows]
     node = table["node"].combine_chunks()
     return pa.RecordBatch.from_arrays([node.take(pa.array(rows)), node.take(pa.array(partner)), pa.array(count[rows].astype(np.int64))],
                                       ["node", "partner", "n"])
