@@ -34,8 +34,13 @@ PATTERNS = {
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
     "date": r"(?<![\w-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
-    "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-])|(?<![\w.])\+\d{8,15}(?!\w)",
+    "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
+    "phone": (
+        r"(?<![\w.])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-])"
+        r"|(?<![\w.])\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?![\w-])"
+        r"|(?<![\w.])(?<!\d[ -])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-]|[ .]\d)"
+        r"|(?<![\w.])\+\d{8,15}(?!\w)"
+    ),
 }
 FINDERS = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
 # What a text must hold before a pattern is tried.
