@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailtriage.functions.literals import mapping
-from mailtriage.session import spread_small
 
 # rules under which the page hosts do not collapse into three domains
 CORPUS_SUFFIXES = ["com", "net", "org", "uk", "co.uk", "ru",
@@ -44,7 +43,7 @@ def _pick(slot: Column, values: dict) -> Column:
 
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """email_id, subject, body, from, to, urls, label, lang: one row per document."""
-    docs = spread_small(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     n_pages = pages.agg(F.count("*").alias("n")).scalar()
@@ -62,7 +61,7 @@ def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     subject = F.when(slot == 5, "nan").otherwise(F.concat_ws(
         " ", _pick(slot, {k: v[0] for k, v in PHRASE_DECK.items()}),
-        F.substring(F.substring_index("text", "\n", 1), 1, 60)))
+        F.substring_index("text", "\n", 1)))
     body_add = _pick(slot, {k: v[1] or None for k, v in PHRASE_DECK.items()})
     fallback = F.when(slot.isin(0, 2, 4, 6), 1).otherwise(0)
     return (

@@ -3,6 +3,9 @@ same, an oracle.  Nested results are flattened to text so that values can be com
 
 from __future__ import annotations
 
+from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from checks import sql as Q
@@ -11,8 +14,9 @@ from mailtriage.functions import features as FE, headers as H, text as X, urls a
 from mailtriage.operators import (domains as D, explain as EX, lexicon as LX, links as LK, lookalike as LA,
                                   metrics as M, ordering as O, quality as QA, scoring as S, sender as SE, tfidf as T)
 from mailtriage.plans import corpus as PC, score as PS, train as TR
-from mailtriage.session import spread_small, staging_dir
-from mailtriage.sources import corpus as C, files as FS, sinks as SK
+from mailtriage.session import staging_dir
+from checks import corpus as C
+from mailtriage.sources import files as FS, sinks as SK
 
 SUF = C.CORPUS_SUFFIXES
 REGISTRY: dict[str, tuple] = {}
@@ -94,10 +98,10 @@ def distinct_rows(spark, sf):
     return QA.drop_duplicate_rows(_raw(spark, sf).select("label", "message"))
 
 
-@query(E("""SELECT email_id FROM (SELECT email_id, CASE WHEN subject = 'nan' THEN '' ELSE subject END AS message
-            FROM emails) WHERE message = ''"""))
+@query(E("SELECT email_id FROM raw WHERE email_id % 19 = 0", Q.RAW))
 def empty_messages(spark, sf):
-    m = _mails(spark, sf).select("email_id", X.clean_value(F.col("subject")).alias("message"))
+    # every nineteenth message is emptied, as files of no length would be
+    m = _raw(spark, sf).withColumn("message", F.when(F.col("email_id") % 19 == 0, "").otherwise(F.col("message")))
     return QA.empty_messages(m).select("email_id")
 
 
@@ -289,7 +293,7 @@ def corpus_csv_round_trip(spark, sf):
     r"regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?>.*?</script>', ' ', 'g'), "
     r"'(?is)<style.*?>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g')") + " AS text FROM pages")
 def html_stripped(spark, sf):
-    return spread_small(C.table(spark, sf, "pages")).select("page_id", X.strip_html(F.col("html")).alias("text"))
+    return C.table(spark, sf, "pages").select("page_id", X.strip_html(F.col("html")).alias("text"))
 
 
 def _sql_entities(c):
@@ -311,7 +315,7 @@ def _sql_html_text():
 
 @query(f"SELECT page_id, {_sql_html_text()} AS text FROM pages")
 def html_text(spark, sf):
-    return spread_small(C.table(spark, sf, "pages")).select("page_id", X.html_to_text(F.col("html")).alias("text"))
+    return C.table(spark, sf, "pages").select("page_id", X.html_to_text(F.col("html")).alias("text"))
 
 
 # --- text normalisation ------------------------------------------------------------------
@@ -543,7 +547,17 @@ def highlighted_subjects(spark, sf):
     return LX.highlighted(LX.lexicon_score(_mails(spark, sf))).select("email_id", "subject_highlighted")
 
 
-@query()
+def _marked(c):
+    """Keywords of column ``alt`` as whole words in a text.  A mark behind every separator keeps neighbouring
+    matches apart."""
+    split = f"regexp_replace({c}, '({Q.NW})', '\\1' || chr(1), 'g')"
+    return (f"CASE WHEN matched = '' THEN {c} ELSE replace(regexp_replace({split}, '(?i)(^|{Q.NW})(' || alt || ')($|{Q.NW})', "
+            f"'\\1{K.HIGHLIGHT_OPEN}\\2{K.HIGHLIGHT_CLOSE}\\3', 'g'), chr(1), '') END")
+
+
+@query(E(f"""SELECT email_id, {_marked("coalesce(subject, '')")} AS subject_highlighted, {_marked("coalesce(body, '')")} AS body_highlighted
+  FROM emails JOIN (SELECT email_id, matched, (SELECT string_agg(regexp_replace(k, '({Q.NW})', '\\1' || chr(1), 'g'), '|' ORDER BY length(k) DESC, k)
+    FROM unnest(string_split(matched, '|')) u(k)) AS alt FROM lex) USING (email_id)""", Q.lexicon()))
 def highlighted_mails(spark, sf):
     return LX.highlighted(LX.lexicon_score(_mails(spark, sf))).select(
         "email_id", "subject_highlighted", "body_highlighted")
@@ -754,10 +768,25 @@ def scoring_frame(spark, sf):
     return FE.scoring_features(m).select("email_id", *K.NUMERIC_COLUMNS, "url_text")
 
 
-@query(E(f"""SELECT email_id, {Q.clean('subject')} || {Q.clean('urls')} <> '' AS has_content,
-             coalesce(subject, '') <> '' AS admissible FROM emails"""))
+# mails of which some cells are blank, null or placeholders
+_BLANKED = """blanked AS (SELECT email_id, CASE WHEN email_id % 2 = 0 THEN subject ELSE '' END AS subject, CASE WHEN email_id % 3 = 0 THEN body ELSE 'nan' END AS body,
+  CASE WHEN email_id % 5 = 0 THEN "from" END AS "from", CASE WHEN email_id % 7 = 0 THEN urls ELSE 'None' END AS urls,
+  CASE WHEN email_id % 11 = 0 THEN 'x.org' END AS url, (email_id * 37 % 1000) / 1000 AS p FROM emails)"""
+_CONTENT = " || ".join(Q.clean(c) for c in ('"from"', "subject", "body", "urls", "url"))
+
+
+def _blanked(spark, sf):
+    n = F.col("email_id")
+    return C.with_probability(_mails(spark, sf)).select(
+        "email_id", F.when(n % 2 == 0, F.col("subject")).otherwise("").alias("subject"),
+        F.when(n % 3 == 0, F.col("body")).otherwise("nan").alias("body"), F.when(n % 5 == 0, F.col("from")).alias("from"),
+        F.when(n % 7 == 0, F.col("urls")).otherwise("None").alias("urls"), F.when(n % 11 == 0, "x.org").alias("url"), "p")
+
+
+@query(E(f"""SELECT email_id, {_CONTENT} <> '' AS has_content,
+             coalesce(subject, '') || coalesce(body, '') || coalesce(url, '') <> '' AS admissible FROM blanked""", _BLANKED))
 def content_checks(spark, sf):
-    m = _mails(spark, sf).select("email_id", "subject", "urls")
+    m = _blanked(spark, sf)
     return m.select("email_id", FE.has_content(m).alias("has_content"), FE.admissible(m).alias("admissible"))
 
 
@@ -798,53 +827,61 @@ def roc_auc(spark, sf):
     return M.roc_auc(_scored(spark, sf))
 
 
-_SUBJECT_TERMS = rf"""words AS (SELECT email_id, list_filter(regexp_extract_all(lower({Q.clean('subject')}), '{Q.W}{Q.W}+'),
-    lambda k: NOT list_contains(stops.s, k)) AS w FROM emails, (SELECT STOPS AS s) stops),
-pairs AS (SELECT email_id, unnest(w) AS term FROM words UNION ALL
-  SELECT email_id, unnest(list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1])) FROM words),
-stats AS (SELECT term, count(*) AS tf, count(DISTINCT email_id) AS df FROM pairs GROUP BY term)"""
+_COMBINED = Q.strip("'subject ' || subject || ' body ' || body || ' sender ' || sd || ' urls ' || urls")
+# the three term blocks: words and word pairs of subject and body, character n-grams of the combined text
+_TERMS = rf"""words AS (SELECT email_id, block, list_filter(regexp_extract_all(lower(t), '{Q.W}{Q.W}+'), lambda k: k NOT IN {Q.in_list(K.STOP_WORDS)}) AS w
+  FROM (SELECT email_id, 'subject_word' AS block, subject AS t FROM fr UNION ALL SELECT email_id, 'body_word', body FROM fr)),
+padded AS (SELECT email_id, ' ' || unnest(string_split({Q.normal('t')}, ' ')) || ' ' AS x FROM (SELECT email_id, {_COMBINED} AS t FROM fr)),
+terms AS (SELECT email_id, block, unnest(w) AS term FROM words
+  UNION ALL SELECT email_id, block, unnest(list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+  UNION ALL SELECT email_id, 'combined_char', unnest(list_transform(range(1, greatest(length(x) - n + 2, 1)), lambda i: substr(x, CAST(i AS INTEGER), n)))
+    FROM padded, (VALUES (3), (4), (5)) s(n) WHERE length(x) >= 3)"""
+_STATS = "stats AS (SELECT block, term, count(*) AS tf, count(DISTINCT email_id) AS df FROM terms GROUP BY ALL)"
+_SIZES = "CASE block " + " ".join(f"WHEN '{b.name}' THEN {b.size}" for b in T.BLOCKS) + " END"
+_VOCAB = f"vocab AS (SELECT * FROM stats WHERE df >= 2 QUALIFY row_number() OVER (PARTITION BY block ORDER BY tf DESC, term) <= {_SIZES})"
+_TFIDF = """tfidf AS (SELECT email_id, block, term, w / sqrt(sum(w * w) OVER (PARTITION BY email_id, block)) AS weight FROM (
+  SELECT email_id, block, term, (1 + ln(count(*))) * (ln((1 + (SELECT count(*) FROM emails)) / (1 + any_value(df))) + 1) AS w
+  FROM terms JOIN vocab USING (block, term) GROUP BY email_id, block, term))"""
+_BLOCK_COLUMNS = {b.name: b.terms for b in T.BLOCKS}
 
 
 def _terms(spark, sf):
-    f = FE.training_features(_mails(spark, sf).select("email_id", "subject", "body", "from", "urls", "label"))
-    return f.select("email_id", T.with_pairs(T.word_terms(F.col("subject_text"), STOPS)).alias("terms"))
+    """email_id and the three term columns, written once for their readers."""
+    return S.staged_table(TR.feature_table(_mails(spark, sf), ["email_id"]), "terms")
 
 
-# a fixed list, so that the oracle knows it as well
-STOPS = ["the", "of", "and", "to", "in", "is", "you", "are", "your", "we", "by", "on", "with", "for", "an", "am"]
-_SUBJECT_TERMS = _SUBJECT_TERMS.replace("STOPS", "[" + ", ".join(map(Q.q, STOPS)) + "]")
+def _vocabularies(stats):
+    return {b.name: T.vocabulary(stats.where(F.col("block") == b.name), b.size) for b in T.BLOCKS}
 
 
-@query(E("SELECT * FROM stats", _SUBJECT_TERMS))
+@query(E("SELECT * FROM stats", *_FEATS, _TERMS, _STATS))
 def term_frequencies(spark, sf):
-    return T.term_stats(_terms(spark, sf), "terms")
-
+    return T.block_stats(_terms(spark, sf), _BLOCK_COLUMNS)
 
-_VOCAB = "vocab AS (SELECT * FROM stats WHERE df >= 2 ORDER BY tf DESC, term LIMIT 300)"
 
-
-@query(E("SELECT * FROM vocab", _SUBJECT_TERMS, _VOCAB))
+@query(E("SELECT * FROM vocab", *_FEATS, _TERMS, _STATS, _VOCAB))
 def vocabulary(spark, sf):
-    return T.vocabulary(T.term_stats(_terms(spark, sf), "terms"), 300)
+    first, *rest = _vocabularies(S.staged_table(T.block_stats(_terms(spark, sf), _BLOCK_COLUMNS), "term-stats")).values()
+    for other in rest:
+        first = first.unionByName(other)
+    return first
 
 
-@query(E("""SELECT email_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY email_id)), 6) AS weight FROM (
-  SELECT email_id, term, (1 + ln(count(*))) * (ln((1 + (SELECT count(*) FROM emails)) / (1 + any_value(df))) + 1) AS w
-  FROM pairs JOIN vocab USING (term) GROUP BY email_id, term)""", _SUBJECT_TERMS, _VOCAB))
+@query(E("SELECT email_id, block, term, round(weight, 6) AS weight FROM tfidf", *_FEATS, _TERMS, _STATS, _VOCAB, _TFIDF))
 def tfidf_weights(spark, sf):
-    terms = _terms(spark, sf)
-    vocab = T.vocabulary(T.term_stats(terms, "terms"), 300)
-    n = _mails(spark, sf).agg(F.count("*")).scalar()
-    return T.tfidf_rows(terms, "terms", "email_id", vocab, n).withColumn("weight", F.round("weight", 6))
+    rows = _terms(spark, sf)
+    vocabularies = _vocabularies(S.staged_table(T.block_stats(rows, _BLOCK_COLUMNS), "term-stats"))
+    n, out = _mails(spark, sf).agg(F.count("*")).scalar(), None
+    for block in T.BLOCKS:
+        found = T.tfidf_rows(rows, block.terms, "email_id", vocabularies[block.name], n).select(
+            "email_id", F.lit(block.name).alias("block"), "term", F.round("weight", 6).alias("weight"))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
-@query(E(f"""SELECT term, count(*) AS tf, count(DISTINCT email_id) AS df FROM (
-  SELECT email_id, substr(p, CAST(i AS INTEGER), CAST(n AS INTEGER)) AS term FROM (
-    SELECT email_id, ' ' || unnest(string_split({Q.normal('subject')}, ' ')) || ' ' AS p FROM emails), (VALUES (3), (4), (5)) s(n),
-    range(1, 200) r(i) WHERE length(p) >= 3 AND i <= length(p) - n + 1) GROUP BY term"""))
+@query(E("SELECT term, tf, df FROM stats WHERE block = 'combined_char'", *_FEATS, _TERMS, _STATS))
 def character_ngrams(spark, sf):
-    grams = _mails(spark, sf).select("email_id", T.char_terms(F.col("subject")).alias("terms"))
-    return T.term_stats(grams, "terms")
+    return T.term_stats(_terms(spark, sf), "char_terms")
 
 
 @query(E(" UNION ALL ".join(
@@ -868,33 +905,34 @@ def threshold_labels(spark, sf):
 @query(E(f"""SELECT email_id, CASE WHEN c AND p >= 0.42 THEN 'Spam' ELSE 'Safe' END AS model_prediction,
   round_even(CASE WHEN c THEN p ELSE 0 END, 4) AS model_probability, round_even(CASE WHEN c THEN p ELSE 0 END * 100, 1) AS model_score,
   CASE WHEN c THEN round_even(greatest(p, 1 - p), 4) ELSE 0 END AS model_confidence
-  FROM (SELECT email_id, {Q.clean('subject')} <> '' AS c, (email_id * 37 % 1000) / 1000 AS p FROM emails)"""))
+  FROM (SELECT email_id, {_CONTENT} <> '' AS c, p FROM blanked)""", _BLANKED))
 def model_output(spark, sf):
-    m = C.with_probability(_mails(spark, sf).select("email_id", "subject"))
+    m = _blanked(spark, sf)
     return S.model_columns(m, "p", FE.has_content(m)).select(
         "email_id", "model_prediction", "model_probability", "model_score", "model_confidence")
 
 
-_CONTRIB = f"""contrib AS (SELECT email_id, unnest(['subject_word', 'body_word', 'combined_char', 'numeric']) AS source, replace(term, ' ', '_') AS value,
-  ((email_id + length(term) * 7) % 11 - 4) / 8 AS contribution FROM pairs),
-named AS (SELECT email_id, contribution, CASE WHEN source = 'subject_word' THEN 'Subject mentions "' || v || '"'
-   WHEN source = 'body_word' THEN 'Body contains "' || v || '"' END AS reason
-  FROM (SELECT *, trim(replace(value, '_', ' ')) AS v FROM contrib)
-  WHERE source IN ('subject_word', 'body_word') AND length(v) >= 3 AND regexp_matches(v, '[A-Za-z]') AND v NOT IN {Q.in_list(K.GENERIC_TOKENS)})"""
+_READ = rf"trim(regexp_replace(replace(value, '_', ' '), '\s+', ' ', 'g'))"
+_CONTRIB = f"""contrib AS (SELECT email_id, block AS source, replace(term, ' ', '_') AS value, ((email_id + length(term) * 7) % 11 - 4) / 8 AS contribution
+  FROM (SELECT DISTINCT email_id, block, term FROM terms)),
+named AS (SELECT *, CASE WHEN length(v) >= 3 AND regexp_matches(v, '[A-Za-z]') AND v NOT IN {Q.in_list(K.GENERIC_TOKENS)} THEN
+    CASE source WHEN 'subject_word' THEN 'Subject mentions "' || v || '"' WHEN 'body_word' THEN 'Body contains "' || v || '"' END END AS reason
+  FROM (SELECT *, {_READ} AS v FROM contrib))"""
 
 
 def _contributions(spark, sf):
-    rows = _terms(spark, sf).select("email_id", F.explode("terms").alias("term"))
-    return rows.select(
-        "email_id", F.explode(F.array(*[F.lit(s) for s in ("subject_word", "body_word", "combined_char", "numeric")])).alias("source"),
-        F.replace("term", F.lit(" "), F.lit("_")).alias("value"),
-        (((F.col("email_id") + F.length("term") * 7) % 11 - 4) / 8).alias("contribution"))
+    rows = _terms(spark, sf)
+
+    def named_terms(block):
+        return F.transform(F.array_distinct(block.terms), lambda t: F.struct(F.lit(block.name).alias("source"), t.alias("term")))
+
+    named = F.concat(*map(named_terms, T.BLOCKS))
+    return rows.select("email_id", F.explode(named).alias("t")).select(
+        "email_id", "t.source", F.replace("t.term", F.lit(" "), F.lit("_")).alias("value"),
+        (((F.col("email_id") + F.length("t.term") * 7) % 11 - 4) / 8).alias("contribution"))
 
 
-@query(E("SELECT DISTINCT source, value, CASE WHEN reason IS NOT NULL THEN reason END AS reason FROM (SELECT c.source, c.value, n.reason FROM "
-         "contrib c LEFT JOIN (SELECT DISTINCT reason, CASE WHEN reason LIKE 'Subject%' THEN 'subject_word' ELSE 'body_word' END AS source, "
-         "regexp_extract(reason, '\"(.*)\"', 1) AS v FROM named) n ON n.source = c.source AND n.v = trim(replace(c.value, '_', ' ')))",
-         _SUBJECT_TERMS, _CONTRIB))
+@query(E("SELECT DISTINCT source, value, reason FROM named", *_FEATS, _TERMS, _CONTRIB))
 def feature_reasons(spark, sf):
     rows = _contributions(spark, sf).select("source", "value").distinct()
     return rows.select("source", "value", EX.readable_reason(F.col("source"), F.col("value")).alias("reason"))
@@ -902,13 +940,77 @@ def feature_reasons(spark, sf):
 
 @query(E("""SELECT email_id, reason, round_even(impact, 4) AS impact, CAST(place AS INTEGER) AS place FROM (
   SELECT email_id, reason, max(contribution) AS impact, row_number() OVER (PARTITION BY email_id ORDER BY max(contribution) DESC, reason) AS place
-  FROM named WHERE contribution > 0 GROUP BY email_id, reason) WHERE place <= 5""", _SUBJECT_TERMS, _CONTRIB))
+  FROM named WHERE contribution > 0 AND reason IS NOT NULL GROUP BY email_id, reason) WHERE place <= 5""", *_FEATS, _TERMS, _CONTRIB))
 def top_reasons(spark, sf):
     return EX.top_reason_rows(_contributions(spark, sf))
 
 
 def _model(spark, sf):
-    return TR.fit(_mails(spark, sf), max_iter=30)
+    return TR.fit(_mails(spark, sf))
+
+
+# a coefficient for every term and numeric feature, by a formula that both sides know
+_COEF = "((length({0}) * 7 + ascii({0})) % 11 - 5) / 10"
+_CONTRIBUTIONS = f"""scaling AS (SELECT c AS feature, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1 ELSE stddev_pop(x) END AS std FROM numbers GROUP BY c),
+impacts AS (SELECT email_id, block AS source, term AS value, weight * {_COEF.format('term')} AS contribution FROM tfidf
+  UNION ALL SELECT email_id, 'numeric', c, (x - mean) / std * {_COEF.format('c')} FROM numbers JOIN scaling ON feature = c)"""
+_NUMBERS = "numbers AS (SELECT email_id, c, x FROM feats UNPIVOT (x FOR c IN (" + ", ".join(K.NUMERIC_COLUMNS) + ")))"
+_MODEL = (*_FEATS, _TERMS, _STATS, _VOCAB, _TFIDF, _NUMBERS, _CONTRIBUTIONS)
+
+
+def _vectors(spark, sf):
+    """(feature names, mails with their vectors) by the stages that training fits, over all mails."""
+    rows = S.staged_table(TR.feature_table(_mails(spark, sf), ["email_id"]), "features")
+    stages, names = TR.feature_stages(spark, rows)
+    for stage in stages:
+        rows = stage.transform(rows)
+    return names, rows.select("email_id", "features")
+
+
+def _impacts(spark, sf):
+    """email_id and the array of value * coefficient by feature position."""
+    names, rows = _vectors(spark, sf)
+    coefficients = [((len(v) * 7 + ord(v[0])) % 11 - 5) / 10 for _, v in names]
+    scaled = ElementwiseProduct(scalingVec=Vectors.dense(coefficients), inputCol="features", outputCol="impact")
+    return names, scaled.transform(rows).select("email_id", vector_to_array("impact").alias("impact"))
+
+
+@query(E("SELECT email_id, round(1 / (1 + exp(-sum(contribution))), 6) AS p FROM impacts GROUP BY email_id", *_MODEL))
+def logit_scores(spark, sf):
+    _, rows = _impacts(spark, sf)
+    total = F.aggregate("impact", F.lit(0.0), lambda a, x: a + x)
+    return rows.select("email_id", F.round(1 / (1 + F.exp(-total)), 6).alias("p"))
+
+
+@query(E("SELECT email_id, source, value, round(contribution, 6) AS contribution FROM impacts WHERE abs(contribution) > 1e-9", *_MODEL))
+def feature_contributions(spark, sf):
+    names, rows = _impacts(spark, sf)
+    named = spark.createDataFrame([(i, s, v) for i, (s, v) in enumerate(names)], "i int, source string, value string")
+    found = rows.select("email_id", F.posexplode("impact").alias("i", "x")).where(F.abs("x") > 1e-9)
+    return found.join(F.broadcast(named), "i").select("email_id", "source", "value", F.round("x", 6).alias("contribution"))
+
+
+_SPLIT_SQL = """held AS (SELECT email_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(email_id || ':42'), email_id)
+  <= round(0.2 * count(*) OVER (PARTITION BY label)) AS is_test FROM emails),
+training AS (SELECT email_id, label FROM held WHERE NOT is_test)"""
+
+
+@query(E(f"""SELECT (SELECT count(*) FROM emails) AS training_rows, (SELECT CAST(sum(least(n, {_SIZES})) AS BIGINT) + {len(K.NUMERIC_COLUMNS)}
+    FROM (SELECT block, count(*) AS n FROM (SELECT block, term FROM terms JOIN training USING (email_id)
+      GROUP BY block, term HAVING count(DISTINCT email_id) >= 2) GROUP BY block)) AS feature_count,
+  round((SELECT count(*) FROM training) / (2 * count(*) FILTER (label = 0)), 9) AS weight_ham,
+  round((SELECT count(*) FROM training) / (2 * count(*) FILTER (label = 1)), 9) AS weight_spam FROM training""", *_FEATS, _TERMS, _SPLIT_SQL))
+def training_summary(spark, sf):
+    mails = _mails(spark, sf)
+    split = O.stratified_split(mails, "email_id", "label")
+    rows = S.staged_table(TR.feature_table(split, ["email_id", "label", "is_test"]), "features")
+    train = rows.where(~F.col("is_test"))
+    stats = S.staged_table(T.block_stats(train, _BLOCK_COLUMNS), "term-stats")
+    kept = [v.agg(F.count("*")).scalar() for v in _vocabularies(stats).values()]
+    weight = {r["label"]: r["weight"] for r in M.class_weights(train).collect()}
+    return rows.agg(F.count("*").alias("training_rows")).select(
+        "training_rows", (sum(kept[1:], kept[0]) + len(K.NUMERIC_COLUMNS)).cast("long").alias("feature_count"),
+        F.round(F.lit(weight[0]), 9).alias("weight_ham"), F.round(F.lit(weight[1]), 9).alias("weight_spam"))
 
 
 @query()
@@ -1024,15 +1126,33 @@ _VERDICT_COLS = ["email_id", "final_label", "overall_score", "risk_level", "spam
                  "model_probability", "model_score", "model_confidence", "reasons", "verdict_message"]
 
 
-@query(Q.verdict("SELECT " + ", ".join({
+_VERDICT_SQL = Q.verdict("SELECT " + ", ".join({
     "spam_votes": "CAST(spam_votes AS INTEGER) AS spam_votes", "reasons": f"{_REASONS} AS reasons",
     "keyword_label": "CASE WHEN keyword_score >= 50 THEN 'Spam' ELSE 'Safe' END AS keyword_label",
-    "overall_score": "CAST(overall_score AS DOUBLE) AS overall_score"}.get(c, c) for c in _VERDICT_COLS) + " FROM verdict"))
-def risk_verdicts(spark, sf):
-    v = _verdicts(spark, sf).withColumns({
+    "overall_score": "CAST(overall_score AS DOUBLE) AS overall_score"}.get(c, c) for c in _VERDICT_COLS) + " FROM verdict")
+
+
+def _flat_verdicts(v):
+    return v.withColumns({
         "keywords": bars("keywords"), "urls": bars("urls"), "url_status": bars("url_status"), "reasons": bars("reasons"),
-        "url_check": F.array_join(F.col("url_check").cast("array<string>"), "|"), "edit_check": _pairs("edit_check"), "lookalikes": _looks()})
-    return v.select(*_VERDICT_COLS)
+        "url_check": F.array_join(F.col("url_check").cast("array<string>"), "|"), "edit_check": _pairs("edit_check"),
+        "lookalikes": _looks()}).select(*_VERDICT_COLS)
+
+
+@query(_VERDICT_SQL)
+def risk_verdicts(spark, sf):
+    return _flat_verdicts(_verdicts(spark, sf))
+
+
+@query(_VERDICT_SQL)
+def verdicts_without_ids(spark, sf):
+    """Ids are null for a third of the mails and shared by another third; links and probabilities must stay
+    with their mail.  The true id travels in a carried column."""
+    n = F.col("email_id")
+    m = _requests(spark, sf).withColumn("id", F.when(n % 3 == 1, n).when(n % 3 == 2, F.lit(7)))
+    v = S.score_mails(m, C.trusted_deck(spark, sf), C.safe_deck(spark, sf), D.reputation(_mails(spark, sf), SUF), key="id",
+                      suffixes=SUF, carry=["email_id"])
+    return _flat_verdicts(v)
 
 
 @query(Q.verdict("SELECT DISTINCT sender_category, " + _SENDER_STATUS + " AS status FROM verdict"))
@@ -1042,9 +1162,12 @@ def sender_statuses(spark, sf):
     return rows.select("sender_category", S.sender_status(F.col("sender_category")).alias("status")).distinct()
 
 
-@query(Q.verdict("""SELECT email_id, '{"email_id":' || email_id || ',"final_label":"' || final_label || '","risk_level":"' || risk_level || '"}' AS json FROM verdict"""))
+@query(_VERDICT_SQL)
 def verdict_json(spark, sf):
-    return SK.as_json(_verdicts(spark, sf).select("email_id", "final_label", "risk_level"), "email_id")
+    """The whole record written as JSON and read back."""
+    v = _verdicts(spark, sf)
+    written = SK.as_json(v, "email_id")
+    return _flat_verdicts(written.select(F.from_json("json", v.schema).alias("v")).select("v.*"))
 
 
 @query(E("""SELECT email_id, 'not a JSON object: ' || body AS error, 'Error' AS final_label, CAST(0 AS DOUBLE) AS overall_score,

@@ -1,7 +1,7 @@
 """SQL building blocks of the oracle queries (DuckDB dialect)."""
 
 from mailtriage import constants as K
-from mailtriage.sources.corpus import CORPUS_SUFFIXES, LINK_DECK, PHRASE_DECK
+from checks.corpus import CORPUS_SUFFIXES, LINK_DECK, PHRASE_DECK
 
 W = r"[\p{L}\p{N}_]"      # a word character
 NW = r"[^\p{L}\p{N}_]"
@@ -28,7 +28,7 @@ _ADDRESS = "regexp_extract(d.text, '[a-z]+[.][0-9]+@[a-z0-9]+[.]example[.]com',
 EMAILS = f"""emails AS (
   SELECT d.doc_id AS email_id,
     CASE WHEN d.doc_id % 10 = 5 THEN 'nan'
-         ELSE concat_ws(' ', ph.s, substr(split_part(d.text, chr(10), 1), 1, 60)) END AS subject,
+         ELSE concat_ws(' ', ph.s, split_part(d.text, chr(10), 1)) END AS subject,
     concat_ws(' ', d.text, nullif(ph.b, ''), CASE WHEN d.doc_id % 2 = 0 THEN g.url END, lk.u) AS body,
     CASE WHEN {_ADDRESS} <> '' THEN 'Doc <' || {_ADDRESS} || '>'
          WHEN d.doc_id % 4 = 0 THEN 'User ' || d.doc_id || ' <u' || d.doc_id || '@'

@@ -29,7 +29,7 @@ def registrable_by_table(hosts: DataFrame, rules: DataFrame, host: str = "host",
         hosts.select(host).distinct()
         .select(host, parts.alias("_p"))
         .select(host, "_p", F.posexplode("_p").alias("_i", "_x"))
-        .select(host, "_p", "_i", F.array_join(F.slice("_p", F.col("_i") + 1, 256), ".").alias("tail"))
+        .select(host, "_p", "_i", F.array_join(F.slice("_p", F.col("_i") + 1, F.size("_p")), ".").alias("tail"))
     )
     hit = lookup(tails, table, "tail", F.col(host), small)
     has = lambda k: F.coalesce(F.array_contains("kinds", k), F.lit(False))
@@ -39,7 +39,7 @@ def registrable_by_table(hosts: DataFrame, rules: DataFrame, host: str = "host",
              .when((has("plain") | has("wild")) & (F.col("_i") >= 1), F.col("_i") - 1))
     priority = F.when(has("exact"), 0).otherwise(1)
     best = hit.where(start.isNotNull()).groupBy(host).agg(
-        F.min_by(F.array_join(F.slice("_p", start + 1, 256), "."), F.struct(priority, start)).alias("_d"))
+        F.min_by(F.array_join(F.slice("_p", start + 1, F.size("_p")), "."), F.struct(priority, start)).alias("_d"))
     return hosts.select(host).distinct().join(best, host, "left").select(
         host, F.coalesce("_d", F.lower(F.col(host))).alias("registrable"))
 

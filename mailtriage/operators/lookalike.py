@@ -53,7 +53,9 @@ def edit_neighbours(left: DataFrame, right: DataFrame, allowed: Column | None =
     which the distance test removes.
     """
     bound = F.lit(most) if allowed is None else allowed
-    a = left.select("left").distinct().select(
+    # longer strings have no neighbour; their variants would grow with the square of the length
+    longest = right.agg(F.coalesce(F.max(F.length("right")), F.lit(0)) + most).scalar()
+    a = left.select("left").distinct().where(F.length("left") <= longest).select(
         "left", F.explode_outer(deletion_keys(F.col("left"), F.lit(most))).alias("_v"))
     b = right.select("right").distinct().select("right", bound.alias("_d")).select(
         "right", "_d", F.explode_outer(deletion_keys(F.col("right"), F.col("_d"))).alias("_v"))

@@ -52,8 +52,10 @@ def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2
 
     The rows with the smallest hashes are the test rows.  The hash space is cut into
     buckets and counted, so only the one bucket per label in which the quota runs out
-    needs its rows ranked.
+    needs its rows ranked.  A row without a label is an error.
     """
+    checked = F.when(F.col(label).isNull(), F.raise_error(F.lit(f"rows without a value in {label}"))).otherwise(F.col(label))
+    df = df.withColumn(label, checked)
     digest = split_order(F.col(key), seed)
     bucket = F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32))
     rows = df.withColumn("_h", digest).withColumn("_b", bucket)

@@ -37,6 +37,7 @@ def model_columns(df: DataFrame, p: str = "p", content: Column | None = None,
 def mail_requests(mails: DataFrame, key: str) -> DataFrame:
     """key, sender, subject, body, url (placeholder-cleaned), has_content, other columns."""
     known = X.fill_text(mails, ["sender_email", "from", "subject", "body", "url"])
+    known = known if key in known.columns else known.withColumn(key, F.lit(None).cast("string"))
     return known.withColumn("has_content", FE.has_content(known)).withColumns({
         "sender": X.clean_value(H.pick_sender(known)),
         **{c: X.clean_value(F.col(c)) for c in ("subject", "body", "url")},
@@ -68,11 +69,14 @@ def link_results(links: DataFrame, key: str, trusted: DataFrame, safe: DataFrame
     """key and the per-mail arrays of link checks, in link order.
 
     All heavy work runs on distinct links; joining back spreads a link that occurs in
-    every mail over salts.
+    every mail over salts.  Sites at the same distance are taken in list order if
+    ``trusted`` has a ``rank``, else by name.
     """
+    trusted, safe = staged_table(trusted, "trusted"), staged_table(safe, "safe")  # read several times below
     facts = staged_table(url_facts(links, trusted, safe, suffixes, small), "url-facts")
     lacking = facts.where((F.col("error") != "") | (~F.col("trusted") & F.col("brand_site").isNull()))
-    near = nearest_sites(lacking.select("url"), trusted, domain="url").select(
+    order = F.struct("rank", "domain") if "rank" in trusted.columns else None
+    near = nearest_sites(lacking.select("url"), trusted, order, domain="url").select(
         "url", F.col("distance").alias("near_distance"), F.col("closest").alias("near_site"))
     dim = facts.join(near, "url", "left")
     rows = lookup(links, dim, "url", F.struct(key, "pos"))
@@ -157,14 +161,14 @@ def _text(*parts) -> Column:
     return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def reasons() -> Column:
-    """Up to five reasons in fixed order; a fallback for safe mails without any."""
+def reasons(threshold: float = K.MODEL_THRESHOLD) -> Column:
+    """Up to five reasons in fixed order; a fallback for safe mails without any.  ``threshold`` is the model's."""
     p, score, cat = F.col("model_probability"), F.col("model_score"), F.col("sender_category")
     first = F.try_element_at("lookalikes", F.lit(1))
     low, host = F.lower(cat), F.col("sender_host")
     found = F.array_compact(F.array(
         F.when(p >= 0.7, _text("The trained model found a strong phishing match (", score, "% phishing likelihood)."))
-        .when(p >= K.MODEL_THRESHOLD, _text("The trained model leaned toward phishing (", score, "% phishing likelihood).")),
+        .when(p >= threshold, _text("The trained model leaned toward phishing (", score, "% phishing likelihood).")),
         F.when((F.col("keyword_score") >= 50) & (F.size("keywords") > 0),
                _text("Suspicious wording detected: ", _join(F.col("keywords"), 5), ".")),
         F.when(F.size("suspicious_urls") > 0,
@@ -207,33 +211,49 @@ def checks_breakdown() -> Column:
     return F.array(*[F.struct(F.lit(n).alias("name"), s.alias("status"), d.alias("detail")) for n, s, d in rows])
 
 
+ROW_KEY = "_row"
+
+
+def mail_signals(mails: DataFrame, key: str, p: str, suffixes: Iterable[str] | None, raw: bool,
+                 threshold: float, carry: Iterable[str]) -> DataFrame:
+    """One narrow row per mail: a row key of its own, the caller's id, model and lexicon signals, links.
+
+    Everything that reads the texts happens here, row by row, and is written once; no
+    later step sees a text.  The row key is the join key, so mails without an id or with
+    the same id stay apart.
+    """
+    requests = mail_requests(mails, key)
+    modelled = lexicon_score(model_columns(requests, p, F.col("has_content"), threshold))
+    links = raw_links(F.col("body"), F.col("url"), suffixes)
+    rows = modelled.select(
+        key, *carry, "sender", "model_prediction", "model_probability", "model_score", "model_confidence",
+        "keyword_score", "keyword_label", "keywords", "matched", H.text_host(F.col("sender")).alias("sender_domain"),
+        (links if raw else X.first_seen(F.transform(links, U.base_domain))).alias("_links"))
+    return staged_table(rows.withColumn(ROW_KEY, F.monotonically_increasing_id()), "signals")
+
+
 def score_mails(mails: DataFrame, trusted: DataFrame, safe: DataFrame, reputation: DataFrame | None,
                 key: str = "email_id", p: str = "p", suffixes: Iterable[str] | None = None,
-                links: DataFrame | None = None, small: bool = False, raw_links: bool = False,
-                carry: Iterable[str] = ()) -> DataFrame:
+                small: bool = False, raw_links: bool = False, carry: Iterable[str] = (),
+                threshold: float = K.MODEL_THRESHOLD) -> DataFrame:
     """One verdict per mail.
 
-    ``mails`` has the key, sender_email/from, subject, body, url and the probability.
-    Texts are reduced to short signal columns before anything is shuffled, so joins move
-    narrow rows only.  ``links`` may be a staged :func:`mail_links` result.
+    ``mails`` has sender_email/from, subject, body, url and the probability; the id column
+    ``key`` is carried along and may be missing, null or repeated.  ``threshold`` is the
+    model's.  Texts are reduced to short signal columns before anything is shuffled.
     """
-    requests = mail_requests(mails, key)
-    modelled = model_columns(requests, p, F.col("has_content"))
-    signals = lexicon_score(modelled).select(
-        key, *carry, "sender", "model_prediction", "model_probability", "model_score", "model_confidence",
-        "keyword_score", "keyword_label", "keywords", "matched")
-    if links is None:
-        links = staged_table(mail_links(requests, key, suffixes, raw_links), "mail-links")
-    checked = link_results(links, key, trusted, safe, suffixes, small)
-    known = sender_reputation(signals, reputation, "sender", key, small=small)
-    joined = known.join(checked, key, "left")
+    signals = mail_signals(mails, key, p, suffixes, raw_links, threshold, carry)
+    links = signals.select(ROW_KEY, "sender_domain", F.posexplode("_links").alias("pos", "url"))
+    checked = link_results(links, ROW_KEY, trusted, safe, suffixes, small)
+    known = sender_reputation(signals.drop("_links", "sender_domain"), reputation, "sender", ROW_KEY, small=small)
+    joined = known.join(checked, ROW_KEY, "left").drop(ROW_KEY)
     empty = {
         c: F.coalesce(c, F.array().cast(checked.schema[c].dataType))
         for c in ("urls", "url_check", "url_status", "edit_check", "suspicious_urls", "neutral_urls", "lookalikes")
     }
     verdict = fuse(joined.withColumns(empty))
     return verdict.withColumns({
-        "checks_breakdown": checks_breakdown(), "reasons": reasons(),
+        "checks_breakdown": checks_breakdown(), "reasons": reasons(threshold),
         "verdict_message": verdict_message(F.col("final_label"), F.col("overall_score"), F.col("model_probability")),
     })
 

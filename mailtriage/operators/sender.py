@@ -23,13 +23,12 @@ def sender_reputation(mails: DataFrame, table: DataFrame | None, sender: str = "
     """Mails with ``sender_*`` reputation columns and ``lookup_status``.
 
     ``by='host'`` looks up the full host, ``by='registrable'`` its registrable domain.
-    Without a table, or when a needed column is missing, every host is unknown.  A common
-    sender such as a free-mail host is spread over salts (see :func:`lookup`).
+    Without a table, or when a needed column is missing, every host is unknown.
     """
     host = H.mailbox_host(F.col(f"`{sender}`"))
     if by == "registrable":
         host = F.when(host != "", U.registrable(host, suffixes)).otherwise("")
-    rows = mails.withColumn("_host", host)
+    rows = mails.withColumn("_host", F.nullif(host, F.lit("")))  # without a host nothing is looked up
     if table is None or missing_columns(table, K.REPUTATION_COLUMNS):
         found = rows.withColumn("_rep", F.lit(None).cast(
             "struct<domain:string,legitimacy_score:int,total_occurrences:bigint,in_spam:bigint,"
@@ -40,7 +39,7 @@ def sender_reputation(mails: DataFrame, table: DataFrame | None, sender: str = "
         dim = table.groupBy(F.lower(F.trim("domain")).alias("_host")).agg(
             F.min_by(F.struct(*K.REPUTATION_COLUMNS), order).alias("_rep"))
         found = lookup(rows, dim, "_host", F.col(key), small)
-    r, none = F.col("_rep"), F.col("_host") == ""
+    r, none = F.col("_rep"), F.col("_host").isNull()
     known = r.isNotNull() & ~none
 
     def value(name, unknown):

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -25,7 +25,7 @@ SUBLINEAR = "sublinear_counts"
 
 def stop_words() -> list[str]:
     """Spark ML's English list; pass another list where results must follow it."""
-    return StopWordsRemover.loadDefaultStopWords("english")
+    return list(K.STOP_WORDS)
 
 
 def word_terms(text: Column, stops: Iterable[str] | None = None) -> Column:

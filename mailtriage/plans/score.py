@@ -6,7 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
+from mailtriage import constants as K
 from mailtriage.functions import features as FE
+from mailtriage.functions.literals import mapping
 from mailtriage.operators import lexicon, scoring as S
 from mailtriage.plans import train as TR
 
@@ -14,15 +16,21 @@ from mailtriage.plans import train as TR
 def scored(mails: DataFrame, fitted: TR.TrainedModel, trusted: DataFrame, safe: DataFrame,
            reputation: DataFrame | None, key: str = "id", suffixes: Iterable[str] | None = None,
            small: bool = False, **options) -> DataFrame:
-    """Verdict per mail with the model's probability and indicators."""
-    applied = TR.apply(fitted, mails, key)
-    verdicts = S.score_mails(mails.join(applied.select(key, "p"), key, "left"), trusted, safe, reputation, key=key,
-                             suffixes=suffixes, small=small, **options)
-    reasons = TR.explain(fitted, applied, key)
-    info = {f"model_{k}" if k != "model_name" else k: F.lit(v)
-            for k, v in fitted.metrics.items() if k in ("model_name", "trained_at")}
-    return verdicts.join(reasons, key, "left").withColumn(
-        "model_indicators", F.when(F.col("model_confidence") > 0, F.col("model_indicators"))).withColumns(info)
+    """Verdict per mail with the model's probability, indicators, threshold and metrics.
+
+    The model is applied row by row and its output goes straight into the narrow signal
+    table, so mail texts are not shuffled.
+    """
+    threshold = float(fitted.metrics.get("threshold", K.MODEL_THRESHOLD))
+    verdicts = S.score_mails(TR.annotate(fitted, mails), trusted, safe, reputation, key=key, suffixes=suffixes, small=small,
+                             carry=["model_indicators"], threshold=threshold, **options)
+    none = F.array().cast(verdicts.schema["model_indicators"].dataType)
+    shown = F.when(F.col("model_confidence") > 0, F.coalesce("model_indicators", none)).otherwise(none)
+    figures = {k: float(v) for k, v in fitted.metrics.items() if isinstance(v, (int, float))}
+    return verdicts.withColumns({
+        "model_indicators": shown, "model_threshold": F.lit(threshold), "model_metrics": mapping(figures),
+        **{f"model_{k}" if k != "model_name" else k: F.lit(v)
+           for k, v in fitted.metrics.items() if k in ("model_name", "trained_at")}})
 
 
 def with_highlights(verdicts: DataFrame, mails: DataFrame, key: str = "id") -> DataFrame:

@@ -46,6 +46,24 @@ def _numeric_stages(scaling: list) -> list:
                             outputCol="features")]
 
 
+def feature_stages(spark: SparkSession, train: DataFrame) -> tuple[list, list]:
+    """(stages that end in ``features``, feature names) for a staged feature table.
+
+    What reaches the driver is bounded by the term caps.
+    """
+    n_train = train.count()
+    stats = staged_table(T.block_stats(train, {b.name: b.terms for b in T.BLOCKS}), "term-stats")
+    stages, names = [], []
+    for block in T.BLOCKS:
+        vocab = T.vocabulary(stats.where(F.col("block") == block.name), block.size).collect()
+        if not vocab:
+            raise ValueError(f"no term of block {block.name} occurs in {K.MIN_DOC_FREQ} mails")
+        stages += T.block_stages(block, vocab, n_train, spark)
+        names += [(block.name, r["term"]) for r in vocab]
+    stages += _numeric_stages(M.scaling(train).collect())
+    return stages, names + [("numeric", c) for c in K.NUMERIC_COLUMNS]
+
+
 def fit(corpus: DataFrame, key: str = "email_id", test_size: float = 0.2, seed: int = 42,
         threshold: float = K.MODEL_THRESHOLD, max_iter: int = K.MAX_ITERATIONS,
         stops: Iterable[str] | None = None) -> TrainedModel:
@@ -56,6 +74,9 @@ def fit(corpus: DataFrame, key: str = "email_id", test_size: float = 0.2, seed:
     require_columns(corpus, K.REQUIRED_COLUMNS)
     spark = corpus.sparkSession
     labelled = corpus.withColumn("label", F.col("label").cast("int"))
+    missing = labelled.where("label is null").count()
+    if missing:
+        raise ValueError(f"{missing} rows have no label of 0 or 1")
     # the split reads keys and labels only, so it comes before the features
     split = O.stratified_split(labelled, key, "label", test_size, seed)
     rows = staged_table(feature_table(split, [key, "label", "is_test"], stops), "features")
@@ -63,16 +84,7 @@ def fit(corpus: DataFrame, key: str = "email_id", test_size: float = 0.2, seed:
 
     weights = M.class_weights(train)
     n_train = int(weights.agg(F.sum("n")).first()[0])
-    stats = staged_table(T.block_stats(train, {b.name: b.terms for b in T.BLOCKS}), "term-stats")
-    stages, names = [], []
-    for block in T.BLOCKS:
-        vocab = T.vocabulary(stats.where(F.col("block") == block.name), block.size).collect()
-        if not vocab:
-            raise ValueError(f"no term of block {block.name} occurs in {K.MIN_DOC_FREQ} mails")
-        stages += T.block_stages(block, vocab, n_train, spark)
-        names += [(block.name, r["term"]) for r in vocab]
-    stages += _numeric_stages(M.scaling(train).collect())
-    names += [("numeric", c) for c in K.NUMERIC_COLUMNS]
+    stages, names = feature_stages(spark, train)
 
     # loss is averaged over the weights, which add up to the number of training rows
     regression = LogisticRegression(
@@ -112,21 +124,17 @@ def predict(fitted: TrainedModel, mails: DataFrame, key: str = "email_id") -> Da
     return probabilities(fitted, feature_table(mails, [key], training=False)).select(key, "p")
 
 
-def explain(fitted: TrainedModel, applied: DataFrame, key: str = "email_id", limit: int = 5,
-            name_numeric: bool = False) -> DataFrame:
-    """key, model_indicators: strongest reasons per mail of an :func:`apply` result.
-
-    Products of values and coefficients stay sparse; only positive ones leave the vector.
-    """
+def _indicators(fitted: TrainedModel, vectors: DataFrame, limit: int, name_numeric: bool) -> DataFrame:
+    """``vectors`` with ``model_indicators``.  Products of values and coefficients stay
+    sparse; only positive ones leave the vector."""
     coefficients = fitted.model.stages[-1].coefficients.toArray()
-    spark = applied.sparkSession
+    spark = vectors.sparkSession
     # as long as the feature vector, whose length the term caps bound
     names = spark.createDataFrame(
         [(i, s, v) for i, (s, v) in enumerate(fitted.feature_names)], "i int, source string, value string")
     named = names.select("i", E.readable_reason(F.col("source"), F.col("value"), name_numeric).alias("r"))
     lookup = named.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "r"))), lambda x: x["r"])).scalar()
-    scaled = ElementwiseProduct(scalingVec=Vectors.dense(coefficients), inputCol="features", outputCol="products")
-    vectors = scaled.transform(applied)
+    scaled = ElementwiseProduct(scalingVec=Vectors.dense(coefficients), inputCol="features", outputCol="_products")
 
     @F.pandas_udf("array<struct<i:int,v:double>>")
     def positive(products: pd.DataFrame) -> pd.Series:
@@ -135,10 +143,25 @@ def explain(fitted: TrainedModel, applied: DataFrame, key: str = "email_id", lim
             return [{"i": int(i), "v": float(x)} for i, x in zip(places, values) if x > 0]
         return pd.Series([entries(i, v) for i, v in zip(products["indices"], products["values"])])
 
-    entries = vectors.select(key, positive("products").alias("e"), lookup.alias("names"))
-    contributions = F.transform("e", lambda x: F.struct(
-        F.element_at("names", x["i"] + 1).alias("reason"), x["v"].alias("impact")))
-    return entries.select(key, E.top_reasons(contributions, limit).alias("model_indicators"))
+    rows = scaled.transform(vectors).withColumns({"_e": positive("_products"), "_names": lookup})
+    contributions = F.transform("_e", lambda x: F.struct(
+        F.element_at("_names", x["i"] + 1).alias("reason"), x["v"].alias("impact")))
+    return rows.withColumn("model_indicators", E.top_reasons(contributions, limit)).drop("_e", "_names", "_products")
+
+
+def explain(fitted: TrainedModel, applied: DataFrame, key: str = "email_id", limit: int = 5,
+            name_numeric: bool = False) -> DataFrame:
+    """key, model_indicators: strongest reasons per mail of an :func:`apply` result."""
+    return _indicators(fitted, applied, limit, name_numeric).select(key, "model_indicators")
+
+
+def annotate(fitted: TrainedModel, mails: DataFrame, limit: int = 5, name_numeric: bool = False) -> DataFrame:
+    """``mails`` with the probability ``p`` and ``model_indicators``, row by row: texts stay
+    where they are and no feature vector is written."""
+    frame = mails.withColumn("_mail", F.struct(*[F.col(f"`{c}`") for c in mails.columns]))
+    scored = probabilities(fitted, feature_table(frame, ["_mail"], training=False))
+    rows = _indicators(fitted, scored, limit, name_numeric)
+    return rows.select("_mail.*", "p", "model_indicators")
 
 
 # --- persistence -----------------------------------------------------------------

@@ -16,6 +16,7 @@ def local_session(cores: int | str = 8, app: str = "mailtriage", **conf) -> Spar
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.files.maxPartitionBytes", "4m")  # the test tables are small
         .config("spark.driver.memory", "12g")
     )
     for key, value in conf.items():
@@ -29,7 +30,7 @@ def staging_dir(spark: SparkSession) -> str:
     """Folder for staged tables: ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a folder of its own, because a
-    machine-local path is not shared between executors.
+    machine-local path is not shared between executors; a cluster session must set it.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if found is None:
@@ -40,21 +41,6 @@ def staging_dir(spark: SparkSession) -> str:
     return found
 
 
-SPLIT_BYTES = 128 << 20
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a scan that is too small to occupy all cores.
-
-    A few row groups give a few tasks, however many cores there are, and text work is bound
-    by cores.  A scan with at least one split per core is returned as it is, so large
-    tables are not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * SPLIT_BYTES else df
-
-
 def staged_table(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the staging folder and read it back.
 
@@ -64,6 +50,5 @@ def staged_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    # small row groups, so that a wide staged row set is read by many tasks
-    df.write.option("parquet.block.size", 8 << 20).parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from mailtriage.functions import urls as U
 from mailtriage.plans import corpus as PC, reputation as RP, score as PS, train as TR
-from mailtriage.sources import corpus as C, files as FS, sinks as SK
+from checks import corpus as C
+from mailtriage.sources import files as FS, sinks as SK
 from mailtriage.streaming import scoring as ST
 
 SF = "/root/testdata/sf0.001"
