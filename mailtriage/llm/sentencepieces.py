@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from mailtriage.llm.common import column_of, documents, text_groups, texts_of
 
 BLANK = "▁"
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 NO_RANK = np.int32(1 << 30)
 CODE_POINTS = 0x110000
 END_ID = 2
 INSIDE_BITS = 22
-KNOWN_WORDS = 300_000  # words whose ids a task keeps; past that it starts anew
+KNOWN_WORDS = 150_000  # words whose ids a task keeps; past that it starts anew
 
 
 @dataclass
@@ -275,8 +275,8 @@ class Tables:
         return text[1:] if text.startswith(" ") and len(ids) and self._spaced(ids) else text
 
     def _spaced(self, ids: np.ndarray) -> bool:
-        spoken = [i for i in ids[:4].tolist() if self.spelt[i]]
-        return bool(spoken) and spoken[0] > 0 and not self.is_byte[spoken[0]]
+        first = next((i for i in ids.tolist() if self.spelt[i]), 0)
+        return first > 0 and not self.is_byte[first]
 
     def _runs(self, ids: np.ndarray) -> Iterator[tuple[bool, bytes]]:
         raw = self.is_byte[ids]
