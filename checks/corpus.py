@@ -15,21 +15,21 @@ CORPUS_SUFFIXES = ["com", "net", "org", "uk", "co.uk", "ru",
                    "example.com", "example.net", "example.org"]
 
 PHRASE_DECK = {  # slot -> (subject addition, body addition)
-    0: ("URGENT: Verify your account now", "Please verify your account immediately."),
-    2: ("Password Reset Required", "Click here to reset your password. Reset now."),
-    3: ("Meeting agenda", "We discuss project updates tomorrow."),
-    4: ("Tonight", "FIRST FREE ADULT CHAT Private Chat Exclusive Photos Special Moments "
-                   "ACCEPT I AM 18+"),
+    0: ("URGENT notice: confirm your account", "Kindly verify your account and confirm your account today."),
+    2: ("Mailbox password reset", "To reset your password, click here before the limited time is over."),
+    3: ("Garden tools", "The rake and the spade are in the shed."),
+    4: ("Waiting tonight", "ADULT CHAT for members: private chat, exclusive photos, dating. "
+                           "Accept to enter."),
     5: ("nan", ""),
-    6: ("You are a WINNER", "Claim your free gift!!! Prize of $500 USD, limited time, "
-                            "click www.google.com/claim"),
+    6: ("LUCKY WINNER of the draw", "A prize of $900 USD and a free gift!!! Claim it at "
+                                    "www.google.com/lucky"),
 }
 LINK_DECK = [
-    "http://192.168.1.10/login", "https://secure-paypal-login.com/verify",
-    "https://gooogle-security-check.com", "http://xn--pypal-4ve.com/",
-    "https://a-b-c-d-e.net/x", "ftp://files.example.com/x", "https://paypal.com/",
-    "www.google.com/search?q=1", "http://12345.co.uk", None,
-    "https://company-example.com/meetings",
+    "http://10.11.12.13/panel", "https://paypal-secure-update.net/signin",
+    "https://goog1e-account-help.com/start", "http://xn--ggle-0nda.com/",
+    "https://win-big-now-and-today.net/x", "ftp://files.example.com/x", "https://paypal.com/",
+    "www.google.com/search?q=1", "http://987654.co.uk", None,
+    "https://rooms-office.com/notes",
 ]
 
 
@@ -56,7 +56,7 @@ def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     sender = (
         F.when(address != "", F.concat(F.lit("Doc <"), address, F.lit(">")))
         .when(doc % 4 == 0, F.concat(F.lit("User "), doc, F.lit(" <u"), doc, F.lit("@"), page_host, F.lit(">")))
-        .when(doc % 4 == 1, F.concat(F.lit("u"), doc, F.lit("@company-example.com")))
+        .when(doc % 4 == 1, F.concat(F.lit("u"), doc, F.lit("@rooms-office.com")))
         .when(doc % 4 == 2, "not-an-email").otherwise("alerts@gmail.com")
     )
     subject = F.when(slot == 5, "nan").otherwise(F.concat_ws(
@@ -82,6 +82,7 @@ def raw_messages(mails: DataFrame) -> DataFrame:
 
     Mails divisible by 7 occur twice, by 9 carry a leaked header line, by 13 have a blank
     subject and a second header block on top of the body; others vary in optional fields.
+    Every 23rd is multipart with a base64 and a quoted-printable part and an attachment.
     """
     n = F.col("email_id")
     subject = F.when(n % 13 == 0, "").otherwise(
@@ -99,8 +100,14 @@ def raw_messages(mails: DataFrame) -> DataFrame:
     second = F.when(n % 13 == 0, F.concat(
         F.lit("Subject: recovered "), n, F.lit("\n\tsecond line\nX-Mailer: one\nSubject: again "), n, F.lit("\n\n")))
     leaked = F.when(n % 9 == 0, F.concat(F.lit("\nX-Tag: t"), n, F.lit("\nend")))
-    message = F.concat(head, F.lit("\n\n"), F.coalesce(second, F.lit("")), "body",
-                       F.coalesce(leaked, F.lit("")))
+    content = F.concat(F.coalesce(second, F.lit("")), "body", F.coalesce(leaked, F.lit("")))
+    mark = F.concat(F.lit("\n--sep-"), n)
+    parts = F.concat(
+        F.lit("\nContent-Type: multipart/mixed; boundary=\"sep-"), n, F.lit("\"\n\nno text"), mark,
+        F.lit("\nContent-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: base64\n\n"), F.base64(content.cast("binary")), mark,
+        F.lit("\nContent-Type: text/html\nContent-Transfer-Encoding: quoted-printable\n\ncaf=C3=A9 soft=\nline 100% =3D "), n, mark,
+        F.lit("\nContent-Type: application/pdf\nContent-Disposition: attachment\n\nQUJD"), mark, F.lit("--\n"))
+    message = F.concat(head, F.when(n % 23 == 5, parts).otherwise(F.concat(F.lit("\n\n"), content)))
     copies = F.when(n % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return mails.select(n, "label", message.alias("message"), F.explode(copies).alias("copy")).select(
         (n * 2 + F.col("copy")).alias("email_id"), "label", "message")

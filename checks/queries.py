@@ -131,7 +131,7 @@ def random_mails(spark, sf):
 # --- headers and bodies ----------------------------------------------------------------
 
 _PARSED = """cut AS (SELECT *, instr(message, chr(10) || chr(10)) AS cut_at FROM raw),
-parsed AS (SELECT email_id, label, message, substr(message, 1, cut_at - 1) AS h, substr(message, cut_at + 2) AS body FROM cut),
+parsed AS (SELECT email_id, label, message, substr(message, 1, cut_at - 1) AS h, coalesce(parts, substr(message, cut_at + 2)) AS body FROM cut),
 fields AS (SELECT *, """ + ", ".join(
     rf"nullif(regexp_extract(h, '(?i)(?:^|\n){f}:[ \t]*([^\n]*(?:\n[ \t][^\n]*)*)', 1), '') AS \"{H.column_name(f)}\""
     if f != "Subject" else
@@ -153,7 +153,7 @@ def parsed_chosen_headers(spark, sf):
 
 @query(E("SELECT email_id, body FROM parsed", Q.RAW, _PARSED))
 def message_bodies(spark, sf):
-    return _raw(spark, sf).select("email_id", H.split_message(F.col("message"))["body"].alias("body"))
+    return _raw(spark, sf).select("email_id", H.payload(H.split_message(F.col("message"))).alias("body"))
 
 
 @query(E(r"""SELECT email_id, regexp_extract(x, '^([^:]*):', 1) AS name,
@@ -174,7 +174,7 @@ _HEADER_LINE = (r"(?i)^\s*(" + "|".join(K.BODY_HEADER_NAMES) + r"|x-[\w-]+)\s*:"
 
 @query(E("SELECT email_id, header, rest AS body FROM blocks", Q.RAW, _PARSED, _BLOCK))
 def header_body_split(spark, sf):
-    body = H.split_message(F.col("message"))["body"]
+    body = H.payload(H.split_message(F.col("message")))
     return _raw(spark, sf).select("email_id", X.split_header_body(body).alias("s")).select("email_id", "s.*")
 
 
@@ -193,7 +193,7 @@ _HEADER_MAP = rf"""lines AS (
 
 @query(E("SELECT email_id, name, value FROM hmap", Q.RAW, _PARSED, _BLOCK, _HEADER_MAP))
 def header_map(spark, sf):
-    body = H.split_message(F.col("message"))["body"]
+    body = H.payload(H.split_message(F.col("message")))
     m = H.header_map(X.split_header_body(body)["header"])
     return _raw(spark, sf).select("email_id", F.explode(m).alias("name", "value"))
 
@@ -225,7 +225,7 @@ _NO_HEADER_LINES = rf"""{Q.strip(f'''array_to_string(list_filter(string_split(BO
 
 @query(E(f"SELECT email_id, {_NO_HEADER_LINES.replace('BODY', 'body')} AS body FROM parsed", Q.RAW, _PARSED))
 def bodies_without_header_lines(spark, sf):
-    body = H.split_message(F.col("message"))["body"]
+    body = H.payload(H.split_message(F.col("message")))
     return _raw(spark, sf).select("email_id", X.drop_header_lines(body).alias("body"))
 
 
@@ -462,7 +462,7 @@ def domain_list_csv(spark, sf):
 def reputation_csv(spark, sf):
     path = _scratch(spark, "reputation")
     D.reputation(_mails(spark, sf), SUF).write.option("header", True).option("emptyValue", "").csv(path)
-    return FS.reputation_csv(spark, path).withColumn("sources", F.coalesce("sources", F.lit("")))
+    return FS.reputation_csv(spark, path)
 
 
 @query(Q.ctes(Q.HOSTS, final="SELECT domain FROM trusted UNION SELECT domain FROM safe"))

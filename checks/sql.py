@@ -33,7 +33,7 @@ EMAILS = f"""emails AS (
     CASE WHEN {_ADDRESS} <> '' THEN 'Doc <' || {_ADDRESS} || '>'
          WHEN d.doc_id % 4 = 0 THEN 'User ' || d.doc_id || ' <u' || d.doc_id || '@'
               || regexp_extract(g.url, '^https?://([^/:?#]+)', 1) || '>'
-         WHEN d.doc_id % 4 = 1 THEN 'u' || d.doc_id || '@company-example.com'
+         WHEN d.doc_id % 4 = 1 THEN 'u' || d.doc_id || '@rooms-office.com'
          WHEN d.doc_id % 4 = 2 THEN 'not-an-email' ELSE 'alerts@gmail.com' END AS "from",
     d.source || '@inbox.example.org' AS "to",
     nullif(concat_ws(', ', CASE WHEN d.doc_id % 2 = 0 THEN g.url END, lk.u), '') AS urls,
@@ -55,14 +55,20 @@ RAW = """raw AS (
       CASE WHEN email_id % 3 = 0 THEN 'Sender: ' || "to" END,
       CASE WHEN email_id % 5 = 0 THEN 'List-Id: news ' || (email_id % 3) || ' <list.example.org>' END,
       'X-Loop: a')
-    || chr(10) || chr(10)
-    || CASE WHEN email_id % 13 = 0 THEN 'Subject: recovered ' || email_id || chr(10) || chr(9)
+    || CASE WHEN email_id % 23 = 5 THEN chr(10) || 'Content-Type: multipart/mixed; boundary="sep-' || email_id || '"' || chr(10) || chr(10) || 'no text'
+         || chr(10) || '--sep-' || email_id || chr(10) || 'Content-Type: text/plain; charset=utf-8' || chr(10) || 'Content-Transfer-Encoding: base64'
+         || chr(10) || chr(10) || to_base64(encode(content)) || chr(10) || '--sep-' || email_id || chr(10) || 'Content-Type: text/html' || chr(10)
+         || 'Content-Transfer-Encoding: quoted-printable' || chr(10) || chr(10) || 'caf=C3=A9 soft=' || chr(10) || 'line 100% =3D ' || email_id
+         || chr(10) || '--sep-' || email_id || chr(10) || 'Content-Type: application/pdf' || chr(10) || 'Content-Disposition: attachment' || chr(10) || chr(10)
+         || 'QUJD' || chr(10) || '--sep-' || email_id || '--' || chr(10)
+       ELSE chr(10) || chr(10) || content END AS message,
+    CASE WHEN email_id % 23 = 5 THEN content || chr(10) || chr(10) || 'café softline 100% = ' || email_id END AS parts
+  FROM (SELECT *, CASE WHEN email_id % 13 = 0 THEN 'Subject: recovered ' || email_id || chr(10) || chr(9)
             || 'second line' || chr(10) || 'X-Mailer: one' || chr(10) || 'Subject: again ' || email_id
             || chr(10) || chr(10) ELSE '' END
     || body
     || CASE WHEN email_id % 9 = 0 THEN chr(10) || 'X-Tag: t' || email_id || chr(10) || 'end' ELSE '' END
-    AS message
-  FROM emails, (VALUES (0), (1)) c(copy) WHERE copy = 0 OR email_id % 7 = 0
+    AS content FROM emails), (VALUES (0), (1)) c(copy) WHERE copy = 0 OR email_id % 7 = 0
 )"""
 
 _ALT = "|".join(s.replace(".", "[.]") for s in sorted(CORPUS_SUFFIXES, key=len, reverse=True))

@@ -41,6 +41,42 @@ def split_message(raw: Column) -> Column:
     return F.struct(F.array_join(F.slice(lines, 1, n_head), "\n").alias("header"), body.alias("body"))
 
 
+def _quoted_printable(c: Column) -> Column:
+    """Soft line breaks undone, ``=XX`` as UTF-8 bytes; text that is no valid encoding stays."""
+    joined = F.regexp_replace(c, r"=[ \t]*\n", "")
+    spelt = F.regexp_replace(F.replace(F.replace(joined, F.lit("%"), F.lit("%25")), F.lit("+"), F.lit("%2B")),
+                             "=([0-9A-Fa-f]{2})", "%$1")
+    return F.coalesce(F.try_url_decode(spelt), joined)
+
+
+def _part_text(part: Column) -> Column:
+    """Decoded content of one MIME part, null if it is no text or an attachment."""
+    head = F.substring_index(part, "\n\n", 1)
+    content = F.substr(part, F.length(head) + 3)
+    kind = F.lower(F.regexp_extract(head, r"(?im)^content-type:\s*([^;\s]+)", 1))
+    encoding = F.lower(F.regexp_extract(head, r"(?im)^content-transfer-encoding:\s*(\S+)", 1))
+    plain = (F.when(encoding == "base64", F.coalesce(
+        F.decode(F.try_to_binary(F.regexp_replace(content, r"\s", ""), F.lit("base64")), "UTF-8"), content))
+        .when(encoding == "quoted-printable", _quoted_printable(content)).otherwise(content))
+    attached = head.rlike(r"(?im)^content-disposition:\s*attachment")
+    return F.when(((kind == "") | kind.startswith("text/")) & ~attached, plain)
+
+
+def payload(message: Column) -> Column:
+    """Body of a split message: the text parts of a multipart mail, decoded and joined by
+    blank lines; any other body as it is.  Parts inside parts are cut at their own marks."""
+    header, body = message["header"], message["body"]
+    kind = header_value(header, "Content-Type")
+    marks = F.array_distinct(F.regexp_extract_all(
+        F.concat(header, F.lit("\n"), body), F.lit(r"(?im)^content-type:\s*multipart/[^;\n]*;(?:[^\n]|\n[ \t])*?boundary=\"?([^\";\s]+)"), F.lit(1)))
+    pattern = F.concat(F.lit("\n--(?:"), F.array_join(F.transform(marks, lambda b: F.concat(F.lit("\\Q"), b, F.lit("\\E"))), "|"),
+                       F.lit(")(?:--)?[ \t]*(?=\n|\\z)"))
+    parts = F.split(F.concat(F.lit("\n"), body), pattern)
+    texts = F.array_compact(F.transform(F.slice(parts, 2, F.size(parts)), lambda p: _part_text(F.regexp_replace(p, r"\A\n", ""))))
+    texts = F.filter(texts, lambda t: X.strip(t) != "")
+    return F.when(F.lower(kind).startswith("multipart/") & (F.size(marks) > 0), F.array_join(texts, "\n\n")).otherwise(body)
+
+
 def header_value(header: Column, field: str) -> Column:
     """First value of a field, folded lines kept as they are; null when absent."""
     pattern = rf"(?im)^{field}:[ \t]*(.*(?:\n[ \t].*)*+)"
@@ -49,12 +85,12 @@ def header_value(header: Column, field: str) -> Column:
 
 def parse_headers(df: DataFrame, message: str = "message",
                   fields: Iterable[str] | None = None) -> DataFrame:
-    """Append one column per header field plus ``body`` beside the originals."""
+    """Append one column per header field plus ``body`` (see :func:`payload`) beside the originals."""
     fields = list(fields or K.HEADER_FIELDS)
     staged = df.withColumn("_m", split_message(F.col(message)))
     return staged.withColumns(
         {column_name(f): header_value(F.col("_m.header"), f) for f in fields}
-        | {"body": F.col("_m.body")}
+        | {"body": payload(F.col("_m"))}
     ).drop("_m")
 
 

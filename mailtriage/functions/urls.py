@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
@@ -24,30 +25,50 @@ _AUTHORITY = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)"
 
 # --- registrable domain -----------------------------------------------------
 
+def _any_of(words: Iterable[str]) -> str:
+    """One pattern for any of the words, branching letter by letter, so that a complete
+    suffix list costs a few steps per host."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for c in word:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def spelt(node: dict) -> str:
+        arms = [re.escape(c) + spelt(below) for c, below in sorted(node.items()) if c]
+        if not arms:
+            return ""
+        body = arms[0] if len(arms) == 1 and "" not in node else "(?:" + "|".join(arms) + ")"
+        return body + ("?" if "" in node else "")
+
+    return spelt(tree)
+
+
 def registrable(host: Column, suffixes: Iterable[str] | None = None) -> Column:
     """Public suffix plus one label, else the input in lower case.
 
     All rules become one pattern that also skips user info, port and path.  Its prefix is
     lazy, so the longest suffix is found first, and a host costs a single match.  ``*.x``
-    and ``!y.x`` rules are understood.  Lists of thousands of rules belong in
-    :func:`mailtriage.operators.domains.registrable_by_table`.
+    and ``!y.x`` rules are understood.  A complete list is read by
+    :func:`mailtriage.sources.files.suffix_rules`; rules that are too many for one pattern
+    belong in :func:`mailtriage.operators.domains.registrable_by_table`.
     """
     rules = list(suffixes or K.DEFAULT_SUFFIXES)
-    plain = sorted((r for r in rules if not r.startswith("!")), key=lambda r: (-len(r), r))
-    exact = [r[1:] for r in rules if r.startswith("!")]
-
-    def quoted(rule: str) -> str:
-        return r"\.".join("[^./?#:@]+" if part == "*" else part for part in rule.split("."))
+    plain = sorted(r for r in rules if not r.startswith(("!", "*.")))
+    wild = sorted(r[2:] for r in rules if r.startswith("*."))
+    exact = sorted(r[1:] for r in rules if r.startswith("!"))
+    suffix = "|".join(p for p in (_any_of(plain), r"[^./?#:@]+\." + _any_of(wild) if wild else "") if p)
 
     def cut(core: str) -> str:
         return (r"(?s)^(?:[^/?#]*@)?(?:[^/?#:@]*?\.)??(" + core
                 + r")\.*(?::[^/?#@]*)?(?:[/?#].*)?\z")
 
     low = F.lower(host)
-    main = F.regexp_replace(low, cut(r"[^./?#:@]+\.(?:" + "|".join(map(quoted, plain)) + ")"), "$1")
+    main = F.regexp_replace(low, cut(r"[^./?#:@]+\.(?:" + suffix + ")"), "$1")
     if not exact:
         return main
-    special = cut("|".join(map(quoted, exact)))
+    special = cut(_any_of(exact))
     return F.when(low.rlike(special), F.regexp_replace(low, special, "$1")).otherwise(main)
 
 
@@ -155,7 +176,8 @@ def structural_reason(host: Column, domain: Column) -> Column:
 
 def _suffix_tail(suffixes: Iterable[str] | None) -> str:
     rules = [r for r in (suffixes or K.DEFAULT_SUFFIXES) if not r.startswith("!")]
-    return "|".join(r.replace(".", r"\.").replace("*", "[^.]+") for r in rules)
+    wild = [r[2:] for r in rules if r.startswith("*.")]
+    return "|".join(p for p in (_any_of(r for r in rules if not r.startswith("*.")), r"[^.]+\." + _any_of(wild) if wild else "") if p)
 
 
 def brand_label(domain: Column, suffixes: Iterable[str] | None = None) -> Column:

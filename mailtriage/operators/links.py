@@ -91,8 +91,3 @@ def display_closest(distance: Column, closest: Column) -> Column:
 def safe_url_lines(mails: DataFrame) -> DataFrame:
     """URL cells of ham mails, one per line."""
     return mails.where((F.col("label") == 0) & F.col("urls").isNotNull() & (F.col("urls") != "nan")).select("urls")
-
-
-def safe_domains(lines: DataFrame, column: str = "urls", suffixes: Iterable[str] | None = None) -> DataFrame:
-    """Distinct registrable domains of lines of comma-separated URLs."""
-    return lines.select(F.explode(U.safe_line_domains(F.col(column), suffixes)).alias("domain")).distinct()

@@ -9,7 +9,6 @@ def _struct(**fields) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-RAW_MAIL = _struct(path=_S, label=_I, message=_S)
 
 CLEAN_MAIL = T.StructType(
     [T.StructField(c, _S) for c in
@@ -28,7 +27,6 @@ MAIL_REQUEST = T.StructType(
      ("id", "sender_email", "from", "subject", "body", "url", "urls")]
 )
 
-EML_FIELDS = _struct(path=_S, subject=_S, sender_email=_S, body=_S, parse_status=_S)
 
 
 def missing_columns(df, required) -> list[str]:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +44,23 @@ def staging_dir(spark: SparkSession) -> str:
     return found
 
 
+_scope: contextvars.ContextVar[str] = contextvars.ContextVar("scope", default="")
+
+
+@contextlib.contextmanager
+def staging_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """Tables staged inside the block share a folder, which is deleted at its end: for jobs
+    that repeat, such as micro-batches.  Results must be written inside the block."""
+    folder = f"{name}-{uuid.uuid4().hex}"
+    token = _scope.set(f"{folder}/")
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_dir(spark).rstrip('/')}/{folder}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged_table(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the staging folder and read it back.
 
@@ -49,6 +69,6 @@ def staged_table(df: DataFrame, name: str) -> DataFrame:
     whether a side is small enough to broadcast.
     """
     spark = df.sparkSession
-    path = f"{staging_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_dir(spark).rstrip('/')}/{_scope.get()}{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -62,6 +62,19 @@ def safe_hosts(spark: SparkSession, path: str, suffixes: Iterable[str] | None =
     return lines.select(F.explode(U.safe_line_domains(F.col("value"), suffixes)).alias("domain")).distinct()
 
 
+MOST_RULES = 50_000
+
+
+def suffix_rules(spark: SparkSession, path: str) -> list[str]:
+    """Rules of a public-suffix file for the ``suffixes`` argument of the jobs: one a line,
+    comments and blank lines dropped.  More than ``MOST_RULES`` are refused."""
+    line = F.lower(F.regexp_extract("value", r"^\s*([^\s/][^\s]*)", 1))
+    found = spark.read.text(path).select(line.alias("rule")).where("rule <> ''").distinct().limit(MOST_RULES + 1).collect()
+    if len(found) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} suffix rules")
+    return sorted(r["rule"] for r in found)
+
+
 def reputation_csv(spark: SparkSession, path: str) -> DataFrame | None:
     """Reputation table, or None when the file or a needed column is missing."""
     try:
@@ -72,7 +85,9 @@ def reputation_csv(spark: SparkSession, path: str) -> DataFrame | None:
         return None
     if SC.missing_columns(found, SC.REPUTATION.names):
         return None
-    return found.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in SC.REPUTATION])
+    values = {f.name: F.col(f.name).try_cast(f.dataType) for f in SC.REPUTATION}
+    values["sources"] = F.coalesce(values["sources"], F.lit(""))
+    return found.select(*[c.alias(name) for name, c in values.items()])
 
 
 def site_list(reputation: DataFrame) -> DataFrame:
@@ -83,6 +98,7 @@ def site_list(reputation: DataFrame) -> DataFrame:
 def mail_requests_json(spark: SparkSession, path: str) -> DataFrame:
     """Mail records with optional keys; ``_corrupt`` holds lines that are no JSON objects."""
     schema = SC.T.StructType(SC.MAIL_REQUEST.fields + [SC.T.StructField("_corrupt", SC.T.StringType())])
+    # the id may be missing: scoring makes row keys of its own
     return (spark.read.schema(schema).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt").json(path))
 

@@ -28,15 +28,6 @@ def write_safe_urls(mails: DataFrame, path: str) -> None:
     safe_url_lines(mails).write.mode("overwrite").text(path)
 
 
-def write_metrics(metrics: DataFrame, path: str) -> None:
-    """One JSON document."""
-    metrics.coalesce(1).write.mode("overwrite").json(path)
-
-
 def as_json(df: DataFrame, key: str) -> DataFrame:
     """key and the whole row as one JSON text."""
     return df.select(key, F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json"))
-
-
-def write_scores(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)

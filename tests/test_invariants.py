@@ -54,7 +54,7 @@ def test_lookup_with_a_hot_key(spark, small):
     got = lookup(facts, dim, "k", F.col("id"), small)
     assert got.count() == 3000
     assert got.where("v = 1").count() == 1000 and got.where("v = 2").count() == 1
-    assert is_small(dim, 2) and not is_small(dim, 1)
+    assert is_small(dim, 1000) and not is_small(dim, 10)
 
 
 def test_numbered_is_gapless(spark):
