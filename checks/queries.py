@@ -856,7 +856,7 @@ def _vocabularies(stats):
 
 @query(E("SELECT * FROM stats", *_FEATS, _TERMS, _STATS))
 def term_frequencies(spark, sf):
-    return T.block_stats(_terms(spark, sf), _BLOCK_COLUMNS)
+    return T.block_stats(TR.feature_table(_mails(spark, sf), ["email_id"]), _BLOCK_COLUMNS)
 
 
 @query(E("SELECT * FROM vocab", *_FEATS, _TERMS, _STATS, _VOCAB))

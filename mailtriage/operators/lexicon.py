@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mailtriage import constants as K
 from mailtriage.functions import text as X
 from mailtriage.functions.literals import mapping, strings
-from mailtriage.operators.lookup import lookup
+from mailtriage.operators.lookup import is_small, lookup
 
 _UNIT = 20
 
@@ -82,14 +82,15 @@ def lexicon_score(mails: DataFrame, subject: str = "subject", body: str = "body"
 
 
 def keyword_hits(mails: DataFrame, terms: DataFrame, key: str = "email_id", subject: str = "subject",
-                 body: str = "body", small: bool = False) -> DataFrame:
+                 body: str = "body", small: bool | None = None) -> DataFrame:
     """key, term, subject_hits, body_hits for a lexicon given as a table ``terms(term)``.
 
     For lexicons too long for one pattern: texts become maximal word runs and each run is
-    looked up.  A checked ``small`` lexicon filters the runs before anything is shuffled;
-    otherwise runs are counted per mail first and a common word is spread over salts.
+    looked up.  A ``small`` lexicon (measured if not told) filters the runs before anything
+    is shuffled; otherwise runs are counted per mail first.
     """
     dim = terms.select(F.lower("term").alias("term")).distinct()
+    small = is_small(dim) if small is None else small
 
     def runs(column: str, s: int, b: int) -> Column:
         found = F.regexp_extract_all(X.normalise(F.col(column)), F.lit(r"(?U)\w+"), F.lit(0))

@@ -6,11 +6,12 @@ IDF weights and length norm are Spark ML stages, which work row by row without a
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -78,16 +79,29 @@ def term_stats(df: DataFrame, terms: str) -> DataFrame:
 
 
 def block_stats(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """block, term, tf, df for several term columns in one scan and one shuffle."""
-    def counted(block: str, terms: str) -> Column:
-        def row(t, o, d):
-            return F.struct(F.lit(block).alias("block"), t.alias("term"), F.lit(o).alias("o"), F.lit(d).alias("d"))
-        return F.concat(F.transform(terms, lambda t: row(t, 1, 0)),
-                        F.transform(F.array_distinct(terms), lambda t: row(t, 0, 1)))
-
-    rows = F.concat(*[counted(block, terms) for block, terms in columns.items()])
-    return df.select(F.explode_outer(rows).alias("t")).select("t.*").where("term is not null").groupBy("block", "term").agg(
-        F.sum("o").alias("tf"), F.sum("d").alias("df"))
+    """block, term, tf, df for several term columns in one scan and one shuffle.
+
+    Each Arrow batch is counted as a whole (occurrences, and mails by distinct pairs of
+    mail and term), so that what is shuffled is one row per batch and term instead of two
+    per occurrence.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, name in columns.items():
+                lists = batch.column(batch.schema.get_field_index(name))
+                coded = lists.flatten().dictionary_encode()
+                n = len(coded.dictionary)
+                if not n:
+                    continue
+                codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                seen = np.unique(np.repeat(np.arange(len(sizes)), sizes) * n + codes) % n
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * n), coded.dictionary, pa.array(np.bincount(codes, minlength=n)),
+                     pa.array(np.bincount(seen, minlength=n))], ["block", "term", "tf", "df"])
+
+    parts = df.select(*columns.values()).mapInArrow(run, "block string, term string, tf long, df long")
+    return parts.groupBy("block", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def vocabulary(stats: DataFrame, size: int, min_df: int = K.MIN_DOC_FREQ) -> DataFrame:
