@@ -104,7 +104,7 @@ def raw_messages(mails: DataFrame) -> DataFrame:
     mark = F.concat(F.lit("\n--sep-"), n)
     parts = F.concat(
         F.lit("\nContent-Type: multipart/mixed; boundary=\"sep-"), n, F.lit("\"\n\nno text"), mark,
-        F.lit("\nContent-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: base64\n\n"), F.base64(content.cast("binary")), mark,
+        F.lit("\nContent-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: base64\n\n"), F.regexp_replace(F.base64(content.cast("binary")), r"\s", ""), mark,
         F.lit("\nContent-Type: text/html\nContent-Transfer-Encoding: quoted-printable\n\ncaf=C3=A9 soft=\nline 100% =3D "), n, mark,
         F.lit("\nContent-Type: application/pdf\nContent-Disposition: attachment\n\nQUJD"), mark, F.lit("--\n"))
     message = F.concat(head, F.when(n % 23 == 5, parts).otherwise(F.concat(F.lit("\n\n"), content)))
