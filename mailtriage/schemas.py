@@ -9,7 +9,6 @@ def _struct(**fields) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-
 CLEAN_MAIL = T.StructType(
     [T.StructField(c, _S) for c in
      ("message_id", "date", "from", "to", "subject", "sender", "list_id", "body", "urls")]
@@ -28,7 +27,6 @@ MAIL_REQUEST = T.StructType(
 )
 
 
-
 def missing_columns(df, required) -> list[str]:
     """Sorted names of required columns that a frame lacks (known at plan time)."""
     return sorted(set(required) - set(df.columns))
