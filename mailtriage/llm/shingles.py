@@ -76,5 +76,15 @@ def counted(shingles: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.nda
 
 
 def of_texts(texts: list[str], size: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``counted`` for raw texts."""
-    return counted(*shingle_hashes(*word_hashes(texts), size), len(texts))
+    """``counted`` for raw texts, worked out for about ``GROUP_BYTES`` of text at a time."""
+    found, start, held = [], 0, 0
+    for i, text in enumerate([*texts, None]):
+        if text is None or i > start and held + len(text) > GROUP_BYTES:
+            found.append(counted(*shingle_hashes(*word_hashes(texts[start:i]), size), i - start))
+            start, held = i, 0
+        held += len(text or "")
+    if len(found) == 1:
+        return found[0]
+    keys, times, offsets = zip(*found)
+    base = np.cumsum([0, *(o[-1] for o in offsets)])
+    return np.concatenate(keys), np.concatenate(times), np.concatenate([[0], *(o[1:] + b for o, b in zip(offsets, base))])
