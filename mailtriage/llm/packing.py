@@ -8,6 +8,7 @@ batch takes its sequences from one bucket, so every sequence is full.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -22,6 +23,12 @@ from mailtriage.llm.common import column_of, documents, text_groups, texts_of
 # Fixed value: the word pattern of the byte-level vocabulary.
 WORD_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# Fixed value: white space as the pattern understands it.
+BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Longer runs of white space are cut out before the pattern is tried, which gives up at a million of them.
+LONG_RUN = 1 << 16
+RUNS = re.compile(f"(?<!{BLANK}){BLANK}{{{LONG_RUN},}}")
+
 PIECES = "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long"
 FLUSH_IDS = 1 << 20
 
@@ -40,8 +47,48 @@ def byte_ranks(tokenizer_json: str) -> dict[bytes, int]:
     return {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
 
 
-def encoder(ranks: dict[bytes, int]) -> tiktoken.Encoding:
-    return tiktoken.Encoding("byte_bpe", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
+def added_ids(tokenizer_json: str) -> dict[str, int]:
+    """Strings that are one id wherever they stand in a text."""
+    tokens = json.loads(tokenizer_json).get("added_tokens", ())
+    if any(token[flag] for token in tokens for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that depend on their neighbours are not supported")
+    return {token["content"]: token["id"] for token in tokens}
+
+
+class Encoder:
+    """Ids of whole texts, equal to those of the tokenizers library for the same vocabulary file.
+
+    Strings of ``added`` are found first and are one id each; what stands between them is encoded by itself.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], added: dict[str, int] | None = None):
+        self.plain = tiktoken.Encoding("byte_bpe", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.added = added or {}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.finder = re.compile("|".join(map(re.escape, longest_first))) if self.added else None
+
+    def encode(self, text: str) -> list[int]:
+        if self.finder is None or not any(token in text for token in self.added):
+            return self.between(text)
+        ids, at = [], 0
+        for m in self.finder.finditer(text):
+            ids += self.between(text[at : m.start()])
+            ids.append(self.added[m.group()])
+            at = m.end()
+        return ids + self.between(text[at:])
+
+    def between(self, text: str) -> list[int]:
+        """Ids of a text without added tokens.  A long run of white space is one word up to its last character,
+        which belongs to what follows; at the end of the text all of it is one word."""
+        if len(text) <= LONG_RUN:
+            return self.plain.encode_ordinary(text)
+        ids, at = [], 0
+        for m in RUNS.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            ids += self.plain.encode_ordinary(text[at : m.start()])
+            ids += self.plain._encode_single_piece(text[m.start() : end])
+            at = end
+        return ids + self.plain.encode_ordinary(text[at:])
 
 
 def piece_lengths(n: int, limit: int) -> list[int]:
@@ -51,10 +98,11 @@ def piece_lengths(n: int, limit: int) -> list[int]:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int = 1, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", added_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Texts are whole; special-token strings in a text are ordinary text.  A null or empty text is its end id
+    Texts are whole.  With ``added_tokens``, a special-token string in a text is its one id, as in the default
+    settings of the tokenizers library; else it is ordinary text.  A null or empty text is its end id
     alone, one piece of length 1.  Repeated rows are packed once each, a null id stays null, an empty table
     gives no rows.  ``limit`` must be a power of two.  Work is row-local: nothing is shuffled, and
     ``sequence_id`` is unique because it is made of partition and row.
@@ -63,10 +111,12 @@ def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int =
         raise ValueError("limit must be a power of two")
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
-        ranks = spark.sparkContext.broadcast(byte_ranks(f.read()))  # one vocabulary, fixed size
+        spec = f.read()
+    added = added_ids(spec) if added_tokens else {}
+    ranks = spark.sparkContext.broadcast(byte_ranks(spec))  # one vocabulary, fixed size
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks.value).encode_ordinary
+        encode = Encoder(ranks.value, added).encode
         for batch in text_groups(batches):
             doc_ids = column_of(batch, "doc_id").to_pylist()
             rows, flat, held = [], [], 0

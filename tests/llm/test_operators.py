@@ -93,6 +93,28 @@ def test_special_token_text_is_plain_text(spark):
     assert 50256 not in [i for r in rows for i in r["ids"]]
 
 
+def test_encoder_equals_the_default_tokenizer():
+    with open(BYTE_BPE, encoding="utf-8") as f:
+        spec = f.read()
+    encoder, tokenizer = packing.Encoder(packing.byte_ranks(spec), packing.added_ids(spec)), Tokenizer.from_file(BYTE_BPE)
+    end = "<|endoftext|>"
+    texts = [end, f"a {end} b{end}{end}\n", f"  {end}  x", "<|endoftext|", f"{end}'s"]
+    for run in (" ", "\n", "\u3000"):
+        texts.append(f"a{run * 1_100_000}b")
+    texts.append(f"{' ' * 70_000}{end}{' ' * 70_000}'s{' ' * 70_000}")
+    for text in texts:
+        assert encoder.encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_the_queries(spark, tmp_path):
+    text = "one <|endoftext|> two" + " " * 1_100_000
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = [*Tokenizer.from_file(BYTE_BPE).encode(text, add_special_tokens=False).ids, 1]
+    rows = sorted(QUERIES["op10_packing"](spark, str(tmp_path)).collect(), key=lambda r: r["start"])
+    assert 50256 in want and all(r["doc_tokens"] == len(want) for r in rows)
+    assert all(r["ids_crc32"] == zlib.crc32(np.array(want[r["start"] : r["start"] + r["length"]], "<u4").tobytes()) for r in rows)
+
+
 # sentencepiece
 
 @pytest.fixture(scope="module")
