@@ -469,6 +469,18 @@ def test_values_keep_format_and_check():
     assert pii.replace(f, "password=9da9a9ce12ab99dd")[0] != "password=9da9a9ce12ab99dd"
 
 
+def test_long_secrets_are_permuted_whole():
+    f, rng = pii.Feistel(b"k"), random.Random(3)
+    for n in (128, 200, 1025, 5000, 300_000):
+        value = "".join(rng.choice("abcXYZ019+/_-") for _ in range(n))
+        text = f"token={value} end"
+        new, found = pii.replace(f, text)
+        assert found == [("secret", 6, n)] and len(new) == len(text) and new.endswith(" end")
+        assert not any(value[i : i + 20] in new for i in range(0, n - 20, max(1, n // 50)))
+        assert pii.replace(f, new, back=True)[0] == text
+    assert f.spell("a" * 2000, "t") != f.spell("a" * 1999 + "b", "t")
+
+
 def test_invalid_values_stay():
     f = pii.Feistel(b"k")
     for text in ("4539 1488 0343 6468", "300.1.2.3", "2021-13-40", "000-12-3456", "version 3.14", "a@b", ""):
