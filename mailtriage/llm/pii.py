@@ -45,6 +45,14 @@ PATTERNS = {
         r"|(?<![\w.])\+\d{8,15}(?!\w)"
     ),
 }
+# How many characters the account numbers of a country have.
+IBAN_LENGTHS = {code: int(n) for n, codes in {
+    "15": "NO", "16": "BE", "18": "DK FI FK FO GL NL SD", "19": "MK SI", "20": "AT BA EE KZ LT LU MN XK",
+    "21": "CH HR LI LV", "22": "BG BH CR DE GB GE IE ME RS VA", "23": "AE GI IL IQ OM SO TL",
+    "24": "AD CZ ES MD PK RO SA SE SK TN VG", "25": "LY PT ST", "26": "IS TR", "27": "BI DJ FR GR IT MC SM",
+    "28": "AL AZ BY CY DO GT HN HU LB NI PL SV", "29": "BR EG PS QA UA", "30": "JO KW MU YE", "31": "MT SC", "32": "LC",
+    "33": "RU",
+}.items() for code in codes.split()}
 FINDERS = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
 # What a text must hold before a pattern is tried.
 NEEDS = {"email": re.compile("@"), "key_id": re.compile("AKIA|ASIA"), "secret": re.compile("[=:]"), "digits": re.compile(r"\d")}
@@ -233,6 +241,28 @@ RULES: dict[str, Callable[[Feistel, str, bool], str | None]] = {
 }
 
 
+def _iban_end(found: str) -> int:
+    """Where the account number at the start of ``found`` ends: at the length of its country or with all groups,
+    whichever passes the checksum first; 0 if none does.  A word or number behind it is not part of it."""
+    ends = [m.start() for m in re.finditer(r" |$", found)]
+    ends.sort(key=lambda end: (len(found[:end].replace(" ", "")) != IBAN_LENGTHS.get(found[:2]), -end))
+    for end in dict.fromkeys([ends[0], len(found)]):
+        plain = found[:end].replace(" ", "")
+        if len(plain) > 4 and iban_check(plain[:2], plain[4:]) == plain[2:4]:
+            return end
+    return 0
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Valid account numbers; the search goes on right behind each, and at the next word after a failed one."""
+    at = 0
+    while m := FINDERS["iban"].search(text, at):
+        end = _iban_end(m.group())
+        if end:
+            yield m.start(), m.start() + end
+        at = m.start() + (end or 1)
+
+
 def replace(f: Feistel, text: str, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """Pseudonymised text and (kind, start, length) of what was replaced, as code points of the input."""
     digits = NEEDS["digits"].search(text) is not None
@@ -240,14 +270,13 @@ def replace(f: Feistel, text: str, back: bool = False) -> tuple[str, list[tuple[
     for kind, finder in FINDERS.items():
         if not (NEEDS[kind].search(text) if kind in NEEDS else digits):
             continue
-        for m in finder.finditer(text):
-            group = "value" if kind == "secret" else 0
-            start, end = m.span(group)
-            if kind == "secret" and not any(c.isdigit() for c in m.group(group)):
+        spans = _ibans(text) if kind == "iban" else (m.span("value" if kind == "secret" else 0) for m in finder.finditer(text))
+        for start, end in spans:
+            if kind == "secret" and not any(c.isdigit() for c in text[start:end]):
                 continue
             if any(s < end and start < e for s, e, _, _ in taken):
                 continue
-            new = RULES[kind](f, m.group(group), back)
+            new = RULES[kind](f, text[start:end], back)
             if new is not None:
                 taken.append((start, end, kind, new))
     out, at = [], 0

@@ -481,6 +481,20 @@ def test_long_secrets_are_permuted_whole():
     assert f.spell("a" * 2000, "t") != f.spell("a" * 1999 + "b", "t")
 
 
+def test_ibans_before_words_and_numbers():
+    f = pii.Feistel(b"k")
+    values = ("ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT611904300234573201", "SE45 5000 0000 0583 9825 7466", "NO93 8601 1117 947",
+              "DE89 3704 0044 0532 0130 00", "PL61 1090 1014 0000 0712 1981 2874")
+    for value in values:
+        for after in (" BIC", " EUR", " 2024", " BANK OF", " BELADEBE", " 12", f" {values[1]} EUR", ", x", ""):
+            text = f"PAY 2024 ABCD AB12 to {value}{after}"
+            new, found = pii.replace(f, text)
+            assert found[0] == ("iban", 22, len(value)) and value not in new and values[1] not in new[22:]
+            assert len(found) == 1 + (values[1] in after) and pii.replace(f, new, back=True)[0] == text
+    assert pii.replace(f, "AB12 CDEF GHIJ ES91 2100 0418 4502 0005 1332 BIC")[1] == [("iban", 15, 29)]
+    assert pii.replace(f, "ES92 2100 0418 4502 0005 1332 BIC")[1] == []
+
+
 def test_invalid_values_stay():
     f = pii.Feistel(b"k")
     for text in ("4539 1488 0343 6468", "300.1.2.3", "2021-13-40", "000-12-3456", "version 3.14", "a@b", ""):
