@@ -1,8 +1,8 @@
 """License scans by conditional compression.
 
 Blocks of text around license words are compressed with every license's wordings as raw zstandard dictionary.
-The licenses that save most bytes are aligned word by word with the block, and confirmed if the wording differs
-in few words and names the license exactly.
+In the order of the bytes they save, all licenses are aligned word by word with the block, and confirmed if the
+wording differs in few words and names the license exactly.
 """
 
 from __future__ import annotations
@@ -86,7 +86,7 @@ WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*", re.I)
 #: Characters before and after a license word: a sentence that names a license, and a whole notice.
 SCALES = ((80, 120), (700, 1600))
 BLOCK_CHARS, OVERLAP = 4000, 1600
-WINNERS, LEAST_SAVED, SLACK = 6, 3, 0.12
+SLACK = 0.12
 LEVEL = 19
 OUT = ("doc_id long, license string, start long, length long, saved long, n_differences long, "
        "differences array<string>, wording string")
@@ -128,12 +128,13 @@ class Scanner:
             self.with_dict[license_id] = zstandard.ZstdCompressor(dict_data=held, compression_params=plain)
 
     def ranked(self, block: str) -> list[tuple[int, str]]:
-        """(bytes saved, license) of the licenses whose wordings shorten the block most."""
+        """(bytes saved, license) of all licenses, those first whose wordings shorten the block most.
+
+        In a list of many licenses each saves little, so none is left out for saving less than another.
+        """
         data = block.encode("utf-8", "replace")
         size = len(self.plain.compress(data))
-        saved = sorted(((size - len(c.compress(data)), i) for i, c in self.with_dict.items()), key=lambda s: (-s[0], s[1]))
-        best = [s for s in saved if s[0] >= LEAST_SAVED]
-        return [s for k, s in enumerate(best) if k < WINNERS or s[0] == best[WINNERS - 1][0]]
+        return sorted(((size - len(c.compress(data)), i) for i, c in self.with_dict.items()), key=lambda s: (-s[0], s[1]))
 
     def confirmed(self, block: str) -> list[tuple]:
         """(start, end, license, saved, differences, wording) of the wordings that stand in the block."""

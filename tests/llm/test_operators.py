@@ -534,5 +534,18 @@ def test_license_wording_differences():
     assert [scanner.scan(t) for t in ("a driving license office", "", "permission to speak")] == [[], [], []]
 
 
+def test_lists_of_many_licenses():
+    scanner = licenses.Scanner()
+    lines = {i: f"Licensed under the {names[-1]}." for i, names in licenses.NAMES.items()}
+    lines |= {"Unlicense": licenses.NOTICES["Unlicense"][0], "all-rights-reserved": "All rights reserved."}
+    eight = ("MIT", "ISC", "Apache-2.0", "BSD-3-Clause", "CC-BY-4.0", "EPL-2.0", "GPL-2.0", "LGPL-3.0")
+    assert set(lines) == set(scanner.wordings)
+    for ids in (eight, list(lines)[:8], list(lines)):
+        text = "\n".join(f"lib{k}: {lines[i]}" for k, i in enumerate(ids))
+        found = scanner.scan(text)
+        assert [f[2] for f in found] == list(ids)
+        assert all(text[f[0] : f[1]] == lines[f[2]].rstrip(".") for f in found)
+
+
 def test_licenses_odd_rows(odd, none):
     assert licenses.scan(odd).count() == 0 and licenses.scan(none).count() == 0
