@@ -46,6 +46,29 @@ FORMS = (
     "This work is licensed under the {}", "This work is licensed under a {}", "Available under the terms of the {}",
     "Subject to the terms of the {}", "SPDX-License-Identifier: {}",
 )
+_GNU = (
+    "This {} is free software; you can redistribute it and/or modify it under the terms of the {} as published by the Free "
+    "Software Foundation; either version {} of the License, or (at your option) any later version."
+)
+_BSD_OPENING = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met"
+)
+_BSD_TWO = _BSD_OPENING + (
+    ": Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+    "following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_NAMES = (
+    " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.",
+    " The name of the author may not be used to endorse or promote products derived from this software without specific "
+    "prior written permission.",
+)
+_BSD_ADVERTS = (
+    " All advertising materials mentioning features or use of this software must display the following acknowledgement: This "
+    "product includes software developed by the organization."
+)
 # Notices that have a wording of their own.
 NOTICES = {
     "MIT": (
@@ -58,26 +81,44 @@ NOTICES = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
         "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     ),
-    "BSD-2-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met",
-    ),
+    "BSD": (_BSD_OPENING,),  # which of them is not said
+    "BSD-2-Clause": (_BSD_TWO + " THIS SOFTWARE IS PROVIDED",),
+    "BSD-3-Clause": tuple(_BSD_TWO + clause for clause in _BSD_NAMES),
+    "BSD-4-Clause": tuple(_BSD_TWO + _BSD_ADVERTS + clause for clause in _BSD_NAMES),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
-    "GPL-2.0": (
-        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
-    ),
-    "GPL-3.0": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0": (_GNU.format("program", "GNU General Public License", "2"),),
+    "GPL-3.0": (_GNU.format("program", "GNU General Public License", "3"),),
+    "LGPL-2.1": (_GNU.format("library", "GNU Lesser General Public License", "2.1"),),
+    "LGPL-3.0": (_GNU.format("library", "GNU Lesser General Public License", "3"),),
+    "AGPL-3.0": (_GNU.format("program", "GNU Affero General Public License", "3"),),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+        "is available at https://www.eclipse.org/legal/epl-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which "
+        "accompanies this distribution",
     ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "all-rights-reserved": ("All rights reserved.",),
 }
+# Words of a notice that must stay, each group next to each other; one of the alternatives, if there are some.
+KEPT = {
+    "Apache-2.0": (("Apache License Version 2.0",),),
+    "BSD-2-Clause": (("provided with the distribution THIS SOFTWARE IS PROVIDED",),),
+    "BSD-3-Clause": (("endorse or promote products",),),
+    "BSD-4-Clause": (("advertising materials",), ("endorse or promote products",)),
+    "GPL-2.0": (("GNU General Public License",), ("version 2", "version 2.0")),
+    "GPL-3.0": (("GNU General Public License",), ("version 3", "version 3.0")),
+    "LGPL-2.1": (("GNU Lesser General Public License",), ("version 2.1",)),
+    "LGPL-3.0": (("GNU Lesser General Public License",), ("version 3", "version 3.0")),
+    "AGPL-3.0": (("GNU Affero General Public License",), ("version 3", "version 3.0")),
+    "MPL-2.0": (("Mozilla Public License",), ("2.0",)),
+    "EPL-2.0": (("Eclipse Public License 2.0", "Eclipse Public License v 2.0", "Eclipse Public License v2.0",
+                 "Eclipse Public License version 2.0"),),
+}
 CUES = re.compile(r"licen[sc]|copyright|rights reserved|permission|redistribut|public domain|spdx|\bcc[ -]by\b|\bcc0\b", re.I)
 # What one of the cues contains, in lower case: a text without any is done.
 HINTS = ("licens", "licenc", "copyright", "rights reserved", "permission", "redistribut", "public domain", "spdx", "cc by", "cc-by", "cc0")
@@ -100,17 +141,18 @@ def tokens(text: str) -> list[str]:
 class Wording:
     text: str
     words: list[str]
-    name: list[str]  # words that must occur unchanged, next to each other
+    name: list[list[list[str]]]  # words that must occur unchanged: of each entry one run, next to each other
 
 
 def wordings() -> dict[str, list[Wording]]:
     """All wordings of every license: its notices, and every form with every name."""
     out: dict[str, list[Wording]] = {}
     for license_id, notices in NOTICES.items():
-        out.setdefault(license_id, []).extend(Wording(t, tokens(t), []) for t in notices)
+        kept = [[tokens(run) for run in runs] for runs in KEPT.get(license_id, ())]
+        out.setdefault(license_id, []).extend(Wording(t, tokens(t), kept) for t in notices)
     for license_id, names in NAMES.items():
         for name in names:
-            out.setdefault(license_id, []).extend(Wording(t, tokens(t), tokens(name)) for t in (form.format(name) for form in FORMS))
+            out.setdefault(license_id, []).extend(Wording(t, tokens(t), [[tokens(name)]]) for t in (form.format(name) for form in FORMS))
     return out
 
 
@@ -144,10 +186,10 @@ class Scanner:
         for saved, license_id in self.ranked(block):
             for wording in self.wordings[license_id]:
                 allowed = int(SLACK * len(wording.words))
-                if len(set(wording.words) - held) > allowed or not set(wording.name) <= held:
+                if len(set(wording.words) - held) > allowed or not all(any(set(run) <= held for run in runs) for runs in wording.name):
                     continue
                 for a, b, changes in aligned(wording.words, words, allowed):
-                    if not wording.name or _within(wording.name, words[a:b]):
+                    if all(any(_within(run, words[a:b]) for run in runs) for runs in wording.name):
                         found.append((spans[a][1], spans[b - 1][2], license_id, saved, changes, wording.text))
         return _apart(found)
 
@@ -219,14 +261,15 @@ def _traced(table: np.ndarray, wording: list[str], words: list[str], j: int) ->
 
 
 def blocks_of(text: str, before: int, after: int) -> list[tuple[int, int]]:
-    """Stretches of ``before`` characters before and ``after`` behind each license word, no further than the
-    next blank line; stretches that meet are joined and cut into overlapping blocks of ``BLOCK_CHARS``."""
+    """Stretches of ``before`` characters before and ``after`` behind each license word, short ones no further than
+    the next blank line (clauses of a notice stand apart); stretches that meet are joined and cut into overlapping blocks of ``BLOCK_CHARS``."""
     joined: list[list[int]] = []
     for m in CUES.finditer(text):
         low, high = max(0, m.start() - before), min(len(text), m.end() + after)
-        low = max(low, text.rfind("\n\n", low, m.start()) + 1)
-        gap = text.find("\n\n", m.end(), high)
-        high = high if gap < 0 else gap
+        if after < SCALES[-1][1]:
+            low = max(low, text.rfind("\n\n", low, m.start()) + 1)
+            gap = text.find("\n\n", m.end(), high)
+            high = high if gap < 0 else gap
         if joined and low <= joined[-1][1]:
             joined[-1][1] = max(joined[-1][1], high)
         else:

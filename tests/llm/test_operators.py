@@ -537,6 +537,7 @@ def test_license_wording_differences():
 def test_lists_of_many_licenses():
     scanner = licenses.Scanner()
     lines = {i: f"Licensed under the {names[-1]}." for i, names in licenses.NAMES.items()}
+    lines |= {i: licenses.NOTICES[i][0] for i in ("BSD", "BSD-4-Clause")}
     lines |= {"Unlicense": licenses.NOTICES["Unlicense"][0], "all-rights-reserved": "All rights reserved."}
     eight = ("MIT", "ISC", "Apache-2.0", "BSD-3-Clause", "CC-BY-4.0", "EPL-2.0", "GPL-2.0", "LGPL-3.0")
     assert set(lines) == set(scanner.wordings)
@@ -547,5 +548,35 @@ def test_lists_of_many_licenses():
         assert all(text[f[0] : f[1]] == lines[f[2]].rstrip(".") for f in found)
 
 
+def test_notices_name_their_license():
+    scanner = licenses.Scanner()
+
+    def gnu(what, name, version, mark=";"):
+        return (f"This {what} is free software{mark} you can redistribute it and/or modify it under the terms of the {name} as published by the "
+                f"Free Software Foundation; either version {version} of the License, or (at your option) any later version.")
+
+    one = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    two = ("1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+           "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+           "in the documentation and/or other materials provided with the distribution.")
+    adverts = "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the University."
+    third = ("Neither the name of Example Inc. nor the names of its contributors may be used to endorse or promote products derived from this "
+             "software without specific prior written permission.")
+    end = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS "AS IS".'
+    notices = {
+        gnu("library", "GNU Lesser General Public License", "2.1"): "LGPL-2.1", gnu("library", "GNU Lesser General Public License", "3", ":"): "LGPL-3.0",
+        gnu("program", "GNU Affero General Public License", "3", ":"): "AGPL-3.0", gnu("program", "GNU General Public License", "2"): "GPL-2.0",
+        gnu("program", "GNU General Public License", "3", ":"): "GPL-3.0", gnu("library", "GNU Library General Public License", "2"): None,
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0 which is available at http://www.eclipse.org/legal/epl-2.0": "EPL-2.0",
+        one: "BSD",
+    }
+    for gap in (" ", "\n", "\n\n"):
+        notices[gap.join((one, *two, end))] = "BSD-2-Clause"
+        notices[gap.join((one, *two, f"3. {third}", end))] = "BSD-3-Clause"
+        notices[gap.join((one, *two, adverts, f"4. {third}", end))] = "BSD-4-Clause"
+    for text, license_id in notices.items():
+        assert [f[2] for f in scanner.scan(f"Copyright 2020 X\n\n{text}\n")] == ([license_id] if license_id else []), text
+
+
 def test_licenses_odd_rows(odd, none):
     assert licenses.scan(odd).count() == 0 and licenses.scan(none).count() == 0
