@@ -40,7 +40,7 @@ def with_spots(rows: DataFrame, text: str, name: str) -> DataFrame:
     """``rows`` with the sorted distinct signature hashes of column ``text`` as column ``name``.
 
     Texts with fewer than ``FEW`` spots add their runs of three words; a text without any has one signature,
-    its own hash, and an empty text has none.  The steps are columns of their own, so that each is computed
+    its own hash, and an empty text has none.  Column ``name``_few says which kind it is.  The steps are columns of their own, so that each is computed
     once a row.
     """
     words, found, runs = f"_{name}_words", f"_{name}_found", f"_{name}_runs"
@@ -52,7 +52,16 @@ def with_spots(rows: DataFrame, text: str, name: str) -> DataFrame:
     hashes = F.concat(F.transform(found, lambda s: F.xxhash64(F.regexp_replace(s, SKIPPED, ""))),
                       F.transform(runs, lambda s: F.xxhash64(F.lit("run"), s)))
     rows = rows.withColumn(name, F.array_sort(F.array_distinct(F.when(F.size(found) + F.size(runs) > 0, hashes).otherwise(own))))
-    return rows.drop(words, found, runs)
+    return rows.withColumn(f"{name}_few", F.size(found) < FEW).drop(words, found, runs)
+
+
+def with_runs(rows: DataFrame, text: str, signatures: str, name: str, where: Column) -> DataFrame:
+    """``rows`` with column ``name``: the signatures and, of texts with enough spots ``where`` it is true, also the
+    runs of three words, to be compared with a text that has them for its few spots."""
+    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    runs = F.transform(F.regexp_extract_all(words, F.lit(RUN), F.lit(1)), lambda s: F.xxhash64(F.lit("run"), s))
+    few = F.col(f"{signatures}_few")
+    return rows.withColumn(name, F.when(where & ~few, F.array_union(signatures, runs)).otherwise(F.col(signatures)))
 
 
 def spelt(signatures: Column) -> Column:
@@ -92,7 +101,7 @@ def _bucketed(rows: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, signatures, next_text, next_signatures): each row with the next one by ascending doc_id,
+    """(doc_id, text, signatures, next_text, next_signatures, and both _few): each row with the next one by ascending doc_id,
     the last with the first.
 
     Rows are dealt by ranges of doc_id; the first row of each range is also given to the range before it, so
@@ -111,7 +120,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     both = with_spots(both, "text", "signatures")
     one_by_one = Window.partitionBy("_g").orderBy("_extra", F.col("doc_id").asc_nulls_last(), "_h")
     return (both.withColumn("next_text", F.lead("text").over(one_by_one)).withColumn("next_signatures", F.lead("signatures").over(one_by_one))
-            .where("_extra = 0").select("doc_id", "text", "signatures", "next_text", "next_signatures"))
+            .withColumn("next_signatures_few", F.lead("signatures_few").over(one_by_one)).where("_extra = 0")
+            .select("doc_id", "text", "signatures", "signatures_few", "next_text", "next_signatures", "next_signatures_few"))
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,7 +129,8 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gave way to as many first ones of the next document.
 
     Columns: doc_id, n_chars, edited_text, fingerprint, edited_fingerprint, near_edited, near_next.  Null texts
-    are empty; two empty fingerprints are alike (1.0).  Repeated rows follow each other; a single row is its
+    are empty; two empty fingerprints are alike (1.0).  If only one of two texts has few spots, the runs of the
+    other are compared as well, so that like is compared with like.  Repeated rows follow each other; a single row is its
     own next; an empty table gives no rows.
     """
     rows = with_next(documents(docs, id_col, text_col))
@@ -128,9 +139,13 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept = F.expr("substring(text, 1, cast(n_chars - half as int))")
     rows = rows.withColumn("edited_text", F.concat(kept, F.expr("substring(next_text, 1, half)")))
     rows = with_spots(rows, "edited_text", "edited_signatures")
-    a, b, c = F.col("signatures"), F.col("edited_signatures"), F.col("next_signatures")
+    for other in ("edited", "next"):
+        rows = with_runs(rows, "text", "signatures", f"_by_{other}", F.col(f"{other}_signatures_few"))
+        rows = with_runs(rows, f"{other}_text", f"{other}_signatures", f"_{other}", F.col("signatures_few"))
+    a, b = F.col("signatures"), F.col("edited_signatures")
     return rows.select("doc_id", "n_chars", "edited_text", spelt(a).alias("fingerprint"), spelt(b).alias("edited_fingerprint"),
-                       likeness(a, b).alias("near_edited"), likeness(a, c).alias("near_next"))
+                       likeness(F.col("_by_edited"), F.col("_edited")).alias("near_edited"),
+                       likeness(F.col("_by_next"), F.col("_next")).alias("near_next"))
 
 
 def similar_sets(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:

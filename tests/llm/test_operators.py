@@ -166,6 +166,21 @@ def test_edited_likeness_against_plain_python(spark, documents):
     assert np.mean([r["near_edited"] > r["near_next"] for r in rows]) > 0.95
 
 
+def test_likeness_across_few_and_many_spots(spark):
+    many = " ".join(f"the word{i} thing{i}" for i in range(8))
+    fewer = " ".join(f"{'the' if i < 7 else 'some'} word{i} thing{i}" for i in range(8))
+    rows = spotsigs.edited_likeness(spark.createDataFrame([(1, many), (2, fewer)], "doc_id long, text string")).collect()
+
+    def runs(text):
+        words = text.split()
+        return {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+
+    spots = {text: {(f"word{i}", f"thing{i}") for i in range(8) if f"the word{i} thing{i}" in text} for text in (many, fewer)}
+    a, b = (runs(t) | spots[t] for t in (many, fewer))
+    assert [len(spots[t]) for t in (many, fewer)] == [8, 7]
+    assert all(abs(r["near_next"] - len(a & b) / len(a | b)) < 1e-9 for r in rows)
+
+
 def test_ranges_give_the_same_neighbours(spark, documents, monkeypatch):
     whole = {r["doc_id"]: r["edited_text"] for r in spotsigs.edited_likeness(documents).collect()}
     monkeypatch.setattr(spotsigs, "BUCKET_ROWS", 7)
