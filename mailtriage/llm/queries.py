@@ -1,15 +1,17 @@
-"""Registered queries of the ten operators: op<N>_<name>, each over its whole table."""
+"""Registered queries of the operators: op<N>_<name>, each over its whole table."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtriage.llm import hmm, langid, licenses, minhash, packing, pii, pivots, sentencepieces, spotsigs, toxicity
+from mailtriage.llm import hmm, langid, licenses, minhash, packing, pii, pivots, sentencepieces, spotsigs, tokenfiles, toxicity
 from mailtriage.llm.common import fold
+from mailtriage.session import staging_dir
 
 PII_KEY = b"mailtriage pseudonym key"
 
@@ -72,8 +74,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{staging_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    tokenfiles.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfiles.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash, "op2_language": op2_language, "op3_hmm": op3_hmm, "op4_pii": op4_pii, "op5_licenses": op5_licenses, "op6_toxicity": op6_toxicity, "op7_pivots": op7_pivots, "op8_spotsigs": op8_spotsigs, "op9_sentencepiece": op9_sentencepiece,
-    "op10_packing": op10_packing,
+    "op10_packing": op10_packing, "op11_tokenfiles": op11_tokenfiles,
 }
 ORACLE_SQL: dict[str, str] = {}
