@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtriage.llm import hmm, langid, licenses, minhash, packing, pii, pivots, sentencepieces, spotsigs, tokenfiles, toxicity
+from mailtriage.llm import collocations, hmm, langid, lexical, licenses, minhash, packing, pii, pivots, sentencepieces, spotsigs, tokenfiles, toxicity
+from mailtriage.llm import sql
 from mailtriage.llm.common import fold
 from mailtriage.session import staging_dir
 
@@ -80,8 +81,16 @@ def op11_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op12_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash, "op2_language": op2_language, "op3_hmm": op3_hmm, "op4_pii": op4_pii, "op5_licenses": op5_licenses, "op6_toxicity": op6_toxicity, "op7_pivots": op7_pivots, "op8_spotsigs": op8_spotsigs, "op9_sentencepiece": op9_sentencepiece,
-    "op10_packing": op10_packing, "op11_tokenfiles": op11_tokenfiles,
+    "op10_packing": op10_packing, "op11_tokenfiles": op11_tokenfiles, "op12_nra": op12_nra, "op13_collocations": op13_collocations,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_nra": sql.RANKED, "op13_collocations": sql.COLLOCATIONS}
