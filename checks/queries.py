@@ -47,6 +47,11 @@ def _scratch(spark, name):
     return f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _page_hosts(spark, sf):
+    host = F.regexp_replace(U.hostname(F.col("url")), r"^(www|m|blog)[.]", "")
+    return C.table(spark, sf, "pages").select(host.alias("host")).distinct()
+
+
 def E(final, *more):
     return Q.ctes(Q.EMAILS, *more, final=final)
 
@@ -688,12 +693,41 @@ def close_sites(spark, sf):
     return found.select(F.col("left").alias("domain"), F.col("right").alias("site"), "distance")
 
 
+_LISTED = f"""WITH h AS (SELECT DISTINCT regexp_replace({Q.host_of('url')}, '^(www|m|blog)[.]', '') AS h, page_id % 3 = 0 AS listed FROM pages),
+near AS (SELECT a.h AS domain, b.h AS site, levenshtein(a.h, b.h) AS dist FROM (SELECT DISTINCT h FROM h) a, h b WHERE b.listed
+  QUALIFY row_number() OVER (PARTITION BY a.h ORDER BY levenshtein(a.h, b.h), b.h) = 1)"""
+
+
+def _listed_hosts(spark, sf):
+    """The hosts of every third page, as a list of sites."""
+    host = F.regexp_replace(U.hostname(F.col("url")), r"^(www|m|blog)[.]", "")
+    return C.table(spark, sf, "pages").where("page_id % 3 = 0").select(host.alias("domain")).distinct()
+
+
+@query(_LISTED + "SELECT domain, CAST(dist AS INTEGER) AS distance, site AS closest FROM near WHERE dist BETWEEN 1 AND 2")
+def look_alikes(spark, sf):
+    return LA.look_alikes(_page_hosts(spark, sf).withColumnRenamed("host", "domain"), _listed_hosts(spark, sf))
+
+
+@query(_LISTED + "SELECT domain, CAST(dist AS INTEGER) AS distance, site AS closest FROM near")
+def nearest_page_hosts(spark, sf):
+    """A long list of sites: gap keys, pieces and blocks all take part."""
+    return LA.nearest_sites(_page_hosts(spark, sf).withColumnRenamed("host", "domain"), _listed_hosts(spark, sf))
+
+
+@query(f"""WITH RECURSIVE h AS (SELECT DISTINCT regexp_replace({Q.host_of('url')}, '^(www|m|blog)[.]', '') AS h FROM pages),
+e AS (SELECT a.h AS x, b.h AS y FROM h a, h b WHERE levenshtein(a.h, b.h) <= 2),
+reach AS (SELECT h AS x, h AS y FROM h UNION SELECT reach.x, e.y FROM reach JOIN e ON reach.y = e.x)
+SELECT x AS host, min(y) AS representative FROM reach GROUP BY x""")
+def look_alike_groups(spark, sf):
+    return LA.look_alike_groups(_page_hosts(spark, sf), "host")
+
+
 @query(f"""WITH h AS (SELECT DISTINCT regexp_replace({Q.host_of('url')}, '^(www|m|blog)[.]', '') AS h FROM pages)
 SELECT a.h AS left_host, b.h AS right_host, CAST(levenshtein(a.h, b.h) AS INTEGER) AS distance
 FROM h a, h b WHERE a.h < b.h AND levenshtein(a.h, b.h) <= 2""")
 def close_page_hosts(spark, sf):
-    host = F.regexp_replace(U.hostname(F.col("url")), r"^(www|m|blog)[.]", "")
-    rows = C.table(spark, sf, "pages").select(host.alias("left")).distinct()
+    rows = _page_hosts(spark, sf).withColumnRenamed("host", "left")
     found = LA.edit_neighbours(rows, rows.withColumnRenamed("left", "right"))
     return found.where(F.col("left") < F.col("right")).select(
         F.col("left").alias("left_host"), F.col("right").alias("right_host"), "distance")

@@ -14,10 +14,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mailtriage import constants as K
 from mailtriage.functions import urls as U
 from mailtriage.functions.literals import no_strings, strings
+from mailtriage.operators import neighbours as N
 from mailtriage.operators.lookup import lookup
+from mailtriage.operators.ordering import numbered
 from mailtriage.session import staged_table
 
 NO_SITE_DISTANCE = 99
+PIECE_BOUNDS = (3, 4)
+FEW_SITES = 200
 BLOCK_SITES = 1000
 BLOCK_SALTS = 256
 
@@ -65,46 +69,78 @@ def edit_neighbours(left: DataFrame, right: DataFrame, allowed: Column | None =
             .select("left", "right", "distance").distinct())
 
 
+def _ranked(sites: DataFrame, order: Column | None) -> DataFrame:
+    """right, rank, letters: every site once, numbered by ``order``, then by name."""
+    named = sites.select(F.col("domain").alias("right"), (F.col("domain") if order is None else order).alias("place")).where("right is not null")
+    first = named.groupBy("right").agg(F.min("place").alias("place"))
+    return N.with_letters(numbered(first, [F.col("place").asc(), F.col("right").asc()]).select("right", "rank"), "right")
+
+
+def look_alikes(domains: DataFrame, sites: DataFrame, order: Column | None = None, domain: str = "domain") -> DataFrame:
+    """domain, distance, closest: domains whose nearest site is one or two edits away, with that site, the first of
+    equally near ones by ``order`` (default: name).  One row a domain, however many sites are near."""
+    named = _ranked(sites, order)
+    near = N.nearest_within_two(domains.select(F.col(domain).alias("left")).distinct(), named).where("distance > 0")
+    return near.join(named, "rank").select(F.col("left").alias(domain), "distance", F.col("right").alias("closest"))
+
+
+def look_alike_groups(hosts: DataFrame, host: str = "domain") -> DataFrame:
+    """host, representative: families of hosts, each at most two edits from another of its family."""
+    return N.groups_within_two(hosts, host)
+
+
 def nearest_sites(domains: DataFrame, sites: DataFrame, order: Column | None = None,
-                  domain: str = "domain") -> DataFrame:
+                  domain: str = "domain", far: bool = True) -> DataFrame:
     """domain, distance, closest: the first site with the smallest edit distance.
 
-    ``sites(domain)`` is the trusted list; ``order`` breaks ties (default: name).  An empty
-    list gives (99, '').  Domains with a site within distance 2 are settled by the
-    variant join.  The rest is folded over blocks of sites: one row per domain and block
-    leaves the fold, never one per pair, and the best distance so far bounds the next test.
+    ``sites(domain)`` is the trusted list; ``order`` breaks ties (default: name).  An empty list gives (99, ''),
+    and so does a null domain.  Sites within two edits come from gap keys, those within the bounds of
+    ``PIECE_BOUNDS`` from shared pieces.  What is left is compared with all sites, block by block, the best distance so
+    far bounding the next test; without ``far`` it gets (99, '') instead.  A list of ``FEW_SITES`` at most is
+    compared as a whole at once.
     """
-    # both sides are read several times below
-    targets = staged_table(domains.select(F.col(domain).alias("left")).distinct(), "targets")
-    named = staged_table(sites.select(
-        F.col("domain").alias("right"), (F.col("domain") if order is None else order).alias("_o")), "sites")
-    close = edit_neighbours(targets, named).join(named.groupBy("right").agg(F.min("_o").alias("_o")), "right")
-    best_close = close.groupBy("left").agg(
-        F.min(F.struct("distance", "_o", F.col("right").alias("site"))).alias("_best"))
-    open_rows = targets.join(best_close, "left", "left_anti")
-
-    blocks = F.greatest(F.ceil(named.agg(F.count("*")).scalar() / BLOCK_SITES), F.lit(1)).cast("int")
-    packed = (
-        named.withColumn("_block", F.pmod(F.xxhash64("right"), blocks).cast("int"))
-        .groupBy("_block").agg(F.array_sort(F.collect_list(F.struct("_o", "right"))).alias("_sites"))
-    )
-    order_type = named.schema["_o"].dataType
-    start = F.struct(F.lit(NO_SITE_DISTANCE).alias("distance"), F.lit(None).cast(order_type).alias("_o"),
-                     F.lit("").alias("site"))
+    targets = N.with_letters(domains.select(F.col(domain).alias("left")).distinct(), "left")
+    named = _ranked(sites, order)
+    few = named.limit(FEW_SITES + 1).count() <= FEW_SITES
+    if few and far:
+        return _named(_nearest_of_all(targets, named), named, domain)
+    found = staged_table(N.nearest_within_two(targets.select("left"), named), "near")
+    left_over = targets
+    for bound in (*PIECE_BOUNDS, None):
+        left_over = staged_table(left_over.join(found.select("left"), "left", "left_anti"), "open")
+        if left_over.isEmpty():
+            break
+        if bound is not None:
+            near = N.nearest_by_pieces(left_over, named, bound)
+        elif far:
+            near = _nearest_of_all(left_over, named)
+        else:
+            near = left_over.select("left", F.lit(NO_SITE_DISTANCE).alias("distance"), F.lit(0).cast("long").alias("rank"))
+        found = found.unionByName(staged_table(near, "near"))
+    return _named(found, named, domain)
+
+
+def _named(found: DataFrame, named: DataFrame, domain: str) -> DataFrame:
+    return found.join(named, "rank", "left").select(
+        F.col("left").alias(domain), "distance", F.coalesce("right", F.lit("")).alias("closest"))
+
+
+def _nearest_of_all(left: DataFrame, right: DataFrame) -> DataFrame:
+    """left, distance, rank by a fold over blocks of sites: one row per string and block, never one per pair."""
+    blocks = F.greatest(F.ceil(right.agg(F.count("*")).scalar() / BLOCK_SITES), F.lit(1)).cast("int")
+    packed = right.withColumn("_block", F.pmod(F.xxhash64("right"), blocks).cast("int")).groupBy("_block").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "right"))).alias("_sites"))
 
     def better(best: Column, s: Column) -> Column:
+        # equally near sites later in the block have larger ranks
         gap = F.call_function("levenshtein", s["right"], F.col("left"), best["distance"] - 1)
-        return F.when(gap >= 0, F.struct(gap.alias("distance"), s["_o"].alias("_o"), s["right"].alias("site"))
-                      ).otherwise(best)
-
-    spread = open_rows.withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    folded = lookup(spread, packed, "_block", F.col("left"), salts=BLOCK_SALTS).select(
-        "left", F.aggregate(F.coalesce("_sites", F.array().cast(packed.schema["_sites"].dataType)),
-                            start, better).alias("_best"))
-    best_far = folded.groupBy("left").agg(F.min("_best").alias("_best"))
-    return best_close.unionByName(best_far).select(
-        F.col("left").alias(domain), F.col("_best.distance").alias("distance"),
-        F.col("_best.site").alias("closest"))
+        return F.when(gap >= 0, F.struct(gap.alias("distance"), s["rank"].alias("rank"))).otherwise(best)
+
+    start = F.struct(F.lit(NO_SITE_DISTANCE).alias("distance"), F.lit(0).cast("long").alias("rank"))
+    spread = left.withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    sites = F.coalesce("_sites", F.array().cast(packed.schema["_sites"].dataType))
+    folded = lookup(spread, packed, "_block", F.col("left"), salts=BLOCK_SALTS).select("left", F.aggregate(sites, start, better).alias("best"))
+    return folded.groupBy("left").agg(F.min("best").alias("best")).select("left", "best.distance", "best.rank")
 
 
 def brand_map(sites: DataFrame, suffixes: Iterable[str] | None = None) -> DataFrame:
