@@ -13,6 +13,7 @@ width, length, chunks, continuation bitmap and rank directory.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import struct
 import zlib
@@ -33,16 +34,19 @@ from mailtriage.operators.lookup import is_small
 MAGIC = b"DACODES1"
 HEADER = struct.Struct("<8sqqqqq")
 LEVEL = struct.Struct("<qq")
-FILE_TOKENS = 1 << 22  # a file is closed after the document that reaches this
+FILE_TOKENS = 1 << 21  # a file is closed after the document that reaches this
 RANK_BITS = 512
 MAX_WIDTH = 16
 PACK_STEP = 1 << 18
-READ_STEP = 1 << 20
-KNOWN_WORDS = 400_000  # distinct words whose ids a task keeps; past that it starts anew
+GROUP_BYTES = 2 << 20
+READ_STEP = 1 << 18
+KNOWN_WORDS = 300_000  # distinct words whose ids a task keeps; past that it starts anew
 ANSWER_BLOCK = 1 << 16
 
 # a run of marks at the end of a word is always a word of its own behind a plain letter or digit
-TAIL = re.compile(r"(?s)(.*[0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)")
+MARKS = ".,;:!?"
+LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿß"
+BEFORE_MARKS = frozenset("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ" + LETTERS)
 
 ENTRY = "file string, part long, number long, n_docs long, n_tokens long"
 DOCUMENT = "doc_id long, start long, n_tokens long, ids array<int>, ids_crc32 long"
@@ -198,47 +202,61 @@ def file_bytes(part: int, number: int, doc_ids: list[int | None], lengths: np.nd
 
 # encoding
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(spec: str) -> Tokenizer:
-    return Tokenizer.from_str(spec)
-
-
 class WordEncoder:
     """Ids of whole texts through the tokenizers library, each distinct word once.
 
     Meant for vocabularies that drop white space and never let a word cross it, so a text has the ids of its words
     one after the other.  Words are cut at ASCII white space; ASCII words are lower-cased first if the vocabulary
     does so, and the marks behind a letter are looked up apart.  Words with a bar stay as they are, since they may
-    hold an added token.
+    hold an added token.  Words of plain Latin letters go to the library's model at once, other words through all its steps.
     """
 
     def __init__(self, spec: str):
-        self.tokenizer = _tokenizer(spec)
-        self.lower = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("Ab") == "ab"
+        self.tokenizer = Tokenizer.from_str(spec)
+        normalizer, splitter, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
+        normal = (lambda text: text) if normalizer is None else normalizer.normalize_str
+        self.lower = normal("Ab") == "ab"
+        # letters that the steps before the model leave alone, or spell by themselves, inside a word
+        spelt = {c: splitter.pre_tokenize_str(f"a{c}a") for c in LETTERS} if splitter is not None else {}
+        self.spelling = {ord(c): found[0][0][1:-1] for c, found in spelt.items() if normal(c) == c and len(found) == 1}
+        self.plain = re.compile(f"[{''.join(map(chr, self.spelling))}]+" if self.spelling else "(?!)").fullmatch
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {"": 0}
-        self.pool, self.starts, self.sizes = [np.zeros(0, np.int32)], [0], [0]
-        self.filled = 0
+        self.pool, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, np.int32)
-        sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(words)) if len(ids) else np.zeros(len(words), np.int64)
-        self.known.update(zip(words, range(len(self.starts), len(self.starts) + len(words))))
-        self.starts += (self.filled + np.cumsum(sizes) - sizes).tolist()
-        self.sizes += sizes.tolist()
-        self.pool.append(ids)
-        self.filled += len(ids)
-
-    def _parts(self, word: str) -> tuple[str, str]:
-        if "|" in word:
-            return word, ""
-        if self.lower and word.isascii():
-            word = word.lower()
-        m = TAIL.fullmatch(word)
-        return m.groups() if m else (word, "")
+        plain, rest, lists, tokenize = [], [], [], self.model.tokenize
+        for word in words:
+            if self.plain(word):
+                plain.append(word)
+                lists.append([t.id for t in tokenize(word if word.isascii() else word.translate(self.spelling))])
+            else:
+                rest.append(word)
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(sizes.sum()))
+        if rest:
+            found = self.tokenizer.encode(rest, is_pretokenized=True, add_special_tokens=False)
+            ids = np.concatenate([ids, np.array(found.ids, np.int32)])
+            sizes = np.concatenate([sizes, np.bincount(np.array(found.word_ids, np.int64), minlength=len(rest))])
+        self.known.update(zip(plain + rest, range(len(self.starts), len(self.starts) + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.pool = np.concatenate([self.pool, ids])
+
+    def _parts(self, words: list[str]) -> list[str]:
+        """Every word as two: itself and the marks behind it, or itself and nothing."""
+        parts = []
+        for word in words:
+            if "|" in word:
+                parts += (word, "")
+                continue
+            if self.lower and word.isascii():
+                word = word.lower()
+            core = word.rstrip(MARKS)
+            parts += (core, word[len(core):]) if core[-1:] in BEFORE_MARKS and core else (word, "")
+        return parts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
@@ -246,19 +264,28 @@ class WordEncoder:
             self._forget()
         lists = pc.ascii_split_whitespace(texts)
         words = lists.flatten().dictionary_encode()
-        parts = [p for word in words.dictionary.to_pylist() for p in self._parts(word)]
-        new = [p for p in dict.fromkeys(parts) if p not in self.known]
+        parts = self._parts(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        new = list({p: None for p in parts if p not in self.known})
         if new:
             self._learn(new)
-        pool, starts, sizes = np.concatenate(self.pool), np.array(self.starts), np.array(self.sizes)
-        self.pool = [pool]
-        of_word = np.array([self.known[p] for p in parts], np.int64).reshape(-1, 2)
-        row = of_word[words.indices.to_numpy()].ravel()  # core and tail of every word in place
-        size = sizes[row]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        ids = pool[np.repeat(starts[row] - ends[:-1], size) + np.arange(ends[-1])]
+        of_part = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        pool, sizes = _runs(self.pool, self.starts[of_part], self.sizes[of_part]), self.sizes[of_part].reshape(-1, 2).sum(1)
+        starts, row = np.cumsum(sizes) - sizes, words.indices.to_numpy()
         offsets = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
-        return ids, np.diff(ends[2 * offsets])
+        before = np.concatenate([[0], np.cumsum(sizes[row])])
+        return _runs(pool, starts[row], sizes[row]), np.diff(before[offsets])
+
+
+def _runs(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of the pool that begin at ``starts``, one after the other."""
+    begins = np.cumsum(sizes) - sizes
+    return pool[np.repeat(starts - begins, sizes) + np.arange(int(sizes.sum()))]
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(spec: str) -> WordEncoder:
+    """One for all tasks of a Python worker, so that words are learnt once."""
+    return WordEncoder(spec)
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
@@ -279,14 +306,14 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, id_c
         spec = spark.sparkContext.broadcast(f.read())  # one vocabulary, fixed size
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number = WordEncoder(spec.value), TaskContext.get().partitionId(), 0
+        encoder, part, number = _encoder(spec.value), TaskContext.get().partitionId(), 0
         names, lengths, flat, held = [], [], [], 0
 
         def closed() -> pa.RecordBatch:
             content = file_bytes(part, number, names, np.concatenate(lengths), np.concatenate(flat))
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
-        for batch in text_groups(batches):
+        for batch in text_groups(batches, GROUP_BYTES):
             ids, counts = encoder.encode(column_of(batch, "text"))
             doc_ids = column_of(batch, "doc_id").to_pylist()
             ids = np.insert(ids, np.cumsum(counts), end_id)
