@@ -37,6 +37,9 @@ class BitTable:
     def width(self) -> int:
         return (len(self.bits) * 64).bit_length() - 1
 
+    def members(self) -> int:
+        return int(np.bitwise_count(self.bits).sum())
+
     def holds(self, hashed: np.ndarray) -> np.ndarray:
         place = places(hashed, self.width)
         return (self.bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)

@@ -3,11 +3,14 @@
 Phrases of the sample that reach a lowered count are the proposals.  A full pass counts every word, and every
 longer phrase whose first and last part, one word shorter each, are proposals: the proposals themselves and
 their negative border.  A border phrase that turns out frequent is a failure; it joins the proposals, and a
-further pass counts what it makes countable, until no failure is left.  No part of a frequent phrase is rarer
+further pass counts what it makes countable, until no failure is left; few failures are extended to full length in
+one pass.  No part of a frequent phrase is rarer
 than the phrase, so then every frequent phrase has been counted, whatever the sample was.
 
-Proposals travel as a bit table of fixed size.  A collision lets a phrase be counted that need not be, which costs
-time and changes no count.
+Passes count by 64-bit hashes of phrases: a hash occurs at least as often as each of its phrases, so no frequent
+one is missed.  Proposals, and at the end the hashes that reached the count, travel as bit tables of fixed size.  A
+last pass spells the phrases these let through and counts them themselves, so a collision costs time and changes
+no result.
 """
 
 from __future__ import annotations
@@ -30,12 +33,14 @@ LONGEST = 4
 LEAST = 30
 SAMPLE_ONE_IN = 8
 SAMPLE_LEAST = 2
-GROUP_BYTES = 8 << 20
+BOLD = 0.25  # failures, as a share of the proposals, that are extended in a single pass
+GROUP_BYTES = 3 << 20
 OUT_ROWS = 200_000
 MARKS = r"[.,;:!?\n-\r]"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 COUNTED = "lang string, phrase string, words int, f long"
+HASHED = "hash long, f long"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -43,25 +48,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _extendable(table: BitTable, counts: DataFrame) -> DataFrame:
-    """Bit numbers of the phrases short of the longest."""
-    width = table.width
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = bits.hashes(column_of(batch, "lang").to_pylist())
-            lists = pc.split_pattern(column_of(batch, "phrase"), " ")
-            words = lists.flatten().dictionary_encode()
-            codes, of_word = words.indices.to_numpy(), bits.hashes(words.dictionary.to_pylist())
-            starts, sizes = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py(), pc.list_value_length(lists).to_numpy()
-            for k in range(LONGEST):
-                rows = np.flatnonzero(sizes > k)
-                hashes[rows] = _mixed(hashes[rows] + of_word[codes[starts[rows] + k]])
-            yield pa.RecordBatch.from_arrays([pa.array(bits.places(hashes, width))], ["place"])
-
-    return counts.where(f"words between 1 and {LONGEST - 1}").mapInArrow(run, "place long")
-
-
 def _distinct(columns: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
     """(first place, count) of the distinct rows of columns, each with the number of its codes."""
     key, room = np.zeros(len(columns[0][0]), np.int64), 1
@@ -74,51 +60,81 @@ def _distinct(columns: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.nda
     return first, count
 
 
-def _phrases(batch: pa.RecordBatch, table: BitTable, done: BitTable | None) -> Iterator[pa.RecordBatch]:
-    """Countable phrases of some documents with their counts; what ``done`` made countable has been counted before.
-
-    Words are numbered, and n-grams are runs of numbers; only the distinct ones are spelt.
-    """
-    # a mark stands alone after this, and no white space but blanks and tabs is left
-    lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(column_of(batch, "text")), MARKS, " . "))
-    flat = lists.flatten()
-    sizes = pc.list_value_length(lists).to_numpy()
-    langs = column_of(batch, "lang").dictionary_encode()
-    words = flat.dictionary_encode()
-    spelt, code = words.dictionary, words.indices.to_numpy().astype(np.int64)
-    kind = np.array([{"": 2, ".": 1}.get(w, 0) for w in spelt.to_pylist()], np.int8)[code]
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    place = (doc + np.cumsum(kind == 1))[kind == 0]  # a piece of a document: it rises at every mark and document
-    lang = langs.indices.to_numpy().astype(np.int64)[doc[kind == 0]]
-    code = code[kind == 0]
-    if done is None:
-        total = np.bincount(lang, minlength=len(langs.dictionary))
-        yield _rows(langs.dictionary, pa.array([""] * len(total)), 0, total)
-    of_word, of_lang = bits.hashes(spelt.to_pylist()), bits.hashes(langs.dictionary.to_pylist())
-    hashes = of_lang[lang]
-    at = np.arange(len(code))  # places where a countable phrase of k words begins
-    was = np.full(len(code), done is not None)  # whether it was countable before
+class _Words:
+    """The words of some documents as numbers, with the piece and language each stands in."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        # a mark stands alone after this, and no white space but blanks and tabs is left
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(column_of(batch, "text")), MARKS, " . "))
+        sizes = pc.list_value_length(lists).to_numpy()
+        langs, words = column_of(batch, "lang").dictionary_encode(), lists.flatten().dictionary_encode()
+        self.langs, self.spelt, code = langs.dictionary, words.dictionary, words.indices.to_numpy()
+        spelt = self.spelt.to_numpy(zero_copy_only=False).tolist()
+        kind = np.array([{"": 2, ".": 1}.get(w, 0) for w in spelt], np.int8)[code]
+        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        word = kind == 0
+        self.place = (doc + np.cumsum(kind == 1, dtype=np.int32))[word]  # rises at every mark and document
+        self.lang = langs.indices.to_numpy()[doc[word]]
+        self.code = code[word]
+        self.of_word = bits.hashes(spelt)
+        self.of_lang = bits.hashes(self.langs.to_pylist())
+
+    def __len__(self) -> int:
+        return len(self.code)
+
+    def starts(self) -> np.ndarray:
+        return np.arange(len(self), dtype=np.int32)
+
+    def longer(self, at: np.ndarray, may: np.ndarray, k: int) -> np.ndarray:
+        """Of the places ``at`` where phrases of k - 1 words begin, those of k words: both parts ``may`` be extended."""
+        at = at[may[at] & may[at + 1]]
+        at = at[at + k <= len(self)]
+        return at[self.place[at] == self.place[at + k - 1]]
+
+    def grow(self, hashes: np.ndarray, at: np.ndarray, k: int) -> None:
+        hashes[at] = _mixed(hashes[at] + self.of_word[self.code[at + k - 1]])
+
+
+def _hash_counts(words: _Words, table: BitTable, done: BitTable | None, bold: bool) -> Iterator[pa.RecordBatch]:
+    """Hashes of the countable phrases, the lowest two bits telling their length, with their counts; what ``done`` made
+    countable has been counted before.  If ``bold``, what is counted here counts as extendable."""
+    hashes, at = words.of_lang[words.lang], words.starts()
+    was = np.full(len(words), done is not None)  # whether the phrase that begins here was countable before
     for k in range(1, LONGEST + 1):
         if k > 1:
-            held, before = np.zeros((2, len(code) + 1), bool)
-            held[at] = table.holds(hashes[at])
+            may, might = np.zeros((2, len(words) + 1), bool)
+            may[at] = table.holds(hashes[at]) | (bold & ~was[at])
             if done is not None:
-                before[at] = was[at] & done.holds(hashes[at])
-            at = at[held[at] & held[at + 1]]
-            at = at[at + k <= len(code)]
-            at = at[place[at] == place[at + k - 1]]
-            was[at] = before[at] & before[at + 1]
-        counted = at[~was[at]]
-        hashes[at] = _mixed(hashes[at] + of_word[code[at + k - 1]])
-        if not len(counted):
-            continue
-        first, count = _distinct([(lang[counted], len(of_lang)), *((code[counted + j], len(of_word)) for j in range(k))])
-        first = counted[first]
+                might[at] = was[at] & done.holds(hashes[at])
+            at = words.longer(at, may, k)
+            was[at] = might[at] & might[at + 1]
+        words.grow(hashes, at, k)
+        found, count = np.unique(hashes[at[~was[at]]] & ~np.uint64(3) | np.uint64(k - 1), return_counts=True)
+        for cut in range(0, len(found), OUT_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(found[cut : cut + OUT_ROWS].view(np.int64)), pa.array(count[cut : cut + OUT_ROWS])], ["hash", "f"])
+
+
+def _phrase_counts(words: _Words, hot: BitTable) -> Iterator[pa.RecordBatch]:
+    """Phrases whose hashes are ``hot``, spelt, with their counts, and per language the empty phrase with all its words."""
+    total = np.bincount(words.lang, minlength=len(words.langs))
+    yield _rows(words.langs, pa.array([""] * len(total)), 0, total)
+    hashes, at = words.of_lang[words.lang], words.starts()
+    for k in range(1, LONGEST + 1):
+        may = np.zeros(len(words) + 1, bool)
+        if k > 1:
+            may[at] = True
+            at = words.longer(at, may, k)
+        words.grow(hashes, at, k)
+        at = at[hot.holds(hashes[at])]  # a phrase is no more frequent than its parts
+        if not len(at):
+            break
+        first, count = _distinct([(words.lang[at], len(words.langs)), *((words.code[at + j], len(words.spelt)) for j in range(k))])
+        first = at[first]
         for cut in range(0, len(first), OUT_ROWS):
             some = first[cut : cut + OUT_ROWS]
-            columns = [spelt.take(pa.array(code[some + j])) for j in range(k)]
+            columns = [words.spelt.take(pa.array(words.code[some + j])) for j in range(k)]
             phrase = pc.binary_join_element_wise(*columns, " ") if k > 1 else columns[0]
-            yield _rows(langs.dictionary.take(pa.array(lang[some])), phrase, k, count[cut : cut + OUT_ROWS])
+            yield _rows(words.langs.take(pa.array(words.lang[some])), phrase, k, count[cut : cut + OUT_ROWS])
 
 
 def _rows(lang: pa.Array, phrase: pa.Array, words: int, count: np.ndarray) -> pa.RecordBatch:
@@ -126,32 +142,51 @@ def _rows(lang: pa.Array, phrase: pa.Array, words: int, count: np.ndarray) -> pa
                                       ["lang", "phrase", "words", "f"])
 
 
-def _count(docs: DataFrame, table: BitTable, done: BitTable | None, least: int) -> DataFrame:
-    """One pass: exact counts of the phrases that became countable, those of ``least`` and more kept; per language
-    the empty phrase of no words holds the number of all words.  Counts are added up per batch and task before the shuffle."""
+def _pass(docs: DataFrame, table: BitTable, done: BitTable | None, bold: bool, least: int) -> DataFrame:
+    """Hashes of the phrases that became countable and reach ``least``, from one pass over all texts.  Counts are added
+    up per batch and task before the shuffle."""
     send = docs.sparkSession.sparkContext.broadcast  # two tables of fixed size
     now, past = send(table.bits), None if done is None else send(done.bits)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = BitTable(now.value), None if past is None else BitTable(past.value)
         for batch in text_groups(batches, GROUP_BYTES):
-            yield from _phrases(batch, *tables)
+            yield from _hash_counts(_Words(batch), *tables, bold)
 
-    counts = docs.mapInArrow(run, COUNTED).groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
-    return staged_table(counts.where(f"words = 0 or f >= {least}"), "phrases")
+    counts = docs.mapInArrow(run, HASHED).groupBy("hash").agg(F.sum("f").alias("f"))
+    return staged_table(counts.where(F.col("f") >= least).select("hash"), "phrase-hashes")
 
 
-def closed_counts(docs: DataFrame, table: BitTable, least: int) -> tuple[DataFrame, BitTable, int]:
-    """(counts of all phrases of up to LONGEST words that occur ``least`` times, their bit table, passes made)."""
-    found, done, passes = None, None, 0
+def closed_table(docs: DataFrame, table: BitTable, least: int) -> tuple[BitTable, int]:
+    """(bit table that holds every phrase of up to LONGEST words with ``least`` occurrences, passes made).
+
+    After a bold pass nothing is left to count: each part of a frequent phrase was either found before or counted in
+    that pass.  Bold passes are for few failures, since they also count extensions of phrases that turn out rare.
+    """
+    hot, done, bold, passes = table, None, False, 0
     while True:
-        counts = _count(docs, table, done, least)
-        found = counts if found is None else found.unionByName(counts)
+        found = _pass(docs, table, done, bold, least)
+        place = F.shiftrightunsigned("hash", 64 - table.width).alias("place")
+        hot = hot.grown(found.select(place))
+        grown = table if bold else table.grown(found.where(F.col("hash").bitwiseAND(3) < LONGEST - 1).select(place))
         passes += 1
-        grown = table.grown(_extendable(table, counts))
-        if (grown.bits == table.bits).all():
-            return found, table, passes
+        if bold or (grown.bits == table.bits).all():
+            return hot, passes
         done, table = table, grown
+        before = done.members()
+        bold = table.members() - before <= BOLD * before
+
+
+def _spelt(docs: DataFrame, hot: BitTable, least: int) -> DataFrame:
+    """Exact counts of the phrases that the table holds, those of ``least`` and more kept."""
+    held = docs.sparkSession.sparkContext.broadcast(hot.bits)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_groups(batches, GROUP_BYTES):
+            yield from _phrase_counts(_Words(batch), BitTable(held.value))
+
+    counts = docs.mapInArrow(run, COUNTED).groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
+    return staged_table(counts.where(f"words = 0 or f >= {least}"), "phrases")
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -168,9 +203,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_one_in: int = S
     """
     chosen = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(sample_one_in)) == 0
     sample = staged_table(_texts(docs.where(chosen), text_col, lang_col), "sample")
-    _, proposals, _ = closed_counts(sample, BitTable.empty(), sample_least)
-    found, _, _ = closed_counts(_texts(docs, text_col, lang_col), proposals, least)
-    return found
+    proposals, _ = closed_table(sample, BitTable.empty(), sample_least)
+    texts = _texts(docs, text_col, lang_col)
+    hot, _ = closed_table(texts, proposals, least)
+    return _spelt(texts, hot, least)
 
 
 def _part(start: Column, length: Column) -> Column:
