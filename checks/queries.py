@@ -3,6 +3,8 @@ same, an oracle.  Nested results are flattened to text so that values can be com
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -12,7 +14,7 @@ from checks import sql as Q
 from mailtriage import constants as K
 from mailtriage.functions import features as FE, headers as H, text as X, urls as U
 from mailtriage.operators import (domains as D, explain as EX, lexicon as LX, links as LK, lookalike as LA,
-                                  metrics as M, ordering as O, quality as QA, scoring as S, sender as SE, tfidf as T)
+                                  metrics as M, ngrams as NG, ordering as O, quality as QA, scoring as S, sender as SE, tfidf as T)
 from mailtriage.plans import corpus as PC, score as PS, train as TR
 from mailtriage.session import staging_dir
 from checks import corpus as C
@@ -876,38 +878,35 @@ _VOCAB = f"vocab AS (SELECT * FROM stats WHERE df >= 2 QUALIFY row_number() OVER
 _TFIDF = """tfidf AS (SELECT email_id, block, term, w / sqrt(sum(w * w) OVER (PARTITION BY email_id, block)) AS weight FROM (
   SELECT email_id, block, term, (1 + ln(count(*))) * (ln((1 + (SELECT count(*) FROM emails)) / (1 + any_value(df))) + 1) AS w
   FROM terms JOIN vocab USING (block, term) GROUP BY email_id, block, term))"""
-_BLOCK_COLUMNS = {b.name: b.terms for b in T.BLOCKS}
 
 
 def _terms(spark, sf):
     """email_id and the three term columns, written once for their readers."""
-    return S.staged_table(TR.feature_table(_mails(spark, sf), ["email_id"]), "terms")
+    return S.staged_table(TR.term_table(_mails(spark, sf), ["email_id"]), "terms")
 
 
-def _vocabularies(stats):
-    return {b.name: T.vocabulary(stats.where(F.col("block") == b.name), b.size) for b in T.BLOCKS}
+def _texts(spark, sf):
+    """email_id and the texts that terms are cut from, written once for their readers."""
+    return S.staged_table(TR.feature_table(_mails(spark, sf), ["email_id"]), "texts")
 
 
 @query(E("SELECT * FROM stats", *_FEATS, _TERMS, _STATS))
 def term_frequencies(spark, sf):
-    return T.block_stats(TR.feature_table(_mails(spark, sf), ["email_id"]), _BLOCK_COLUMNS)
+    return T.block_stats(TR.feature_table(_mails(spark, sf), ["email_id"]))
 
 
 @query(E("SELECT * FROM vocab", *_FEATS, _TERMS, _STATS, _VOCAB))
 def vocabulary(spark, sf):
-    first, *rest = _vocabularies(S.staged_table(T.block_stats(_terms(spark, sf), _BLOCK_COLUMNS), "term-stats")).values()
-    for other in rest:
-        first = first.unionByName(other)
-    return first
+    return T.block_vocabularies(_texts(spark, sf))
 
 
 @query(E("SELECT email_id, block, term, round(weight, 6) AS weight FROM tfidf", *_FEATS, _TERMS, _STATS, _VOCAB, _TFIDF))
 def tfidf_weights(spark, sf):
     rows = _terms(spark, sf)
-    vocabularies = _vocabularies(S.staged_table(T.block_stats(rows, _BLOCK_COLUMNS), "term-stats"))
+    kept = S.staged_table(T.block_vocabularies(_texts(spark, sf)), "vocabularies")
     n, out = _mails(spark, sf).agg(F.count("*")).scalar(), None
     for block in T.BLOCKS:
-        found = T.tfidf_rows(rows, block.terms, "email_id", vocabularies[block.name], n).select(
+        found = T.tfidf_rows(rows, block.terms, "email_id", kept.where(F.col("block") == block.name), n).select(
             "email_id", F.lit(block.name).alias("block"), "term", F.round("weight", 6).alias("weight"))
         out = found if out is None else out.unionByName(found)
     return out
@@ -915,7 +914,7 @@ def tfidf_weights(spark, sf):
 
 @query(E("SELECT term, tf, df FROM stats WHERE block = 'combined_char'", *_FEATS, _TERMS, _STATS))
 def character_ngrams(spark, sf):
-    return T.term_stats(_terms(spark, sf), "char_terms")
+    return NG.gram_stats(TR.feature_table(_mails(spark, sf), ["email_id"]), {}, T.CHAR_BLOCKS).drop("block")
 
 
 @query(E(" UNION ALL ".join(
@@ -980,7 +979,9 @@ def top_reasons(spark, sf):
 
 
 def _model(spark, sf):
-    return TR.fit(_mails(spark, sf))
+    """Trained, saved and published by the first query that asks, loaded by the others."""
+    table = hashlib.md5(sf.encode()).hexdigest()
+    return TR.train_or_load(spark, f"{staging_dir(spark)}/checks-model-{spark.sparkContext.applicationId}-{table}", _mails(spark, sf))
 
 
 # a coefficient for every term and numeric feature, by a formula that both sides know
@@ -995,10 +996,10 @@ _MODEL = (*_FEATS, _TERMS, _STATS, _VOCAB, _TFIDF, _NUMBERS, _CONTRIBUTIONS)
 def _vectors(spark, sf):
     """(feature names, mails with their vectors) by the stages that training fits, over all mails."""
     rows = S.staged_table(TR.feature_table(_mails(spark, sf), ["email_id"]), "features")
-    stages, names = TR.feature_stages(spark, rows)
+    stages, made = TR.feature_stages(spark, rows)
     for stage in stages:
         rows = stage.transform(rows)
-    return names, rows.select("email_id", "features")
+    return made.feature_names, rows.select("email_id", "features")
 
 
 def _impacts(spark, sf):
@@ -1039,14 +1040,34 @@ def training_summary(spark, sf):
     split = O.stratified_split(mails, "email_id", "label")
     rows = S.staged_table(TR.feature_table(split, ["email_id", "label", "is_test"]), "features")
     train = rows.where(~F.col("is_test"))
-    stats = S.staged_table(T.block_stats(train, _BLOCK_COLUMNS), "term-stats")
-    kept = [v.agg(F.count("*")).scalar() for v in _vocabularies(stats).values()]
+    kept = T.block_vocabularies(train).agg(F.count("*")).scalar()
     weight = {r["label"]: r["weight"] for r in M.class_weights(train).collect()}
     return rows.agg(F.count("*").alias("training_rows")).select(
-        "training_rows", (sum(kept[1:], kept[0]) + len(K.NUMERIC_COLUMNS)).cast("long").alias("feature_count"),
+        "training_rows", (kept + len(K.NUMERIC_COLUMNS)).cast("long").alias("feature_count"),
         F.round(F.lit(weight[0]), 9).alias("weight_ham"), F.round(F.lit(weight[1]), 9).alias("weight_spam"))
 
 
+_KEPT = """kept AS (SELECT block AS source, term AS value FROM (SELECT block, term, count(*) AS tf, count(DISTINCT email_id) AS df
+    FROM terms JOIN training USING (email_id) GROUP BY block, term) WHERE df >= 2
+  QUALIFY row_number() OVER (PARTITION BY block ORDER BY tf DESC, term) <= """ + _SIZES + ")"
+
+
+@query(E(f"""SELECT source, value, TRUE AS at_optimum FROM kept UNION ALL SELECT 'numeric', unnest([{", ".join(f"'{c}'" for c in K.NUMERIC_COLUMNS)}]), TRUE
+  UNION ALL SELECT 'intercept', '', TRUE""", *_FEATS, _TERMS, _SPLIT_SQL, _KEPT))
+def model_optimum(spark, sf):
+    """Every feature of the fitted model, and whether the slope of the penalised loss, summed over the training mails,
+    vanishes there up to the tolerance.  The oracle knows the features and that an optimum has no slope."""
+    mails, fitted = _mails(spark, sf), _model(spark, sf)
+    split = O.stratified_split(mails, "email_id", "label")
+    train = TR.feature_table(split.where(~F.col("is_test")), ["label"])
+    weighted = train.join(F.broadcast(M.class_weights(train).select("label", "weight")), "label")
+    for stage in fitted.model.stages[:-1]:
+        weighted = stage.transform(weighted)
+    slopes, intercept = TR.gradient(fitted, S.staged_table(weighted.select("label", "weight", "features"), "vectors"))
+    rows = [(*name, bool(abs(g) <= K.GRADIENT_TOLERANCE)) for name, g in zip(fitted.feature_names, slopes)]
+    return spark.createDataFrame([*rows, ("intercept", "", bool(abs(intercept) <= K.GRADIENT_TOLERANCE))], "source string, value string, at_optimum boolean")
+
+
 @query()
 def trained_model_metrics(spark, sf):
     m = _model(spark, sf).metrics

@@ -135,6 +135,8 @@ SUBJECT_TERMS, BODY_TERMS, CHAR_TERMS = 5000, 11000, 9000
 MIN_DOC_FREQ = 2
 REGULARISATION_C = 6.0
 MAX_ITERATIONS = 3000
+SOLVER_TOLERANCE = 3e-5  # of the loss; every slope is then below GRADIENT_TOLERANCE
+GRADIENT_TOLERANCE = 1e-3
 RISKY_CATEGORIES = ["spam", "suspicious"]
 WATCH_CATEGORIES = ["uncertain", "not found", "unknown"]
 

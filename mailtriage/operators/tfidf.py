@@ -1,28 +1,28 @@
-"""Sublinear smoothed TF-IDF blocks over n-grams, built from Spark ML stages.
+"""Sublinear smoothed TF-IDF blocks over n-grams.
 
-Vocabulary and document frequencies come from one aggregation; counting terms per mail,
-IDF weights and length norm are Spark ML stages, which work row by row without a shuffle.
+Vocabularies come from the counts of ``ngrams``.  A block is one Spark ML stage, which counts, weighs and norms the
+terms of whole Arrow batches and needs no shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
-from pyspark.ml.linalg import Vectors, VectorUDT
+import pyarrow.compute as pc
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailtriage import constants as K
 from mailtriage.functions import text as X
 from mailtriage.functions.literals import no_strings
+from mailtriage.operators import ngrams as NG
 from mailtriage.operators.lookup import computed_once
 
-SUBLINEAR = "sublinear_counts"
-
 
 def stop_words() -> list[str]:
     """Spark ML's English list; pass another list where results must follow it."""
@@ -73,35 +73,21 @@ def term_columns(features: DataFrame, stops: Iterable[str] | None = None) -> Dat
                          char_terms=char_terms(F.col("combined_text"))).drop("_sw", "_bw")
 
 
-def term_stats(df: DataFrame, terms: str) -> DataFrame:
-    """term, tf (occurrences in the corpus), df (mails)."""
-    return block_stats(df, {"": terms}).drop("block")
+def text_columns(features: DataFrame, stops: Iterable[str] | None = None) -> DataFrame:
+    """Append the texts that the blocks cut into terms: ``subject_words``, ``body_words``, ``char_text``."""
+    stops = stop_words() if stops is None else list(stops)
+    return computed_once(features, subject_words=NG.word_text(F.col("subject_text"), stops),
+                         body_words=NG.word_text(F.col("body_text"), stops), char_text=NG.char_text(F.col("combined_text")))
 
 
-def block_stats(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """block, term, tf, df for several term columns in one scan and one shuffle.
+def block_stats(df: DataFrame) -> DataFrame:
+    """block, term, tf (occurrences), df (mails) over the columns of :func:`text_columns`."""
+    return NG.gram_stats(df, WORD_BLOCKS, CHAR_BLOCKS)
 
-    Each Arrow batch is counted as a whole (occurrences, and mails by distinct pairs of
-    mail and term), so that what is shuffled is one row per batch and term instead of two
-    per occurrence.
-    """
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, name in columns.items():
-                lists = batch.column(batch.schema.get_field_index(name))
-                coded = lists.flatten().dictionary_encode()
-                n = len(coded.dictionary)
-                if not n:
-                    continue
-                codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                seen = np.unique(np.repeat(np.arange(len(sizes)), sizes) * n + codes) % n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * n), coded.dictionary, pa.array(np.bincount(codes, minlength=n)),
-                     pa.array(np.bincount(seen, minlength=n))], ["block", "term", "tf", "df"])
-
-    parts = df.select(*columns.values()).mapInArrow(run, "block string, term string, tf long, df long")
-    return parts.groupBy("block", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+def block_vocabularies(df: DataFrame, min_df: int = K.MIN_DOC_FREQ) -> DataFrame:
+    """block, term, tf, df of the terms each block keeps, without counting every term of the corpus in one place."""
+    return NG.vocabularies(df, WORD_BLOCKS, CHAR_BLOCKS, {b.name: b.size for b in BLOCKS}, min_df)
 
 
 def vocabulary(stats: DataFrame, size: int, min_df: int = K.MIN_DOC_FREQ) -> DataFrame:
@@ -128,45 +114,91 @@ def tfidf_rows(df: DataFrame, terms: str, key: str, vocab: DataFrame, n_rows: Co
 
 # --- Spark ML form -----------------------------------------------------------
 
-def register_sublinear(spark: SparkSession) -> None:
-    """Register the vector function 1 + ln(tf); a saved model needs it again after loading."""
-
-    @F.pandas_udf(VectorUDT())
-    def sublinear(counts: pd.DataFrame) -> pd.DataFrame:
-        # a vector column arrives as its fields; counts are sparse and at least one
-        return counts.assign(values=counts["values"].map(lambda v: 1.0 + np.log(v)))
-
-    spark.udf.register(SUBLINEAR, sublinear)
-
-
 @dataclass
 class Block:
-    """One TF-IDF block: which term column, how many terms, which prefix."""
+    """One TF-IDF block: its term column, the text it is cut from, how many terms, words or characters."""
 
     name: str
     terms: str
     size: int
+    text: str
+    words: bool
 
 
 BLOCKS = [
-    Block("subject_word", "subject_terms", K.SUBJECT_TERMS),
-    Block("body_word", "body_terms", K.BODY_TERMS),
-    Block("combined_char", "char_terms", K.CHAR_TERMS),
+    Block("subject_word", "subject_terms", K.SUBJECT_TERMS, "subject_words", True),
+    Block("body_word", "body_terms", K.BODY_TERMS, "body_words", True),
+    Block("combined_char", "char_terms", K.CHAR_TERMS, "char_text", False),
 ]
+WORD_BLOCKS = {b.name: b.text for b in BLOCKS if b.words}
+CHAR_BLOCKS = {b.name: b.text for b in BLOCKS if not b.words}
+
+
+def _word_hits(texts: pa.Array, terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, term number) of every known word and word pair."""
+    spelt, row, code, pair, second = NG.word_grams(texts)
+    number = pc.fill_null(pc.index_in(spelt, terms), -1).to_numpy(zero_copy_only=False)
+    pairs, which = np.unique(code[pair] * max(len(spelt), 1) + second, return_inverse=True)
+    joined = pc.binary_join_element_wise(spelt.take(pa.array(pairs // max(len(spelt), 1))), spelt.take(pa.array(pairs % max(len(spelt), 1))), " ")
+    of_pair = pc.fill_null(pc.index_in(joined, terms), -1).to_numpy(zero_copy_only=False)
+    return np.concatenate([row, row[pair]]), np.concatenate([number[code], of_pair[which]]).astype(np.int64)
+
+
+class _CharTerms:
+    """Character terms as integers over the letters they are made of; larger alphabets wrap around like a hash."""
+
+    def __init__(self, terms: list[str]):
+        letters = sorted({ord(c) for t in terms for c in t})
+        self.base = len(letters) + 1
+        self.number = np.zeros(0x110000, np.int32)  # 0: in no term
+        self.number[letters] = np.arange(1, len(letters) + 1)
+        self.known = {}
+        for n in NG.SIZES:
+            places = [i for i, t in enumerate(terms) if len(t) == n]
+            code = self.number[[ord(c) for i in places for c in terms[i]]] if places else np.zeros(0, np.int32)
+            keys = NG.packed(code, np.arange(0, len(code), n), n, self.base)
+            order = np.argsort(keys)
+            self.known[n] = keys[order], np.array(places, np.int64)[order]
+
+    def hits(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        points, row = NG.code_points(texts)
+        code, rows, numbers = self.number[points], [], []
+        for n, (keys, places) in self.known.items():
+            if not len(keys):
+                continue
+            at = NG.windows(points, row, n)
+            key = NG.packed(code, at, n, self.base)
+            found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            same = keys[found] == key
+            rows.append(row[at[same]])
+            numbers.append(places[found[same]])
+        return (np.concatenate(rows), np.concatenate(numbers)) if rows else (np.zeros(0, np.int64),) * 2
+
+
+def register_block(spark: SparkSession, function: str, words: bool, terms: list[str], weights: list[float]) -> None:
+    """Register a block's vector function; a saved model needs it again after loading."""
 
+    @F.pandas_udf(VectorUDT())
+    def block_vector(texts: pd.Series) -> pd.DataFrame:
+        column = pa.array(texts, pa.string(), from_pandas=True)
+        row, number = _word_hits(column, pa.array(terms, pa.string())) if words else _CharTerms(terms).hits(column)
+        known = number >= 0
+        place, count = np.unique(row[known] * len(terms) + number[known], return_counts=True)
+        row, number = place // len(terms), place % len(terms)
+        value = (1 + np.log(count)) * np.array(weights)[number]
+        norm = np.sqrt(np.bincount(row, value * value, minlength=len(column)))
+        value /= norm[row]
+        cuts = np.searchsorted(row, np.arange(1, len(column)))
+        return pd.DataFrame({"type": np.zeros(len(column), np.int8), "size": np.full(len(column), len(terms), np.int32),
+                             "indices": np.split(number.astype(np.int32), cuts), "values": np.split(value, cuts)})
 
-def block_stages(block: Block, vocab: list, n_rows: int, spark: SparkSession) -> list:
-    """Stages that turn a term column into a normed TF-IDF vector named like the block.
+    spark.udf.register(function, block_vector)
 
-    ``vocab`` are the rows of :func:`vocabulary`; its length is capped by the block size.
-    """
-    register_sublinear(spark)
-    counts, damped, scaled = (f"{block.name}_{s}" for s in ("counts", "damped", "scaled"))
-    words = [r["term"] for r in vocab]
-    weights = [float(np.log((1.0 + n_rows) / (1.0 + r["df"])) + 1.0) for r in vocab]
-    return [
-        CountVectorizerModel.from_vocabulary(words, inputCol=block.terms, outputCol=counts),
-        SQLTransformer(statement=f"SELECT *, {SUBLINEAR}({counts}) AS {damped} FROM __THIS__"),
-        ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol=damped, outputCol=scaled),
-        Normalizer(p=2.0, inputCol=scaled, outputCol=block.name),
-    ]
+
+def block_weights(vocab: list, n_rows: int) -> list[float]:
+    return [float(np.log((1.0 + n_rows) / (1.0 + r["df"])) + 1.0) for r in vocab]
+
+
+def block_stage(block: Block, function: str) -> SQLTransformer:
+    """Stage that turns a text column into a normed TF-IDF vector named like the block."""
+    return SQLTransformer(statement=f"SELECT *, {function}({block.text}) AS {block.name} FROM __THIS__")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -21,22 +22,30 @@ from mailtriage.operators import explain as E, metrics as M, ordering as O, tfid
 from mailtriage.schemas import require_columns
 from mailtriage.session import staged_table
 
+SOLVER_ROWS = 2000  # rows of a solver partition at least
+
 
 @dataclass
 class TrainedModel:
-    """Fitted stages, the names of all features and the hold-out metrics."""
+    """Fitted stages, the names of all features, the vector functions of the blocks and the hold-out metrics."""
 
     model: PipelineModel
     feature_names: list  # (source, value) per vector position
     metrics: dict = field(default_factory=dict)
+    weights: list = field(default_factory=list)  # inverse document frequency per vector position, 1 for numeric ones
+    functions: dict = field(default_factory=dict)  # vector function by block
 
 
 def feature_table(df: DataFrame, keep: Iterable[str], stops: Iterable[str] | None = None,
                   training: bool = True) -> DataFrame:
-    """Kept columns, the 15 numeric features and the three term columns."""
+    """Kept columns, the 15 numeric features and the three texts that terms are cut from."""
     frame = FE.training_features(df) if training else FE.scoring_features(df)
-    return T.term_columns(frame, stops).select(
-        *keep, *K.NUMERIC_COLUMNS, *[b.terms for b in T.BLOCKS])
+    return T.text_columns(frame, stops).select(*keep, *K.NUMERIC_COLUMNS, *[b.text for b in T.BLOCKS])
+
+
+def term_table(df: DataFrame, keep: Iterable[str], stops: Iterable[str] | None = None) -> DataFrame:
+    """Kept columns and the three term columns, spelt out: for looking at terms, not for training."""
+    return T.term_columns(FE.training_features(df), stops).select(*keep, *[b.terms for b in T.BLOCKS])
 
 
 def _numeric_stages(scaling: list) -> list:
@@ -46,22 +55,35 @@ def _numeric_stages(scaling: list) -> list:
                             outputCol="features")]
 
 
-def feature_stages(spark: SparkSession, train: DataFrame) -> tuple[list, list]:
-    """(stages that end in ``features``, feature names) for a staged feature table.
+def feature_stages(spark: SparkSession, train: DataFrame) -> tuple[list, TrainedModel]:
+    """(stages that end in ``features``, a model with their names and functions) for a staged feature table.
 
     What reaches the driver is bounded by the term caps.
     """
     n_train = train.count()
-    stats = staged_table(T.block_stats(train, {b.name: b.terms for b in T.BLOCKS}), "term-stats")
-    stages, names = [], []
+    kept: dict[str, list] = {b.name: [] for b in T.BLOCKS}
+    for r in T.block_vocabularies(train).orderBy("block", F.desc("tf"), "term").collect():
+        kept[r["block"]].append(r)
+    stages, made = [], TrainedModel(None, [])
     for block in T.BLOCKS:
-        vocab = T.vocabulary(stats.where(F.col("block") == block.name), block.size).collect()
-        if not vocab:
+        if not kept[block.name]:
             raise ValueError(f"no term of block {block.name} occurs in {K.MIN_DOC_FREQ} mails")
-        stages += T.block_stages(block, vocab, n_train, spark)
-        names += [(block.name, r["term"]) for r in vocab]
+        terms, weights = [r["term"] for r in kept[block.name]], T.block_weights(kept[block.name], n_train)
+        made.functions[block.name] = f"{block.name}_{uuid.uuid4().hex}"
+        T.register_block(spark, made.functions[block.name], block.words, terms, weights)
+        stages.append(T.block_stage(block, made.functions[block.name]))
+        made.feature_names += [(block.name, t) for t in terms]
+        made.weights += weights
     stages += _numeric_stages(M.scaling(train).collect())
-    return stages, names + [("numeric", c) for c in K.NUMERIC_COLUMNS]
+    made.feature_names += [("numeric", c) for c in K.NUMERIC_COLUMNS]
+    made.weights += [1.0] * len(K.NUMERIC_COLUMNS)
+    return stages, made
+
+
+def solver_input(rows: DataFrame) -> DataFrame:
+    """label, weight, features as the solver reads them in every iteration: written once, in few partitions."""
+    staged = staged_table(rows.select("label", "weight", "features"), "vectors")
+    return staged.coalesce(max(1, staged.count() // SOLVER_ROWS))
 
 
 def fit(corpus: DataFrame, key: str = "email_id", test_size: float = 0.2, seed: int = 42,
@@ -69,7 +91,8 @@ def fit(corpus: DataFrame, key: str = "email_id", test_size: float = 0.2, seed:
         stops: Iterable[str] | None = None) -> TrainedModel:
     """Split, select vocabularies, fit a balanced L2 logistic regression, evaluate.
 
-    Features are staged once.  What reaches the driver is bounded by the term caps.
+    Texts are staged once and so are the vectors, the solver's only input.  It stops by ``K.SOLVER_TOLERANCE``;
+    ``max_iter`` is a ceiling.  What reaches the driver is bounded by the term caps.
     """
     require_columns(corpus, K.REQUIRED_COLUMNS)
     spark = corpus.sparkSession
@@ -81,27 +104,40 @@ def fit(corpus: DataFrame, key: str = "email_id", test_size: float = 0.2, seed:
     split = O.stratified_split(labelled, key, "label", test_size, seed)
     rows = staged_table(feature_table(split, [key, "label", "is_test"], stops), "features")
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
-
     weights = M.class_weights(train)
     n_train = int(weights.agg(F.sum("n")).first()[0])
-    stages, names = feature_stages(spark, train)
+    stages, fitted = feature_stages(spark, train)
 
+    # one row per class
+    weighted = train.join(F.broadcast(weights.select("label", "weight")), "label")
+    shaped = Pipeline(stages=stages).fit(weighted)
     # loss is averaged over the weights, which add up to the number of training rows
     regression = LogisticRegression(
         labelCol="label", weightCol="weight", regParam=1.0 / (K.REGULARISATION_C * n_train),
-        elasticNetParam=0.0, standardization=False, maxIter=max_iter)
-    # one row per class
-    weighted = train.join(F.broadcast(weights.select("label", "weight")), "label")
-    model = Pipeline(stages=[*stages, regression]).fit(weighted)
-    fitted = TrainedModel(model, names)
+        elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=K.SOLVER_TOLERANCE)
+    solved = regression.fit(solver_input(shaped.transform(weighted)))
+    fitted.model = PipelineModel([*shaped.stages, solved])
     fitted.metrics = evaluate(fitted, test, threshold) | {
         "model_name": K.MODEL_NAME, "threshold": threshold,
         "trained_at": dt.datetime.now(dt.timezone.utc).isoformat(),
-        "training_rows": rows.count(), "feature_count": len(names),
+        "training_rows": rows.count(), "feature_count": len(fitted.feature_names),
     }
     return fitted
 
 
+def gradient(fitted: TrainedModel, vectors: DataFrame) -> tuple[np.ndarray, float]:
+    """(gradient of the mean penalised loss by coefficient, by intercept) at the fit, over label, weight and features:
+    what vanishes at the optimum.  Sums are made per partition; one vector a partition reaches the driver's tree."""
+    solved = fitted.model.stages[-1]
+    margin = solved.transform(vectors).withColumn("_r", F.col("weight") * (vector_to_array("probability")[1] - F.col("label")))
+    total = margin.agg(F.sum("weight"), F.sum("_r")).first()
+    entries = margin.select("_r", F.posexplode(vector_to_array("features")).alias("i", "x")).where("x <> 0")
+    sums = {r["i"]: r["g"] for r in entries.groupBy("i").agg(F.sum(F.col("_r") * F.col("x")).alias("g")).collect()}
+    coefficients = solved.coefficients.toArray()
+    slopes = np.array([sums.get(i, 0.0) for i in range(len(coefficients))]) / total[0]
+    return slopes + solved.getRegParam() * coefficients, total[1] / total[0]
+
+
 def probabilities(fitted: TrainedModel, features: DataFrame) -> DataFrame:
     """Feature table with the probability ``p`` of phishing."""
     scored = fitted.model.transform(features)
@@ -166,27 +202,63 @@ def annotate(fitted: TrainedModel, mails: DataFrame, limit: int = 5, name_numeri
 
 # --- persistence -----------------------------------------------------------------
 
+def _path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def publish(spark: SparkSession, path: str, version: str) -> None:
+    """Let ``path/current`` name a finished version, by one rename."""
+    fresh, files = _path(spark, f"{path}/current-{version}")
+    out = files.create(fresh, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri() if fresh.toUri().getScheme() else files.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(fresh), files.makeQualified(_path(spark, f"{path}/current")[0]), how)
+
+
+def published(spark: SparkSession, path: str) -> str | None:
+    """Folder of the version that readers see, None where no save has ended."""
+    pointer, files = _path(spark, f"{path}/current")
+    if not files.exists(pointer):
+        return None
+    return f"{path}/versions/{spark.read.text(f'{path}/current').first()[0].strip()}"
+
+
 def save(fitted: TrainedModel, spark: SparkSession, path: str) -> None:
-    """Model directory, feature names and a one-row metrics document."""
-    fitted.model.write().overwrite().save(f"{path}/model")
-    rows = [(i, s, v) for i, (s, v) in enumerate(fitted.feature_names)]
-    spark.createDataFrame(rows, "i int, source string, value string").write.mode("overwrite").parquet(f"{path}/features")
-    spark.createDataFrame([fitted.metrics]).coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
+    """Model directory, features and a one-row metrics document in a version folder of their own, published when all are
+    there.  A save that breaks off leaves the last published version in place."""
+    version = uuid.uuid4().hex
+    folder = f"{path}/versions/{version}"
+    fitted.model.write().save(f"{folder}/model")
+    rows = [(i, s, v, w, fitted.functions.get(s)) for i, ((s, v), w) in enumerate(zip(fitted.feature_names, fitted.weights))]
+    spark.createDataFrame(rows, "i int, source string, value string, weight double, function string").write.parquet(f"{folder}/features")
+    spark.createDataFrame([fitted.metrics]).coalesce(1).write.json(f"{folder}/metrics")
+    publish(spark, path, version)
 
 
 def load(spark: SparkSession, path: str) -> TrainedModel:
-    T.register_sublinear(spark)
-    model = PipelineModel.load(f"{path}/model")
-    names = spark.read.parquet(f"{path}/features").orderBy("i").collect()
-    metrics = spark.read.json(f"{path}/metrics").first().asDict()
-    return TrainedModel(model, [(r["source"], r["value"]) for r in names], metrics)
+    """The published version."""
+    folder = published(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no model has been published in {path}")
+    rows = spark.read.parquet(f"{folder}/features").orderBy("i").collect()
+    functions = {}
+    for block in T.BLOCKS:
+        own = [r for r in rows if r["source"] == block.name]
+        functions[block.name] = own[0]["function"]
+        T.register_block(spark, own[0]["function"], block.words, [r["value"] for r in own], [r["weight"] for r in own])
+    model = PipelineModel.load(f"{folder}/model")
+    metrics = spark.read.json(f"{folder}/metrics").first().asDict()
+    return TrainedModel(model, [(r["source"], r["value"]) for r in rows], metrics, [r["weight"] for r in rows], functions)
 
 
 def train_or_load(spark: SparkSession, path: str, corpus: DataFrame, force: bool = False, **options) -> TrainedModel:
-    """Load a saved model; train and save when there is none or when forced."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/model/metadata")
-    exists = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    if exists and not force:
+    """Load the published model; train and save when there is none or when forced."""
+    if published(spark, path) is not None and not force:
         return load(spark, path)
     fitted = fit(corpus, **options)
     save(fitted, spark, path)
