@@ -7,7 +7,7 @@ Patterns use Java's ``(?U)`` flag where Unicode classes are meant; without it
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
 
@@ -79,8 +79,6 @@ def strip_html(c: Column) -> Column:
 
 def unescape_entities(c: Column) -> Column:
     """Decode numeric references and the common named entities."""
-    pieces = F.split(c, r"&#(?=[0-9]{1,7};|[xX][0-9a-fA-F]{1,6};)")
-
     def decode(piece: Column) -> Column:
         ref = F.lower(F.substring_index(piece, ";", 1))
         code = (
@@ -93,29 +91,70 @@ def unescape_entities(c: Column) -> Column:
         rest = F.regexp_replace(piece, r"^[^;]*;", "")
         return F.concat(F.when(valid, char).otherwise("\ufffd"), rest)
 
-    decoded = F.concat(
-        F.element_at(pieces, 1),
-        F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), decode), ""),
-    )
+    decoded = _let(F.split(c, r"&#(?=[0-9]{1,7};|[xX][0-9a-fA-F]{1,6};)"), lambda pieces: F.concat(
+        F.element_at(pieces, 1), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), decode), "")))
     for name, char in _ENTITIES.items():
         decoded = F.replace(decoded, F.lit(name), F.lit(char))
     return decoded
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that it names several times and that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _upto_last(c: Column, end: str) -> Column:
+    """The text up to and with the last ``end``: behind it no tag can close, so nothing there is worth a search."""
+    return F.substring(c, F.lit(1), F.length(c) - F.length(F.substring_index(c, end, -1)))
+
+
+def _without_blocks(c: Column, name: str) -> Column:
+    """Replace ``<name ...> ... </name>`` by the mark.
+
+    The text is cut at the closing tags, so an opening tag is looked for once per closing one, and an unclosed one
+    costs no search to the end of the text.
+    """
+    opening, closing = rf"(?is)<{name}\b[^>]*+>.*", rf"(?i)</{name}\s*+>"
+
+    def kept(piece: Column) -> Column:
+        # a closing tag by itself is a tag like any other
+        return _let(_upto_last(piece, ">"), lambda head: _let(F.regexp_replace(head, opening, _TAG_MARK), lambda cut: F.when(
+            cut != head, cut).otherwise(F.concat(piece, F.lit(f"</{name}>")))))
+
+    return _let(F.split(c, closing), lambda pieces: F.concat(
+        F.array_join(F.transform(F.slice(pieces, 1, F.size(pieces) - 1), kept), ""), F.element_at(pieces, -1)))
+
+
+def _without_comments(c: Column) -> Column:
+    def kept(piece: Column) -> Column:
+        return F.when(piece.contains("<!--"), F.concat(F.substring_index(piece, "<!--", 1), F.lit(_TAG_MARK))).otherwise(
+            F.concat(piece, F.lit("-->")))
+
+    return _let(F.split(c, "-->"), lambda pieces: F.concat(
+        F.array_join(F.transform(F.slice(pieces, 1, F.size(pieces) - 1), kept), ""), F.element_at(pieces, -1)))
+
+
+def _without_tags(c: Column) -> Column:
+    return _let(c, lambda text: _let(_upto_last(text, ">"), lambda head: F.concat(
+        F.regexp_replace(head, r"</?[a-zA-Z][^>]*+>|<[!?][^>]*+>", _TAG_MARK), F.substr(text, F.length(head) + 1))))
+
+
 def html_to_text(c: Column) -> Column:
     """Text of an HTML page, one line per text node.
 
-    Script-like blocks, comments and tags all turn into one mark character; a run of
-    marks is one line break.  Single-character loops keep the regex engine's stack flat.
+    Script-like blocks, comments and tags all turn into one mark character; a run of marks is one line break.  Time
+    grows with the length of the text, closed or not: every search starts where its end is known to exist.  Blocks go
+    name by name, so of blocks that overlap without nesting the first name of the list wins.
     """
-    text = F.regexp_replace(
-        c, r"(?is)<(script|style|noscript|iframe)\b[^>]*>.*?</\1\s*>", _TAG_MARK)
-    text = F.regexp_replace(text, r"(?s)<!--.*?-->", _TAG_MARK)
-    text = F.regexp_replace(text, r"</?[a-zA-Z][^>]*>|<[!?][^>]*>", _TAG_MARK)
-    text = F.regexp_replace(text, _TAG_MARK + "+", "\n")
+    text = c
+    for name in ("script", "style", "noscript", "iframe"):
+        text = _without_blocks(text, name)
+    text = _without_tags(_without_comments(text))
+    text = F.regexp_replace(text, _TAG_MARK + "++", "\n")
     # entities are decoded by the parser and once more afterwards
     text = unify_newlines(unescape_entities(unescape_entities(text)))
-    return strip(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f&&[^\n]]+(?=\n)", ""))
+    space = r"[\s\x1c-\x1f&&[^\n]]"
+    return strip(F.regexp_replace(text, rf"(?U)(?<!{space}){space}++(?=\n)", ""))
 
 
 def unify_newlines(c: Column) -> Column:
