@@ -36,6 +36,7 @@ SAMPLE_LEAST = 2
 BOLD = 0.25  # failures, as a share of the proposals, that are extended in a single pass
 GROUP_BYTES = 3 << 20
 OUT_ROWS = 200_000
+RANK_SALTS = 256
 MARKS = r"[.,;:!?\n-\r]"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -235,7 +236,11 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = 2000, **options
     inside = inside.withColumn("start", F.explode(F.sequence(F.lit(1), F.col("words") - F.col("size") + 1)))
     inside = inside.groupBy("lang", _part(F.col("start"), F.col("size")).alias("phrase")).agg(F.max("f").alias("longer"))
     kept = best.join(inside, ["lang", "phrase"], "left").where("longer is null or cast(longer as decimal(20, 0)) * 100 < cast(f as decimal(20, 0)) * 80")
-    ranked = kept.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("f"), "phrase"))).where(F.col("rank") <= top)
+    # the best of each of RANK_SALTS parts of a language first, so that no task ranks all its phrases
+    best_first = [F.desc("cut.score"), F.desc("f"), F.col("phrase")]
+    salted = kept.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SALTS)))
+    near = salted.withColumn("place", F.row_number().over(W.partitionBy("lang", "salt").orderBy(*best_first))).where(F.col("place") <= top)
+    ranked = near.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*best_first))).where(F.col("rank") <= top)
     words = found.where("words = 0").select("lang", F.col("f").alias("n"))  # one row a language
     return ranked.join(words, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("f").alias("a"), F.col("cut.l").alias("l"),
