@@ -3,11 +3,13 @@
 A batch of texts becomes flat numpy arrays of symbols, cut into words where no vocabulary piece crosses.
 Distinct words are merged together: each round finds the best pair of every word by segmented minima and
 merges its leftmost occurrence, or all occurrences at once where no new pair can come before them; merged
-symbols are compacted away, and words without a pair leave.
+symbols are compacted away, and words without a pair leave.  Words of very many symbols, such as long runs of
+blanks, where each merge brings the next about, are merged one by one from a heap of their pairs instead.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -26,7 +28,8 @@ NO_RANK = np.int32(1 << 30)
 CODE_POINTS = 0x110000
 END_ID = 2
 INSIDE_BITS = 22
-KNOWN_WORDS = 150_000  # words whose ids a task keeps; past that it starts anew
+KNOWN_WORDS, KNOWN_CHARS = 150_000, 4 << 20  # words, and their characters, whose ids a task keeps; past that it starts anew
+LONG_WORD = 256  # symbols
 
 
 @dataclass
@@ -99,6 +102,8 @@ class Tables:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.known_chars = 0
+        self.made_of: dict[tuple[int, int], tuple[int, int]] = {}  # rank and id of the pairs of long words
         self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     @staticmethod
@@ -146,6 +151,13 @@ class Tables:
         """Merge flat symbols of words that begin at ``starts``; (symbols, word of each) when no pair remains."""
         word = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(symbols))))
         done: list[tuple[np.ndarray, np.ndarray]] = []
+        sizes = np.bincount(word, minlength=len(starts))
+        for w in np.flatnonzero(sizes > LONG_WORD).tolist():
+            merged = self._merge_long(symbols[starts[w] : starts[w] + sizes[w]])
+            done.append((merged, np.full(len(merged), w)))
+        if done:
+            short = sizes[word] <= LONG_WORD
+            symbols, word = symbols[short], word[short]
         made = np.full(len(symbols), -1, np.int32)  # what a symbol makes with the next one of its word
         inner = np.flatnonzero(word[1:] == word[:-1])
         made[inner] = self.merge(symbols[inner], symbols[inner + 1])
@@ -181,6 +193,36 @@ class Tables:
         order = np.argsort(word, kind="stable")
         return symbols[order], word[order]
 
+    def _merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """Symbols of one word after all merges, best pair first and leftmost among equals, in n log n steps."""
+        def pair(a: int, b: int) -> tuple[int, int]:
+            found = self.made_of.get((a, b))
+            if found is None:
+                merged = self.merge(np.array([a], np.int32), np.array([b], np.int32))
+                found = self.made_of[a, b] = (int(self.rank(merged)[0]), int(merged[0]))
+            return found
+
+        held: list[int] = symbols.tolist()
+        n, gone = len(held), -1
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(rank, i, held[i], held[i + 1], merged) for i in range(n - 1) for rank, merged in [pair(held[i], held[i + 1])] if merged >= 0]
+        heapq.heapify(heap)
+        while heap:
+            _, i, left, right, merged = heapq.heappop(heap)
+            j = after[i] if held[i] == left else n
+            if j >= n or held[j] != right:
+                continue  # one of the two has been merged since
+            held[i], held[j] = merged, gone
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n:
+                    rank, new = pair(held[a], held[b])
+                    if new >= 0:
+                        heapq.heappush(heap, (rank, a, held[a], held[b], new))
+        return np.array([s for s in held if s != gone], np.int32)
+
     def _chosen(self, at: np.ndarray, symbols: np.ndarray, word: np.ndarray, made: np.ndarray, ranks: np.ndarray) -> np.ndarray:
         """Of the best pairs ``at``, left to right without overlap: all those of a word if no pair that they
         bring about is as good as they are, else the leftmost only."""
@@ -218,7 +260,7 @@ class Tables:
         cut[edges[:-1][edges[:-1] < len(chars)]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(chars))
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) > KNOWN_WORDS or self.known_chars > KNOWN_CHARS:
             self._forget()
         known = self.known
         before = len(known)
@@ -234,6 +276,7 @@ class Tables:
     def _learn(self, words: list[str]) -> None:
         """Merge words met for the first time and keep their ids."""
         sizes = np.array([len(w) for w in words], np.int64)
+        self.known_chars += int(sizes.sum())
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = np.cumsum(sizes) - sizes
         ids, word = self.merge_words(self.of_char[chars], starts)
