@@ -43,7 +43,6 @@ MARKS = re.compile(r"[013457@$!](?=[013457@$!]*[^\W\d_])|(?<=[^\W\d_])[013457](?
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 FLUSH_TERMS = 400_000
-BROADCAST_LABELS = 1_000_000
 
 
 def folded(text: str) -> str:
@@ -67,6 +66,20 @@ def _word_ends(text: str, at: int) -> bool:
     return at >= len(text) or not text[at].isalpha()
 
 
+def _outside(best: dict[int, tuple[int, float]], spared: list[tuple[int, int]]) -> list[float]:
+    """Weights of the hits that lie inside no spared stretch, in one sweep over both: of the stretches begun so
+    far, a hit is inside one if it ends before the furthest of them does."""
+    spared.sort()
+    out, at, reach = [], 0, -1
+    for start, (end, weight) in sorted(best.items()):
+        while at < len(spared) and spared[at][0] <= start:
+            reach = max(reach, spared[at][1])
+            at += 1
+        if end > reach:
+            out.append(weight)
+    return out
+
+
 @dataclass
 class Lexicon:
     """Entry -> weight, harmless phrases, and the curve (bias, slope of the sum, slope of the density)."""
@@ -101,7 +114,7 @@ class Lexicon:
                 spared.append((start, end))
             elif start not in best or best[start][1] < weight:
                 best[start] = (end, weight)
-        hits = [w for s, (e, w) in best.items() if not any(a <= s and e <= b for a, b in spared)]
+        hits = _outside(best, spared)
         total = sum(hits)
         return float(np.log1p(total)), float(np.log1p(100 * total / (1 + text.count(" ")))), len(hits)
 
@@ -142,18 +155,17 @@ def labelled(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
              text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """Training rows (doc_id, text, toxic): ids outside the held-out fold with a label of 0 or 1, each id once.
 
-    Of equal texts with equal labels one row stays, so that copies are no evidence of their own.
+    Of equal texts with equal labels one row stays, so that copies are no evidence of their own.  The joins carry no
+    hint: the planner broadcasts by measured bytes.
     """
     docs = documents(docs, id_col, text_col)
     keys = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
             .where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held))
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    small = keys.count() <= BROADCAST_LABELS  # 12 bytes a row; above that, both sides are shuffled
-    keys = F.broadcast(keys) if small else keys
     prints = docs.select("doc_id", F.xxhash64("text").alias("a"), F.crc32(F.col("text").cast("binary")).alias("b"))
     kept = staged_table(prints.join(keys, "doc_id").groupBy("a", "b", "toxic").agg(F.min("doc_id").alias("doc_id"))
                         .select("doc_id", "toxic"), "labelled")
-    return docs.join(F.broadcast(kept) if small else kept, "doc_id")
+    return docs.join(kept, "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, min_docs: int = 4, margin: float = 6.0,
@@ -252,7 +264,11 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
 
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5) -> DataFrame:
-    """Rows of ``docs``, all columns as they are, whose text scores below ``threshold``."""
+    """Rows of ``docs``, all columns as they are, whose text scores below ``threshold``.
+
+    Null and empty texts score the curve's floor and stay with any threshold above it; repeated rows share their fate,
+    null ids are kept, an empty table gives no rows.
+    """
     held = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
