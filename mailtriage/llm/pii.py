@@ -3,13 +3,16 @@
 Each kind of value is found by pattern, validated (checksums, ranges, calendar), and mapped by a keyed
 bijection of its own format: a card number stays a card number with a right check digit, a date stays a
 date, an address keeps its shape.  Equal values get equal pseudonyms in every document, so links survive;
-different values of one format get different pseudonyms.
+different values of one format get different pseudonyms.  Where the way a value is read depends on what it
+holds, the permutation is walked on until the image reads the same way, so every mapping can be undone.  Spellings
+of one phone number, date, card or account number share their pseudonym.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import ipaddress
 import math
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -17,7 +20,6 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from mailtriage.llm.common import column_of, documents, text_groups, texts_of
 
@@ -32,8 +34,9 @@ HEX = ("0123456789abcdef", "0123456789ABCDEF")
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}",
     "key_id": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
-    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b\"?'?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9+/_-]{8,})",
+    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b)(?P<sign>\"?'?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9+/_-]{8,})",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "ipv6": r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}|:):[0-9A-Fa-f:]{3,36}(?<!:)(?![\w:]|\.\d)",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
     "date": r"(?<![\w-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -53,9 +56,15 @@ IBAN_LENGTHS = {code: int(n) for n, codes in {
     "28": "AL AZ BY CY DO GT HN HU LB NI PL SV", "29": "BR EG PS QA UA", "30": "JO KW MU YE", "31": "MT SC", "32": "LC",
     "33": "RU",
 }.items() for code in codes.split()}
+# Calling codes of one and two digits; all others have three.
+CALLING_CODES = (
+    "1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51",
+    "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92",
+    "93", "94", "95", "98",
+)
 FINDERS = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
 # What a text must hold before a pattern is tried.
-NEEDS = {"email": re.compile("@"), "key_id": re.compile("AKIA|ASIA"), "secret": re.compile("[=:]"), "digits": re.compile(r"\d")}
+NEEDS = {"email": re.compile("@"), "key_id": re.compile("AKIA|ASIA"), "secret": re.compile("[=:]"), "ipv6": re.compile(":"), "digits": re.compile(r"\d")}
 KINDS = tuple(PATTERNS)
 OUT = "doc_id long, text string, n_found long, found array<struct<kind:string,start:int,length:int>>"
 
@@ -105,6 +114,13 @@ class Feistel:
             out.append(c)
         return "".join(reversed(out))
 
+    def spell_among(self, text: str, tweak: str, alphabets: tuple[str, ...], member: Callable[[str], bool], back: bool = False) -> str:
+        """Permute ``text``, itself a member, among the strings of its format that are: others are walked past."""
+        while True:
+            text = self.spell(text, tweak, alphabets, back)
+            if member(text):
+                return text
+
     def _spell_long(self, text: str, tweak: str, alphabets: tuple[str, ...], back: bool) -> str:
         """The same for long strings in linear time: the halves are shifted in turn by a stream keyed by the other."""
         kinds = {c: (k, i) for k, symbols in reversed(list(enumerate(alphabets))) for i, c in enumerate(symbols)}
@@ -148,13 +164,20 @@ def _email(f: Feistel, found: str, back: bool) -> str:
 
 
 def _key_id(f: Feistel, found: str, back: bool) -> str:
-    alphabet = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",) if not re.search("[0189]", found[4:]) else (CLASSES[2] + CLASSES[0],)
-    return found[:4] + f.spell(found[4:], "key", alphabet, back)
+    narrow = not re.search("[0189]", found[4:])
+    alphabet = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",) if narrow else (CLASSES[2] + CLASSES[0],)
+    return found[:4] + f.spell_among(found[4:], "key", alphabet, lambda s: narrow == (not re.search("[0189]", s)), back)
+
+
+def _alphabets(value: str) -> tuple[str, ...]:
+    """What the characters of a secret may become: hexadecimal ones stay so, and stay without digits if they are."""
+    held = set(value)
+    return next(((s,) for digits in HEX for s in (digits[10:], digits) if held <= set(s)), CLASSES)
 
 
 def _secret(f: Feistel, found: str, back: bool) -> str:
-    alphabets = next(((s,) for s in HEX if set(found) <= set(s)), CLASSES)
-    return f.spell(found, "secret", alphabets, back)
+    alphabets = _alphabets(found)
+    return f.spell_among(found, "secret", alphabets, lambda s: _alphabets(s) == alphabets, back)
 
 
 def _iban(f: Feistel, found: str, back: bool) -> str | None:
@@ -173,38 +196,51 @@ def _ip(f: Feistel, found: str, back: bool) -> str | None:
     return ".".join(str(b) for b in value.to_bytes(4, "big"))
 
 
+def _ipv6(f: Feistel, found: str, back: bool) -> str | None:
+    """All spellings of an address get one pseudonym, in canonical spelling."""
+    try:
+        value = int(ipaddress.IPv6Address(found))
+    except ValueError:
+        return None
+    if not _reads_as_ipv6(value):
+        return None
+    while True:
+        value = f.permute(value, 1 << 128, "ipv6", back)
+        if _reads_as_ipv6(value):
+            return str(ipaddress.IPv6Address(value))
+
+
+def _reads_as_ipv6(value: int) -> bool:
+    """Whether the canonical spelling is taken for an address: with a digit and more than a scoped name holds."""
+    text = str(ipaddress.IPv6Address(value))
+    return any(c.isdigit() for c in text) and FINDERS["ipv6"].fullmatch(text) is not None
+
+
 def _date(f: Feistel, found: str, back: bool) -> str | None:
-    """Day-month order wherever it is a date, month-day otherwise; years 1900 to 2099."""
+    """Day-month order wherever it is a date, month-day otherwise; years 1900 to 2099.  All spellings of a day get the
+    same new day; days up to the 12th are permuted among themselves, so that an order is read as it was written."""
     mark = next(c for c in found if not c.isdigit())
-    a, b, c = (int(p) for p in found.split(mark))
-    orders = ("ymd",) if len(found.split(mark)[0]) == 4 else ("dmy", "mdy")
-    for order in orders:
-        parts = dict(zip(order, (a, b, c)))
+    parts = found.split(mark)
+    for order in ("ymd",) if len(parts[0]) == 4 else ("dmy", "mdy"):
+        read = dict(zip(order, map(int, parts)))
         try:
-            day = dt.date(parts["y"], parts["m"], parts["d"]).toordinal()
+            day = dt.date(read["y"], read["m"], read["d"])
         except ValueError:
             continue
-        if FIRST_DAY <= day <= LAST_DAY:
-            if order == "ymd":
-                new = dt.date.fromordinal(FIRST_DAY + f.permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date", back))
-                return mark.join((f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"))
-            low, high = (1, 12) if order == "dmy" else (13, 31)  # each reading is permuted among its own dates
-            day = _day_in(f, parts["y"], parts["m"], parts["d"], order, back)
-            return mark.join(day)
+        if FIRST_DAY <= day.toordinal() <= LAST_DAY:
+            new = _day(f, day, back)
+            shown = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+            return mark.join(shown[c] for c in order)
     return None
 
 
-def _day_in(f: Feistel, y: int, m: int, d: int, order: str, back: bool) -> tuple[str, str, str]:
-    """Dates written with the year last.  Day-first dates are walked until they read as day-first again,
-    month-first dates (whose second number is above 12) until they need the month first again."""
-    value, size = dt.date(y, m, d).toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1
+def _day(f: Feistel, day: dt.date, back: bool) -> dt.date:
+    new = day
     while True:
-        value = f.permute(value, size, order, back)
+        value = f.permute(new.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date", back)
         new = dt.date.fromordinal(FIRST_DAY + value)
-        if order == "dmy":
-            return f"{new.day:02d}", f"{new.month:02d}", f"{new.year:04d}"
-        if new.day > 12:
-            return f"{new.month:02d}", f"{new.day:02d}", f"{new.year:04d}"
+        if (new.day > 12) == (day.day > 12):
+            return new
 
 
 def _ssn(f: Feistel, found: str, back: bool) -> str | None:
@@ -228,15 +264,16 @@ def _card(f: Feistel, found: str, back: bool) -> str | None:
 
 
 def _phone(f: Feistel, found: str, back: bool) -> str | None:
-    """The country code stays, the other digits are permuted; 7 to 15 digits in all."""
-    if not 7 <= sum(c.isdigit() for c in found) <= 15:
+    """The country code stays, the other digits are permuted, whatever stands between them; 7 to 15 digits in all."""
+    digits = "".join(c for c in found if c.isdigit())
+    if not 7 <= len(digits) <= 15:
         return None
-    head = re.match(r"\+\d{1,3}(?=[ .(-])|\+\d{2}|", found).group()
-    return head + f.spell(found[len(head) :], "phone", back=back)
+    code = next((c for c in CALLING_CODES if digits.startswith(c)), digits[:3]) if found[0] == "+" else ""
+    return _refill(found, code + f.spell(digits[len(code) :], f"phone{code}", back=back))
 
 
 RULES: dict[str, Callable[[Feistel, str, bool], str | None]] = {
-    "email": _email, "key_id": _key_id, "secret": _secret, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn,
+    "email": _email, "key_id": _key_id, "secret": _secret, "iban": _iban, "ipv6": _ipv6, "ip": _ip, "date": _date, "ssn": _ssn,
     "card": _card, "phone": _phone,
 }
 
@@ -263,24 +300,35 @@ def _ibans(text: str) -> Iterator[tuple[int, int]]:
         at = m.start() + (end or 1)
 
 
+def _secrets(text: str) -> Iterator[tuple[int, int]]:
+    """Values with a digit; those without one only if directly assigned or quoted, since prose is not."""
+    for m in FINDERS["secret"].finditer(text):
+        if m["sign"].lstrip("\"'") == "=" or m["sign"][-1] in "\"'" or any(c.isdigit() for c in m["value"]):
+            yield m.span("value")
+
+
 def replace(f: Feistel, text: str, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
-    """Pseudonymised text and (kind, start, length) of what was replaced, as code points of the input."""
+    """Pseudonymised text and (kind, start, length) of what was replaced, as code points of the input.
+
+    Finds of one kind come in order and do not overlap, so each kind is held against those before it in one sweep.
+    """
     digits = NEEDS["digits"].search(text) is not None
     taken: list[tuple[int, int, str, str]] = []
     for kind, finder in FINDERS.items():
         if not (NEEDS[kind].search(text) if kind in NEEDS else digits):
             continue
-        spans = _ibans(text) if kind == "iban" else (m.span("value" if kind == "secret" else 0) for m in finder.finditer(text))
+        spans = (_ibans(text) if kind == "iban" else _secrets(text) if kind == "secret" else (m.span() for m in finder.finditer(text)))
+        fresh, at = [], 0
         for start, end in spans:
-            if kind == "secret" and not any(c.isdigit() for c in text[start:end]):
-                continue
-            if any(s < end and start < e for s, e, _, _ in taken):
+            while at < len(taken) and taken[at][1] <= start:
+                at += 1
+            if at < len(taken) and taken[at][0] < end:
                 continue
             new = RULES[kind](f, text[start:end], back)
             if new is not None:
-                taken.append((start, end, kind, new))
+                fresh.append((start, end, kind, new))
+        taken = sorted(taken + fresh)
     out, at = [], 0
-    taken.sort()
     for start, end, _, new in taken:
         out += [text[at:start], new]
         at = end
@@ -309,7 +357,11 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
 
 
 def hide(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
-    """``docs`` with pseudonyms in its text column, the other columns as they are; null texts stay null."""
+    """``docs`` with pseudonyms in its text column, the other columns as they are.
+
+    One row per input row: null and empty texts stay as they are, repeated rows and null ids are kept, an empty
+    table gives no rows.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Feistel(key)
@@ -320,8 +372,3 @@ def hide(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
 
     return docs.mapInArrow(run, docs.schema)
 
-
-def kind_counts(found: DataFrame) -> DataFrame:
-    """Documents and values by kind."""
-    rows = found.select("doc_id", F.explode("found.kind").alias("kind"))
-    return rows.groupBy("kind").agg(F.count("*").alias("n_values"))
