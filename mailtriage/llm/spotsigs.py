@@ -1,9 +1,12 @@
 """Document fingerprints by spot signatures, in DataFrame functions only.
 
-Common words are anchors.  Each anchor with the next ``CHAIN`` content words (common words between them are
-skipped, at most ``SKIP`` in a row) is one signature; a document's fingerprint is the sorted set of its
-signature hashes.  Sets are compared by Jaccard similarity; near duplicates are found inside partitions by set
-length, through the rarest signatures of each set, and measured only if their lengths allow the threshold.
+Common words are anchors.  Each anchor with the next two content words behind it (common words between them are
+passed over, however many) is one signature, a spot.  Where three content words stand next to each other, without
+an anchor, they are a signature as well, so that stretches and texts without common words are described too.  Both
+rules look at neighbouring words only, so every text has the same kinds of signature.  A document's fingerprint is
+the sorted set of its signature hashes.  Sets are compared by Jaccard similarity; near duplicates are found inside
+partitions by set length, through the rarest signatures of each set, and measured only if their lengths allow the
+threshold.
 """
 
 from __future__ import annotations
@@ -25,43 +28,50 @@ ANCHORS = (
     "ist", "mit", "nicht", "und", "von", "zu", "al", "con", "de", "del", "el", "en", "las", "los", "no", "para", "por",
     "se", "su", "una", "y",
 )
-CHAIN, SKIP, FEW = 2, 8, 8
 BUCKET_ROWS, MOST_BUCKETS = 4096, 100_000
 
 _TAILS = {first: sorted(w[1:] for w in ANCHORS if w[0] == first) for first in sorted({w[0] for w in ANCHORS})}
 _ANY = "(?:" + "|".join(f"{first}(?:{'|'.join(tails)})" for first, tails in _TAILS.items()) + ")"  # by first letter
-_NEXT = f"(?: {_ANY}(?= )){{0,{SKIP}}}+ (?!{_ANY} )[^ ]+(?= )"
-SPOT = f"(?<= )(?=({_ANY}(?= )" + _NEXT * CHAIN + "))"
-RUN = "(?<= )(?=([^ ]+ [^ ]+ [^ ]+) )"
-SKIPPED = f"(?<= ){_ANY}(?= )"
+#: A content word with the anchors before it; a mark behind the last word ends the last piece.
+END = "\u0001"
+PIECE = f"((?:{_ANY} )*+[^ ]+) "
+#: Letters of scripts written without spaces are words of their own.
+UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 
 
 def with_spots(rows: DataFrame, text: str, name: str) -> DataFrame:
     """``rows`` with the sorted distinct signature hashes of column ``text`` as column ``name``.
 
-    Texts with fewer than ``FEW`` spots add their runs of three words; a text without any has one signature,
-    its own hash, and an empty text has none.  Column ``name``_few says which kind it is.  The steps are columns of their own, so that each is computed
-    once a row.
+    A text without any signature (fewer than three words, say) has one, its own hash; an empty text has none.  The
+    steps are columns of their own, so that each is computed once a row, in time proportional to the text: the
+    text is cut into pieces, each a content word with the anchors before it, and looked at piece by piece.
     """
-    words, found, runs = f"_{name}_words", f"_{name}_found", f"_{name}_runs"
-    rows = rows.withColumn(words, F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" ")))
-    rows = rows.withColumn(found, F.regexp_extract_all(words, F.lit(SPOT), F.lit(1)))
-    rows = rows.withColumn(runs, F.when(F.size(found) < FEW, F.regexp_extract_all(words, F.lit(RUN), F.lit(1))).otherwise(
-        F.array().cast("array<string>")))
+    pieces, content, found = f"_{name}_pieces", f"_{name}_content", f"_{name}_found"
+    low = F.lower(text)
+    low = F.when(F.col(text).rlike(UNSPACED), F.regexp_replace(low, UNSPACED, " $1 ")).otherwise(low)
+    words = F.concat(F.ltrim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " ")), F.lit(f" {END} "))
+    words = F.regexp_replace(words, f"  {END}", f" {END}")
+    rows = rows.withColumn(pieces, F.regexp_extract_all(words, F.lit(PIECE), F.lit(1)))
+    rows = rows.withColumn(content, F.transform(pieces, lambda p: F.substring_index(p, " ", -1)))
+    c = F.col(content)
+
+    def spots(p: Column, j: Column) -> Column:
+        anchors = F.array_distinct(F.split(F.regexp_extract(p, "^(.*) ", 1), " "))
+        spot = F.transform(anchors, lambda a: F.xxhash64(a, F.get(c, j), F.get(c, j + 1)))
+        return F.when(F.contains(p, F.lit(" ")), spot).otherwise(F.array().cast("array<bigint>"))
+
+    def plain(i: Column) -> Column:
+        return ~F.contains(F.get(F.col(pieces), i), F.lit(" "))
+
+    def runs(p: Column, j: Column) -> Column:
+        run = F.array(F.xxhash64(F.lit("run"), F.get(c, j), F.get(c, j + 1), F.get(c, j + 2)))
+        return F.when((j + 3 < F.size(c)) & plain(j + 1) & plain(j + 2), run).otherwise(F.array().cast("array<bigint>"))
+
+    inner = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 2, F.lit(0)))
+    rows = rows.withColumn(found, F.flatten(F.transform(inner, lambda p, j: F.concat(spots(p, j), runs(p, j)))))
     own = F.when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.lit("text"), text)))
-    hashes = F.concat(F.transform(found, lambda s: F.xxhash64(F.regexp_replace(s, SKIPPED, ""))),
-                      F.transform(runs, lambda s: F.xxhash64(F.lit("run"), s)))
-    rows = rows.withColumn(name, F.array_sort(F.array_distinct(F.when(F.size(found) + F.size(runs) > 0, hashes).otherwise(own))))
-    return rows.withColumn(f"{name}_few", F.size(found) < FEW).drop(words, found, runs)
-
-
-def with_runs(rows: DataFrame, text: str, signatures: str, name: str, where: Column) -> DataFrame:
-    """``rows`` with column ``name``: the signatures and, of texts with enough spots ``where`` it is true, also the
-    runs of three words, to be compared with a text that has them for its few spots."""
-    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    runs = F.transform(F.regexp_extract_all(words, F.lit(RUN), F.lit(1)), lambda s: F.xxhash64(F.lit("run"), s))
-    few = F.col(f"{signatures}_few")
-    return rows.withColumn(name, F.when(where & ~few, F.array_union(signatures, runs)).otherwise(F.col(signatures)))
+    rows = rows.withColumn(name, F.when(F.size(found) > 0, F.sort_array(F.array_distinct(found))).otherwise(own))
+    return rows.drop(pieces, content, found)
 
 
 def spelt(signatures: Column) -> Column:
@@ -101,8 +111,8 @@ def _bucketed(rows: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, signatures, next_text, next_signatures, and both _few): each row with the next one by ascending doc_id,
-    the last with the first.
+    """(doc_id, text, signatures, next_text, next_signatures): each row with the next one by ascending doc_id, the last
+    with the first.
 
     Rows are dealt by ranges of doc_id; the first row of each range is also given to the range before it, so
     one shuffle of the texts is enough.  Equal ids are ordered by text hash; null ids come last.
@@ -120,8 +130,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     both = with_spots(both, "text", "signatures")
     one_by_one = Window.partitionBy("_g").orderBy("_extra", F.col("doc_id").asc_nulls_last(), "_h")
     return (both.withColumn("next_text", F.lead("text").over(one_by_one)).withColumn("next_signatures", F.lead("signatures").over(one_by_one))
-            .withColumn("next_signatures_few", F.lead("signatures_few").over(one_by_one)).where("_extra = 0")
-            .select("doc_id", "text", "signatures", "signatures_few", "next_text", "next_signatures", "next_signatures_few"))
+            .where("_extra = 0").select("doc_id", "text", "signatures", "next_text", "next_signatures"))
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,9 +138,8 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gave way to as many first ones of the next document.
 
     Columns: doc_id, n_chars, edited_text, fingerprint, edited_fingerprint, near_edited, near_next.  Null texts
-    are empty; two empty fingerprints are alike (1.0).  If only one of two texts has few spots, the runs of the
-    other are compared as well, so that like is compared with like.  Repeated rows follow each other; a single row is its
-    own next; an empty table gives no rows.
+    are empty; two empty fingerprints are alike (1.0).  Both likenesses are functions of the two fingerprints alone.
+    Repeated rows follow each other; a single row is its own next; an empty table gives no rows.
     """
     rows = with_next(documents(docs, id_col, text_col))
     n = F.char_length("text")
@@ -139,13 +147,9 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept = F.expr("substring(text, 1, cast(n_chars - half as int))")
     rows = rows.withColumn("edited_text", F.concat(kept, F.expr("substring(next_text, 1, half)")))
     rows = with_spots(rows, "edited_text", "edited_signatures")
-    for other in ("edited", "next"):
-        rows = with_runs(rows, "text", "signatures", f"_by_{other}", F.col(f"{other}_signatures_few"))
-        rows = with_runs(rows, f"{other}_text", f"{other}_signatures", f"_{other}", F.col("signatures_few"))
     a, b = F.col("signatures"), F.col("edited_signatures")
     return rows.select("doc_id", "n_chars", "edited_text", spelt(a).alias("fingerprint"), spelt(b).alias("edited_fingerprint"),
-                       likeness(F.col("_by_edited"), F.col("_edited")).alias("near_edited"),
-                       likeness(F.col("_by_next"), F.col("_next")).alias("near_next"))
+                       likeness(a, b).alias("near_edited"), likeness(a, F.col("next_signatures")).alias("near_next"))
 
 
 def similar_sets(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
