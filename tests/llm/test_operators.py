@@ -1,9 +1,12 @@
 """The ten operators on small tables: odd rows, brute-force versions, round trips and held-out accuracy."""
 
 import hashlib
+import ipaddress
 import itertools
 import math
 import random
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,6 +14,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -135,6 +139,19 @@ def test_pieces_equal_the_library(library):
         assert tables.decode(mine) == library.decode(want)
 
 
+def test_long_words_equal_the_library(library):
+    rng, tables = random.Random(8), sentencepieces.Vocabulary.load(PIECES).tables()
+    texts = [" " * n for n in (255, 256, 257, 1000, 8000, 1_000_000)] + ["=" * 5000, "-=" * 4000, "\n" * 9999 + "x" * 777, "日本" * 700 + "😀" * 400]
+    texts += ["".join(rng.choice("abehinrst") for _ in range(n)) for n in (300, 3000, 30_000)] + [" x" * 400 + "  " * 500 + "y"]
+    began = time.monotonic()
+    for text in texts:
+        ids, _ = tables.encode([text])
+        assert ids.tolist() == library.encode(text) and tables.decode(ids) == library.decode(ids.tolist())
+    ids, offsets = tables.encode(texts)
+    assert all(ids[offsets[k] : offsets[k + 1]].tolist() == library.encode(t) for k, t in enumerate(texts))
+    assert time.monotonic() - began < 60
+
+
 def test_decode_of_any_ids_equals_the_library(library):
     rng, tables = random.Random(6), sentencepieces.Vocabulary.load(PIECES).tables()
     for _ in range(3000):
@@ -166,19 +183,55 @@ def test_edited_likeness_against_plain_python(spark, documents):
     assert np.mean([r["near_edited"] > r["near_next"] for r in rows]) > 0.95
 
 
-def test_likeness_across_few_and_many_spots(spark):
-    many = " ".join(f"the word{i} thing{i}" for i in range(8))
-    fewer = " ".join(f"{'the' if i < 7 else 'some'} word{i} thing{i}" for i in range(8))
-    rows = spotsigs.edited_likeness(spark.createDataFrame([(1, many), (2, fewer)], "doc_id long, text string")).collect()
+def plain_fingerprint(text):
+    """Spots and runs word by word; hashes chained as Spark chains them."""
+    def chained(*parts):
+        seed = 42
+        for part in parts:
+            seed = xxhash.xxh64(part.encode(), seed).intdigest()
+        return seed
+
+    words = re.sub(r"[^\W_]+|.", lambda m: m.group() if m.group().isalnum() else " ", text.lower(), flags=re.S).split()
+    after = [[w for w in words[i + 1 : i + 400] if w not in spotsigs.ANCHORS][:2] for i in range(len(words))]
+    found = {chained(w, *after[i]) for i, w in enumerate(words) if w in spotsigs.ANCHORS and len(after[i]) == 2}
+    found |= {chained("run", *words[i : i + 3]) for i in range(len(words) - 2) if not set(words[i : i + 3]) & set(spotsigs.ANCHORS)}
+    if text and not found:
+        found = {chained("text", text)}
+    signed = sorted(h - (1 << 64 if h >> 63 else 0) for h in found)
+    return "".join(f"{h % (1 << 64):016x}" for h in signed)
+
+
+def test_fingerprints_against_plain_python(spark, documents):
+    odd = ["The cat", "the of a", "a b c d", "one two three", "the " * 300 + "old house stands", "of the the house of lords and commons", "", "x",
+           "no no " * 40 + "words words", "Über den Wolken muss die Freiheit wohl grenzenlos sein", "tail the house of the"]
+    texts = {**texts_in_order(documents), **{10_000_000 + i: t for i, t in enumerate(odd)}}
+    rows = spotsigs.fingerprints(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        if texts[r["doc_id"]].isascii() or r["doc_id"] >= 10_000_000:
+            assert r["fingerprint"] == plain_fingerprint(texts[r["doc_id"]]), texts[r["doc_id"]][:80]
+
 
-    def runs(text):
-        words = text.split()
-        return {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+def test_likeness_is_that_of_the_returned_fingerprints(spark, documents):
+    def parts(text):
+        return {text[i : i + 16] for i in range(0, len(text), 16)}
 
-    spots = {text: {(f"word{i}", f"thing{i}") for i in range(8) if f"the word{i} thing{i}" in text} for text in (many, fewer)}
-    a, b = (runs(t) | spots[t] for t in (many, fewer))
-    assert [len(spots[t]) for t in (many, fewer)] == [8, 7]
-    assert all(abs(r["near_next"] - len(a & b) / len(a | b)) < 1e-9 for r in rows)
+    def alike(a, b):
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    rows = sorted(spotsigs.edited_likeness(documents).collect(), key=lambda r: r["doc_id"])
+    for r, after in zip(rows, [*rows[1:], rows[0]]):
+        own = parts(r["fingerprint"])
+        assert abs(r["near_edited"] - alike(own, parts(r["edited_fingerprint"]))) < 1e-12
+        assert abs(r["near_next"] - alike(own, parts(after["fingerprint"]))) < 1e-12
+
+
+def test_fingerprints_of_long_runs_and_unspaced_scripts(spark):
+    long = "the " * 500_000 + "end of days"
+    texts = [(1, long), (2, "of " * 300_000), (3, "東京は日本の首都である"), (4, "東京は日本の首都です")]
+    rows = {r["doc_id"]: r for r in spotsigs.fingerprints(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert [len(rows[i]["signatures"]) for i in (1, 2, 3)] == [1, 1, 9]
+    assert len(set(rows[3]["signatures"]) & set(rows[4]["signatures"])) == 7
 
 
 def test_ranges_give_the_same_neighbours(spark, documents, monkeypatch):
@@ -444,6 +497,29 @@ def test_folding_and_matching():
     assert lexicon.score(*lexicon.features(lexicon.automaton(), "you idiot")[:2]) > 0.5 > lexicon.score(0.0, 0.0)
 
 
+def test_matching_against_plain_search():
+    entries, spared = {"idiot": 6.0, "scum*": 5.0, "trash": 4.0, "loser*": 3.0}, ("trash can", "pond scum", "idiot proof", "sore loser")
+    lexicon, rng = toxicity.Lexicon(entries, spared), random.Random(4)
+    automaton = lexicon.automaton()
+    for _ in range(400):
+        text = " ".join(rng.choice(["idiot", "proof", "pond", "scum", "scumbag", "trash", "can", "cans", "loser", "sore", "idiots", "x"]) for _ in range(rng.randrange(40)))
+        safe = [(a, a + len(p)) for p in spared for a in range(len(text)) if text.startswith(p, a) and (not a or not text[a - 1].isalpha())
+                and not text[a + len(p) : a + len(p) + 1].replace("s", "").isalpha()]
+        total = hits = 0
+        for m in re.finditer(r"[a-z]+", text):
+            best = max(((w, e.rstrip("*")) for e, w in entries.items() if m.group() in (e, e + "s") or e.endswith("*") and m.group().startswith(e[:-1])), default=None)
+            if best and not any(a <= m.start() and m.start() + len(best[1]) <= b for a, b in safe):
+                total, hits = total + best[0], hits + 1
+        assert lexicon.features(automaton, text)[2] == hits and math.isclose(lexicon.features(automaton, text)[0], math.log1p(total))
+
+
+def test_many_hits_beside_exceptions_take_linear_time():
+    lexicon = toxicity.Lexicon({"idiot": 6.0, "scum": 5.0})
+    began = time.monotonic()
+    assert lexicon.features(lexicon.automaton(), "idiot proof scum pond scum idiot " * 100_000)[2] == 200_000
+    assert time.monotonic() - began < 20
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (5, 0, 0), (None, 1, 1), (7, None, None)], "doc_id long, toxic int, quality int")
     for lexicon in (toxicity.fit(odd, labels, min_docs=1), toxicity.fit(odd, labels.where("false"))):
@@ -510,6 +586,86 @@ def test_ibans_before_words_and_numbers():
     assert pii.replace(f, "ES92 2100 0418 4502 0005 1332 BIC")[1] == []
 
 
+def drawn(kind, rng):
+    pick = lambda symbols, n: "".join(rng.choice(symbols) for _ in range(n))
+    digits, low = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    if kind == "email":
+        return f"{pick(low + digits, 6)}.{pick(low, 3)}@{pick(low, 5)}.org"
+    if kind == "key_id":
+        return "AKIA" + pick("ABCDEFGH234567" + rng.choice(["", "0189"]), 16)
+    if kind == "ip":
+        return ".".join(str(rng.randrange(256)) for _ in range(4))
+    if kind == "ipv6":
+        return str(ipaddress.IPv6Address(rng.randrange(1 << 128)))
+    if kind == "date":
+        y, m, d = rng.randrange(1900, 2100), rng.randrange(1, 13), rng.randrange(1, 29)
+        return rng.choice([f"{y}-{m:02d}-{d:02d}", f"{d:02d}.{m:02d}.{y}", f"{m:02d}/{d:02d}/{y}"])
+    if kind == "ssn":
+        return f"{rng.randrange(100, 600)}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10_000):04d}"
+    if kind == "card":
+        body = "4" + pick(digits, 14)
+        return body + pii.luhn_digit(body)
+    if kind == "iban":
+        rest = pick(digits, 18)
+        return "DE" + pii.iban_check("DE", rest) + rest
+    if kind == "phone":
+        return f"+{rng.choice(['1', '44', '420'])} {pick(digits, 3)} {pick(digits, 3)} {pick(digits, 4)}"
+    return "token=" + rng.choice([lambda: pick("abcdef" + digits, 8), lambda: pick(low[6:8], 1) + pick(digits, 7), lambda: pick("ABCDEF", 8),
+                                  lambda: pick("ABCDEF" + digits, 9), lambda: pick(low, 8), lambda: pick("abcdef", 8), lambda: pick(digits, 8)])()
+
+
+@pytest.mark.parametrize("kind", pii.KINDS)
+def test_no_two_values_meet_and_all_come_back(kind):
+    f, rng = pii.Feistel(b"k"), random.Random(kind)
+    values = {v for v in (drawn(kind, rng) for _ in range(10_000)) if not v.startswith("+1 1")}
+    if kind != "secret":
+        assert sum(pii.replace(f, v)[1] == [(kind, 0, len(v))] for v in values) > 0.95 * len(values)
+    images = {v: pii.replace(f, v)[0] for v in values}
+    assert len(set(images.values())) == len(values)
+    assert all(pii.replace(f, image, back=True)[0] == v for v, image in images.items())
+
+
+def test_spellings_of_one_value_stay_linked():
+    f = pii.Feistel(b"k")
+    new = lambda text: pii.replace(f, text)[0]
+    plain = lambda text: "".join(c for c in new(text) if c.isalnum())
+    assert len({plain(t) for t in ("+1 555 123 4567", "+15551234567", "+1 (555) 123-4567", "+1.555.123.4567")}) == 1
+    assert len({plain(t) for t in ("4539 1488 0343 6467", "4539148803436467", "4539-1488-0343-6467")}) == 1
+    assert len({new(t) for t in ("2001:db8::1", "2001:0db8:0:0:0:0:0:1", "2001:DB8::1")}) == 1
+    for y, m, d in (("2024", "03", "05"), ("2024", "03", "25")):
+        shown = {(a[2], a[1], a[0]) for a in [new(f"{d}/{m}/{y}").split("/"), new(f"{d}.{m}.{y}").split(".")]} | {tuple(new(f"{y}-{m}-{d}").split("-"))}
+        if int(d) > 12:
+            month, day, year = new(f"{m}/{d}/{y}").split("/")
+            shown.add((year, month, day))
+        assert len(shown) == 1
+
+
+def test_secrets_without_digits_and_prose():
+    f = pii.Feistel(b"k")
+    for text in ("token=abcdefghijklmnop", 'password: "correcthorse"', "'secret': 'deadbeefcafe'", "pwd = h1ddenvalue"):
+        assert [k for k, _, _ in pii.replace(f, text)[1]] == ["secret"]
+    for text in ("password: remember everything", "the token = something", "std::vector<int> a::b 12:30:45", "10:20", "::", "dead::beef"):
+        assert pii.replace(f, text) == (text, [])
+
+
+def test_texts_with_very_many_values_take_linear_time():
+    f, began = pii.Feistel(b"k"), time.monotonic()
+    text = " ".join(f"user{i}@mail{i}.com" for i in range(100_000))
+    assert len(pii.replace(f, text)[1]) == 100_000 and time.monotonic() - began < 60
+
+
+def test_replacement_against_a_slow_finder(documents):
+    f = pii.Feistel(b"k")
+    for text in texts_in_order(documents).values():
+        taken = []
+        for kind, finder in pii.FINDERS.items():
+            spans = pii._ibans(text) if kind == "iban" else pii._secrets(text) if kind == "secret" else (m.span() for m in finder.finditer(text))
+            for start, end in spans:
+                if not any(s < end and start < e for s, e, *_ in taken) and pii.RULES[kind](f, text[start:end], False) is not None:
+                    taken.append((start, end, kind))
+        assert pii.replace(f, text)[1] == [(kind, start, end - start) for start, end, kind in sorted(taken)]
+
+
 def test_invalid_values_stay():
     f = pii.Feistel(b"k")
     for text in ("4539 1488 0343 6468", "300.1.2.3", "2021-13-40", "000-12-3456", "version 3.14", "a@b", ""):
