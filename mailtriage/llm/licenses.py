@@ -1,12 +1,15 @@
 """License scans by conditional compression.
 
 Blocks of text around license words are compressed with every license's wordings as raw zstandard dictionary.
-In the order of the bytes they save, all licenses are aligned word by word with the block, and confirmed if the
-wording differs in few words and names the license exactly.
+Most licenses have nothing to do with a block, so the median of the bytes saved is what unrelated wordings save;
+licenses that save more are candidates, largest reduction first, and confirmed if the wording differs in few words and
+names the license exactly.  What is confirmed is blanked and the block compressed again, until no candidate is
+confirmed: in a list of many licenses the rest then stand out.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -32,6 +35,10 @@ NAMES = {
     "AGPL-3.0": ("GNU Affero General Public License, version 3", "AGPLv3", "AGPL-3.0"),
     "MPL-2.0": ("Mozilla Public License, version 2.0", "MPL 2.0", "MPL-2.0"),
     "EPL-2.0": ("Eclipse Public License, version 2.0", "EPL-2.0"),
+    "Zlib": ("zlib License", "Zlib"),
+    "BSL-1.0": ("Boost Software License, Version 1.0", "BSL-1.0"),
+    "OFL-1.1": ("SIL Open Font License, Version 1.1", "OFL-1.1"),
+    "WTFPL": ("WTFPL",),
     "CC0-1.0": ("CC0 1.0", "Creative Commons Zero 1.0 Universal", "CC0-1.0"),
     "CC-BY-4.0": ("CC BY 4.0", "Creative Commons Attribution 4.0 International License", "CC-BY-4.0"),
     "CC-BY-SA-4.0": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
@@ -101,6 +108,18 @@ NOTICES = {
         "accompanies this distribution",
     ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+        "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+        "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    ),
+    "BSL-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and "
+        "transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software "
+        "is furnished to do so, all subject to the following",
+    ),
+    "OFL-1.1": ("This Font Software is licensed under the SIL Open Font License, Version 1.1.",),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "all-rights-reserved": ("All rights reserved.",),
 }
@@ -116,19 +135,24 @@ KEPT = {
     "LGPL-3.0": (("GNU Lesser General Public License",), ("version 3", "version 3.0")),
     "AGPL-3.0": (("GNU Affero General Public License",), ("version 3", "version 3.0")),
     "MPL-2.0": (("Mozilla Public License",), ("2.0",)),
+    "OFL-1.1": (("SIL Open Font License",), ("1.1",)),
     "EPL-2.0": (("Eclipse Public License 2.0", "Eclipse Public License v 2.0", "Eclipse Public License v2.0",
                  "Eclipse Public License version 2.0"),),
 }
-CUES = re.compile(r"licen[sc]|copyright|rights reserved|permission|redistribut|public domain|spdx|\bcc[ -]by\b|\bcc0\b", re.I)
+CUES = re.compile(r"licen[sc]|copyright|rights reserved|permission|redistribut|public domain|spdx|\bcc[ -]by\b|\bcc0\b"
+                  r"|(?:released|distributed) under|under the terms of|subject to the terms of", re.I)
 # What one of the cues contains, in lower case: a text without any is done.
-HINTS = ("licens", "licenc", "copyright", "rights reserved", "permission", "redistribut", "public domain", "spdx", "cc by", "cc-by", "cc0")
+HINTS = ("licens", "licenc", "copyright", "rights reserved", "permission", "redistribut", "public domain", "spdx", "cc by", "cc-by", "cc0",
+         "released under", "distributed under", "the terms of")
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*", re.I)
 
 #: Characters before and after a license word: a sentence that names a license, and a whole notice.
 SCALES = ((80, 120), (700, 1600))
-BLOCK_CHARS, OVERLAP = 4000, 1600
+#: Characters of a block and of what neighbouring blocks share, for each scale: the longest wording fits into the overlap.
+BLOCKS = ((320, 160), (4000, 1600))
 SLACK = 0.12
-LEVEL = 19
+LEVEL = 9
+MARK = "0"  # a word in the place of what was confirmed, so that its neighbours do not meet
 OUT = ("doc_id long, license string, start long, length long, saved long, n_differences long, "
        "differences array<string>, wording string")
 
@@ -161,29 +185,39 @@ class Scanner:
 
     def __init__(self, given: dict[str, list[Wording]] | None = None):
         self.wordings = given or wordings()
-        plain = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=False, write_checksum=False)
-        self.plain = zstandard.ZstdCompressor(compression_params=plain)
+        self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.with_dict = {}
         for license_id, own in self.wordings.items():
             data = "\n".join(w.text for w in own).encode()
             held = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.with_dict[license_id] = zstandard.ZstdCompressor(dict_data=held, compression_params=plain)
+            held.precompute_compress(level=LEVEL)
+            self.with_dict[license_id] = zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False)
 
-    def ranked(self, block: str) -> list[tuple[int, str]]:
-        """(bytes saved, license) of all licenses, those first whose wordings shorten the block most.
-
-        In a list of many licenses each saves little, so none is left out for saving less than another.
-        """
+    def candidates(self, block: str) -> list[tuple[int, str]]:
+        """(bytes saved, license), largest first, of the licenses that save more than unrelated ones do."""
         data = block.encode("utf-8", "replace")
         size = len(self.plain.compress(data))
-        return sorted(((size - len(c.compress(data)), i) for i, c in self.with_dict.items()), key=lambda s: (-s[0], s[1]))
+        saved = {i: size - len(c.compress(data)) for i, c in self.with_dict.items()}
+        unrelated = sorted(saved.values())[(len(saved) - 1) // 2]
+        return sorted(((n, i) for i, n in saved.items() if n > max(unrelated, 0)), key=lambda s: (-s[0], s[1]))
 
     def confirmed(self, block: str) -> list[tuple]:
-        """(start, end, license, saved, differences, wording) of the wordings that stand in the block."""
+        """(start, end, license, saved, differences, wording) of the wordings that stand in the block.
+
+        Every round blanks some words, so there are at most as many rounds as wordings in the block.
+        """
+        found: list[tuple] = []
+        while fresh := self._round(block):
+            found += fresh
+            for start, end, *_ in fresh:
+                block = f"{block[:start]}{MARK}{' ' * (end - start - len(MARK))}{block[end:]}"
+        return _apart(found)
+
+    def _round(self, block: str) -> list[tuple]:
         spans = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(block)]
-        words = [s[0] for s in spans]
-        held, found = set(words), []
-        for saved, license_id in self.ranked(block):
+        words, found = [s[0] for s in spans], []
+        held = set(words)
+        for saved, license_id in self.candidates(block):
             for wording in self.wordings[license_id]:
                 allowed = int(SLACK * len(wording.words))
                 if len(set(wording.words) - held) > allowed or not all(any(set(run) <= held for run in runs) for runs in wording.name):
@@ -210,10 +244,12 @@ def _within(name: list[str], words: list[str]) -> bool:
 def _apart(found: list[tuple]) -> list[tuple]:
     """Findings that do not overlap: longest wording first, then fewest differences."""
     kept: list[tuple] = []
-    for f in sorted(set((*x[:4], tuple(x[4]), x[5]) for x in found), key=lambda x: (-len(x[5].split()) + 2 * len(x[4]), len(x[4]), x[0], x[2], x[5])):
-        if all(f[1] <= k[0] or k[1] <= f[0] for k in kept):
-            kept.append(f)
-    return sorted(kept)
+    unique = set((*x[:4], tuple(x[4]), x[5]) for x in found)
+    for f in sorted(unique, key=lambda x: (-len(x[5].split()) + 2 * len(x[4]), len(x[4]), x[0], x[2], -x[3], x[5])):
+        at = bisect.bisect(kept, f[0], key=lambda k: k[0])
+        if (not at or kept[at - 1][1] <= f[0]) and (at == len(kept) or f[1] <= kept[at][0]):
+            kept.insert(at, f)
+    return kept
 
 
 def aligned(wording: list[str], words: list[str], allowed: int) -> list[tuple[int, int, list[str]]]:
@@ -262,7 +298,8 @@ def _traced(table: np.ndarray, wording: list[str], words: list[str], j: int) ->
 
 def blocks_of(text: str, before: int, after: int) -> list[tuple[int, int]]:
     """Stretches of ``before`` characters before and ``after`` behind each license word, short ones no further than
-    the next blank line (clauses of a notice stand apart); stretches that meet are joined and cut into overlapping blocks of ``BLOCK_CHARS``."""
+    the next blank line (clauses of a notice stand apart); stretches that meet are joined and cut into overlapping blocks."""
+    size, shared = BLOCKS[after >= SCALES[-1][1]]
     joined: list[list[int]] = []
     for m in CUES.finditer(text):
         low, high = max(0, m.start() - before), min(len(text), m.end() + after)
@@ -276,7 +313,7 @@ def blocks_of(text: str, before: int, after: int) -> list[tuple[int, int]]:
             joined.append([low, high])
     out = []
     for low, high in joined:
-        out += [(at, min(high, at + BLOCK_CHARS)) for at in range(low, max(low + 1, high - OVERLAP), BLOCK_CHARS - OVERLAP)]
+        out += [(at, min(high, at + size)) for at in range(low, max(low + 1, high - shared), size - shared)]
     return out
 
 
