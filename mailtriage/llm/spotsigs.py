@@ -127,7 +127,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     extra = (rows.join(F.broadcast(before), rows["doc_id"].eqNullSafe(before["id"]) & (rows["_h"] == before["h"]))
              .dropDuplicates(["before"]).select("doc_id", "text", "_h", F.col("before").alias("_g"), F.lit(1).alias("_extra")))
     both = rows.select("doc_id", "text", "_h", "_g", F.lit(0).alias("_extra")).unionByName(extra)
-    both = with_spots(both, "text", "signatures")
+    both = with_spots(both.repartition("_g"), "text", "signatures")  # behind the exchange, which carries texts only
     one_by_one = Window.partitionBy("_g").orderBy("_extra", F.col("doc_id").asc_nulls_last(), "_h")
     return (both.withColumn("next_text", F.lead("text").over(one_by_one)).withColumn("next_signatures", F.lead("signatures").over(one_by_one))
             .where("_extra = 0").select("doc_id", "text", "signatures", "next_text", "next_signatures"))
