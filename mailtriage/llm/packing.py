@@ -29,7 +29,7 @@ BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 LONG_RUN = 1 << 16
 RUNS = re.compile(f"(?<!{BLANK}){BLANK}{{{LONG_RUN},}}")
 
-PIECES = "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long"
+PIECES = "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, bucket int"
 FLUSH_IDS = 1 << 20
 
 
@@ -99,7 +99,11 @@ def piece_lengths(n: int, limit: int) -> list[int]:
 
 def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int = 1, id_col: str = "doc_id",
          text_col: str = "text", added_tokens: bool = False) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset.
+    """One row per piece: doc_id, start, length, ids, ids_crc32, doc_tokens, bucket, sequence_id, offset.
+
+    ``bucket`` is the binary logarithm of the length: sequences of one bucket are equally long.  A task gives its
+    pieces bucket by bucket, about ``FLUSH_IDS`` ids at a time, and ``sequence_id`` follows that order, so a batch of
+    consecutive sequences is of one length but for few.  ``write_buckets`` lays them out in one folder a bucket.
 
     Texts are whole.  With ``added_tokens``, a special-token string in a text is its one id, as in the default
     settings of the tokenizers library; else it is ordinary text.  A null or empty text is its end id
@@ -140,13 +144,17 @@ def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int =
 
 
 def _arrow(rows: list[tuple], flat: list[np.ndarray]) -> pa.RecordBatch:
+    """The pieces, longest bucket first and else in the order they came."""
     doc_id, start, length, crc, tokens = (pa.array(c, pa.int64()) for c in zip(*rows))
-    ends = np.concatenate([[0], np.cumsum(length.to_numpy())]).astype("i4")
+    sizes = length.to_numpy()
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype("i4")
     ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat).astype("i4")))
-    return pa.RecordBatch.from_arrays([doc_id, start, length, ids, crc, tokens],
-                                      ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens"])
+    bucket = pa.array([int(n).bit_length() - 1 for n in sizes], pa.int32())
+    pieces = pa.RecordBatch.from_arrays([doc_id, start, length, ids, crc, tokens, bucket],
+                                        ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "bucket"])
+    return pieces.take(pa.array(np.argsort(-sizes, kind="stable")))
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:
-    """Write token sequences into one folder per length, ready to be read a bucket at a time."""
-    pieces.write.partitionBy("length").parquet(path)
+    """Write token sequences into one folder per bucket, ready to be read a bucket at a time."""
+    pieces.write.partitionBy("bucket").parquet(path)

@@ -14,13 +14,20 @@ from mailtriage.llm import sql
 from mailtriage.llm.common import fold
 from mailtriage.session import staging_dir
 
-PII_KEY = b"mailtriage pseudonym key"
+#: Key of the pseudonyms; whoever has it can undo them, so a real job sets its own.
+PII_KEY_SETTING, PII_KEY = "spark.mailtriage.pii.key", b"mailtriage pseudonym key"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pii_key(spark: SparkSession) -> bytes:
+    """The session's key; without one the demonstration key, so that the queries run anywhere."""
+    found = spark.conf.get(PII_KEY_SETTING, None)
+    return found.encode() if found else PII_KEY
+
+
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,7 +44,7 @@ def op3_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), pii_key(spark))
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +79,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
-    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "bucket", "sequence_id", "offset")
 
 
 def op11_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,6 +86,22 @@ def test_pack_splits_by_binary_digits():
     assert sum(packing.piece_lengths(987_654, 2048)) == 987_654
 
 
+def test_pieces_come_by_bucket(spark, documents, tmp_path):
+    pieces = packing.pack(documents.repartition(2), BYTE_BPE)
+    rows = pieces.withColumn("part", F.spark_partition_id()).orderBy("sequence_id").collect()
+    assert all(r["length"] == 1 << r["bucket"] for r in rows)
+    for part in {r["part"] for r in rows}:
+        lengths = [r["length"] for r in rows if r["part"] == part]
+        assert lengths == sorted(lengths, reverse=True)
+    packing.write_buckets(pieces, f"{tmp_path}/buckets")
+    back = spark.read.parquet(f"{tmp_path}/buckets")
+    assert back.count() == len(rows)
+    for bucket in {r["bucket"] for r in rows}:
+        one = spark.read.parquet(f"{tmp_path}/buckets/bucket={bucket}")
+        assert one.where(F.size("ids") != 1 << bucket).count() == 0
+        assert one.count() == sum(r["bucket"] == bucket for r in rows)
+
+
 def test_pack_bad_limit_and_empty_table(none):
     with pytest.raises(ValueError):
         packing.pack(none, BYTE_BPE, limit=100)
@@ -709,16 +725,47 @@ def test_lists_of_many_licenses():
     scanner = licenses.Scanner()
     lines = {i: f"Licensed under the {names[-1]}." for i, names in licenses.NAMES.items()}
     lines |= {i: licenses.NOTICES[i][0] for i in ("BSD", "BSD-4-Clause")}
+    rng = random.Random(9)
     lines |= {"Unlicense": licenses.NOTICES["Unlicense"][0], "all-rights-reserved": "All rights reserved."}
     eight = ("MIT", "ISC", "Apache-2.0", "BSD-3-Clause", "CC-BY-4.0", "EPL-2.0", "GPL-2.0", "LGPL-3.0")
     assert set(lines) == set(scanner.wordings)
-    for ids in (eight, list(lines)[:8], list(lines)):
+    for ids in (eight, list(lines)[:8], list(lines), *(rng.sample(list(lines), n) for n in range(1, len(lines) + 1) for _ in range(4))):
         text = "\n".join(f"lib{k}: {lines[i]}" for k, i in enumerate(ids))
         found = scanner.scan(text)
         assert [f[2] for f in found] == list(ids)
         assert all(text[f[0] : f[1]] == lines[f[2]].rstrip(".") for f in found)
 
 
+def test_findings_follow_the_dictionaries():
+    """With the dictionaries handed to other licenses, a wording no longer stands out and is not confirmed."""
+    scanner, swapped = licenses.Scanner(), licenses.Scanner()
+    ids = list(swapped.with_dict)
+    swapped.with_dict = dict(zip(ids, [swapped.with_dict[i] for i in ids[len(ids) // 2 :] + ids[: len(ids) // 2]]))
+    lines = [f"Licensed under the {names[0]}." for names in licenses.NAMES.values()]
+    assert all(scanner.scan(line) for line in lines)
+    assert np.mean([scanner.scan(line) == swapped.scan(line) for line in lines]) < 0.2
+    for line in lines:
+        assert scanner.candidates(line)[0][0] > 10
+
+
+def test_every_name_in_every_form_is_found():
+    scanner, rng = licenses.Scanner(), random.Random(1)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    for license_id, names in licenses.NAMES.items():
+        for name in names:
+            for form in licenses.FORMS:
+                text = f"{words(30)}.\n{form.format(name)}.\n{words(40)}"
+                assert license_id in {f[2] for f in scanner.scan(text)}, text
+
+
+def test_long_lists_of_licenses_take_linear_time():
+    scanner, names = licenses.Scanner(), [n[-1] for n in licenses.NAMES.values()]
+    text = "\n".join(f"lib{k}: Licensed under the {names[k % len(names)]}." for k in range(1_000))
+    began = time.monotonic()
+    found = scanner.scan(text)
+    assert len(found) == 1_000 and time.monotonic() - began < 30
+
+
 def test_notices_name_their_license():
     scanner = licenses.Scanner()
 
