@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mailtriage.llm.bits import TABLE_BITS, BitTable
 from mailtriage.llm.common import column_of, documents, fold, text_groups, texts_of
 from mailtriage.session import staged_table
 
@@ -155,17 +156,39 @@ def labelled(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
              text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """Training rows (doc_id, text, toxic): ids outside the held-out fold with a label of 0 or 1, each id once.
 
-    Of equal texts with equal labels one row stays, so that copies are no evidence of their own.  The joins carry no
-    hint: the planner broadcasts by measured bytes.
+    Of equal texts with equal labels one row stays, so that copies are no evidence of their own.
     """
     docs = documents(docs, id_col, text_col)
+    return _with_labels(docs, labelled_ids(docs, labels, folds, held, id_col, label_col))
+
+
+def labelled_ids(docs: DataFrame, labels: DataFrame, folds: int, held: int, id_col: str, label_col: str) -> DataFrame:
+    """(doc_id, toxic) of the training rows, staged: no text is shuffled."""
     keys = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
             .where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held))
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     prints = docs.select("doc_id", F.xxhash64("text").alias("a"), F.crc32(F.col("text").cast("binary")).alias("b"))
-    kept = staged_table(prints.join(keys, "doc_id").groupBy("a", "b", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    return staged_table(prints.join(keys, "doc_id").groupBy("a", "b", "toxic").agg(F.min("doc_id").alias("doc_id"))
                         .select("doc_id", "toxic"), "labelled")
-    return docs.join(kept, "doc_id")
+
+
+def _with_labels(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """``docs`` joined with the staged rows ``kept``: texts whose id is surely not among them are dropped where they are
+    read, by a bit table of fixed size, and are not shuffled.
+
+    The join is a merge at any size: it needs no memory for a side, and its shuffle grows with the labelled texts.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << TABLE_BITS)).alias("place")
+    table = docs.sparkSession.sparkContext.broadcast(BitTable.empty().grown(kept.select(place)).bits)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        for batch in batches:
+            at = column_of(batch, "place").to_numpy()
+            yield batch.filter(pa.array((bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)))
+
+    likely = docs.select("doc_id", "text", place).mapInArrow(run, "doc_id long, text string, place long")
+    return likely.drop("place").join(kept.hint("merge"), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, min_docs: int = 4, margin: float = 6.0,
@@ -178,12 +201,13 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, min_d
     its beginning the more telling one.  The curve is fitted on about ``curve_rows`` labelled rows chosen by hash.  Without labels of both kinds the lexicon is empty and all
     scores are 0.
     """
-    rows = labelled(docs, labels, folds, held)
-    by = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    docs = documents(docs)
+    kept = labelled_ids(docs, labels, folds, held, "doc_id", "toxic")
+    by = {r["toxic"]: r["n"] for r in docs.select("doc_id").join(kept, "doc_id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     pos, neg = by.get(1, 0), by.get(0, 0)
     if not pos or not neg:
         return Lexicon(exceptions=exceptions)
-    counts = staged_table(_term_counts(rows).where(F.col("toxic") >= min_docs), "terms")
+    counts = staged_table(_term_counts(_with_labels(docs, kept)).where(F.col("toxic") >= min_docs), "terms")
     evidence = 2 * float(np.log(max(2, counts.count()))) + margin
     a, b = F.col("toxic") + F.lit(0.5), F.col("other") + F.lit(0.5)
     n, share = a + b, pos / (pos + neg)
@@ -193,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, min_d
               .orderBy(F.desc("evidence"), "term").limit(lexicon_size).collect())
     lexicon = Lexicon(_telling({r["term"]: (float(r["weight"]), r["toxic"]) for r in picked}), exceptions)
     share = min(1.0, curve_rows / (pos + neg))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share))
+    sample = _with_labels(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share)), kept)
     points = [(r["sum"], r["density"], r["toxic"]) for r in _features(sample, lexicon, "toxic").collect()]
     lexicon.curve = _logistic(np.array(points, float).reshape(-1, 3))
     return lexicon
