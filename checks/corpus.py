@@ -51,7 +51,7 @@ def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     page_url = F.when(doc % 2 == 0, F.col("url"))
     deck_url = _pick(link, dict(enumerate(LINK_DECK)))
-    address = F.regexp_extract("text", r"[a-z]+[.][0-9]+@[a-z0-9]+[.]example[.]com", 0)
+    address = F.when(F.contains("text", F.lit("@")), F.regexp_extract("text", r"[a-z]+[.][0-9]+@[a-z0-9]+[.]example[.]com", 0)).otherwise("")
     page_host = F.regexp_extract("url", r"^https?://([^/:?#]+)", 1)
     sender = (
         F.when(address != "", F.concat(F.lit("Doc <"), address, F.lit(">")))

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, functions as F
 
 from mailtriage import constants as K
-from mailtriage.functions.literals import among
+from mailtriage.functions.literals import among, no_strings
 
 # white space as a text user sees it, with the four ASCII separators Java leaves out
 _SPACE = r"[\s\x1c-\x1f]"
@@ -245,6 +245,30 @@ def term_hits(text: Column, terms: Iterable[str]) -> Column:
     return found[0] if len(found) == 1 else F.concat(*found)
 
 
+def term_pieces(text: Column, terms: Iterable[str]) -> Column:
+    """What lies between blanks in a lower-cased text and may hold one of the terms, joined by blanks.
+
+    A piece of the letters a to z alone holds a term only if it is one.  No match for a term
+    without blanks crosses a blank, so :func:`term_hits` and :func:`token_terms` find the
+    same in the pieces as in the text, in the same order, and read a fraction of it.
+    """
+    terms = list(terms)
+    if not terms or any(" " in t for t in terms):
+        return text
+    held, shortest = rf"(?<![a-z])(?:{one_of(terms)})(?![a-z])", min(map(len, terms))
+    return F.array_join(F.filter(F.split(text, " "), lambda w: (F.length(w) >= shortest) & (
+        (w.rlike("[^a-z]") & w.rlike(held)) | w.isin(terms))), " ")
+
+
+def phrase_count(text: Column, phrase: str) -> Column:
+    """How often a phrase occurs in a lower-cased text, with any white space for its blanks.
+
+    The pattern begins with the letters of the first word, which the engine finds by leaps.
+    """
+    first, *others = map(re.escape, phrase.split(" "))
+    return F.regexp_count(text, F.lit(rf"(?U){first}(?<=\b{first})" + "".join(f"{_SPACE}+{w}" for w in others) + r"\b"))
+
+
 def count_term(text: Column, term: str | Column) -> Column:
     """Whole-word, case-insensitive count; the term may come from a column."""
     if isinstance(term, Column):

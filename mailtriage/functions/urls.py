@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 
 from mailtriage import constants as K
 from mailtriage.functions import text as X
-from mailtriage.functions.literals import among
+from mailtriage.functions.literals import among, no_strings
 
 _LABEL = r"[a-zA-Z0-9](?:[a-zA-Z0-9\-]{0,61}[a-zA-Z0-9])?"
 # possessive groups: the engine loops over them instead of recursing into them
@@ -87,12 +87,17 @@ def raw_urls(message: Column) -> Column:
     return F.when(F.size(found) > 0, found)
 
 
-def body_domains(body: Column, suffixes: Iterable[str] | None = None) -> Column:
-    """Distinct registrable domains of the links in a body, first seen first; null if none."""
+def link_domains(body: Column, suffixes: Iterable[str] | None = None) -> Column:
+    """Distinct registrable domains of the links in a body, first seen first."""
     found = F.regexp_extract_all(body, F.lit(_BODY_URL), F.lit(0))
     hosts = F.transform(found, lambda u: F.lower(F.regexp_extract(
         u, r"^(?:https?://)?([^/?#]*)", 1)))
-    domains = F.array_distinct(F.transform(hosts, lambda h: registrable(h, suffixes)))
+    return F.array_distinct(F.transform(hosts, lambda h: registrable(h, suffixes)))
+
+
+def body_domains(body: Column, suffixes: Iterable[str] | None = None) -> Column:
+    """:func:`link_domains`, null if none."""
+    domains = link_domains(body, suffixes)
     return F.when(F.size(domains) > 0, domains)
 
 
@@ -114,8 +119,9 @@ def hostname(candidate: Column) -> Column:
 def text_domains(c: Column, suffixes: Iterable[str] | None = None) -> Column:
     """Registrable domains of links and addresses in a text, with repeats."""
     text = F.coalesce(c, F.lit(""))
-    hosts = F.concat(F.regexp_extract_all(text, F.lit(_TEXT_URL), F.lit(1)),
-                     F.regexp_extract_all(text, F.lit(_TEXT_ADDRESS), F.lit(1)))
+    # the pattern of addresses weighs every word; few texts have an address
+    addresses = F.when(F.contains(text, F.lit("@")), F.regexp_extract_all(text, F.lit(_TEXT_ADDRESS), F.lit(1))).otherwise(no_strings())
+    hosts = F.concat(F.regexp_extract_all(text, F.lit(_TEXT_URL), F.lit(1)), addresses)
     return F.transform(hosts, lambda h: registrable(h, suffixes))
 
 

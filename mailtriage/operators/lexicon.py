@@ -1,18 +1,22 @@
 """Keyword and phrase score of a mail.
 
-A text is read once by one alternation of all keywords (and once per group of phrases
-that cannot overlap).  What remains is arithmetic on the short list of hits, so the score
-needs no join and no shuffle and works in a stream.  Weights are whole numbers and all
+A text is cut at its blanks once; one alternation of all keywords reads the few pieces
+that may hold one, and a phrase is looked for where its keywords occur.  What remains is
+arithmetic on the short list of hits, so the score needs no join and no shuffle and works
+in a stream.  Weights are whole numbers and all
 factors are multiples of 0.05: the score is counted in twentieths and is exact.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mailtriage import constants as K
 from mailtriage.functions import text as X
-from mailtriage.functions.literals import mapping, strings
+from mailtriage.functions.literals import mapping, no_strings, strings
 from mailtriage.operators.lookup import is_small, lookup
 
 _UNIT = 20
@@ -39,21 +43,22 @@ def lexicon_score(mails: DataFrame, subject: str = "subject", body: str = "body"
     words_of = mapping({p: " ".join(w for w in p.split() if w in keywords) for p in phrases})
 
     # Stages keep every regex result in a column, so that none is evaluated twice.  Only the
-    # keyword pass reads all texts; if every phrase holds a keyword, the rest of the work
-    # is left to mails with a hit.
-    hits = mails.withColumns({
-        "_hs": X.term_hits(F.lower(F.coalesce(F.col(subject), F.lit(""))), keywords),
-        "_hb": X.term_hits(F.lower(F.coalesce(F.col(body), F.lit(""))), keywords),
-    })
-    gated = all(set(p.split()) & set(keywords) for p in phrases)
-    some = (F.size("_hs") + F.size("_hb") > 0) if gated else F.lit(True)
-    text = F.when(some, X.strip(F.concat(X.normalise(F.col(subject)), F.lit(" "), X.normalise(F.col(body)))))
-    texts = hits.withColumn("_all", F.coalesce(text, F.lit("")))
-    named = texts.withColumns({
-        "_words": F.array_distinct(F.concat("_hs", "_hb")), "_hp": X.term_hits(F.col("_all"), phrases),
-        "_tokens": X.token_terms(F.col("_all"), keywords),
-    }).withColumn("_phrases", F.array_distinct("_hp")).withColumn("_matched", F.array_union("_words", F.flatten(
-        F.transform("_phrases", lambda p: F.filter(F.split(words_of[p], " "), lambda w: w != "")))))
+    # cut at blanks reads all texts; a phrase that holds keywords is looked for in mails
+    # with all of them, and order matters from two words on.
+    lowered = mails.withColumns({"_ls": F.lower(F.coalesce(F.col(subject), F.lit(""))), "_lb": F.lower(F.coalesce(F.col(body), F.lit("")))})
+    pieces = lowered.withColumns({"_ps": X.term_pieces(F.col("_ls"), keywords), "_pb": X.term_pieces(F.col("_lb"), keywords)})
+    hits = pieces.withColumns({"_hs": X.term_hits(F.col("_ps"), keywords), "_hb": X.term_hits(F.col("_pb"), keywords)})
+    text = F.concat("_ls", F.lit(" "), "_lb")
+
+    def found(p: str) -> Column:
+        held = [F.array_contains("_words", w) for w in dict.fromkeys(p.split()) if w in keywords]
+        return F.struct(F.lit(p).alias("phrase"), F.when(reduce(and_, held, F.lit(True)), X.phrase_count(text, p)).otherwise(0).alias("n"))
+
+    named = hits.withColumn("_words", F.array_distinct(F.concat("_hs", "_hb"))).withColumn(
+        "_phrases", F.filter(F.array(*map(found, phrases)), lambda p: p["n"] > 0)).withColumn(
+        "_matched", F.array_union("_words", F.flatten(F.transform(
+            "_phrases", lambda p: F.filter(F.split(words_of[p["phrase"]], " "), lambda w: w != ""))))).withColumn(
+        "_tokens", F.when(F.size("_matched") > 1, X.token_terms(F.concat("_ps", F.lit(" "), "_pb"), keywords)).otherwise(no_strings()))
 
     def keyword_points(k: Column) -> Column:
         w, repeats = weight[k], _times(F.col("_hb"), k) - 1
@@ -62,7 +67,7 @@ def lexicon_score(mails: DataFrame, subject: str = "subject", body: str = "body"
                 + F.greatest(F.lit(0), F.least(w * 7, w * 3 * repeats)))
 
     def phrase_points(p: Column) -> Column:
-        return phrase_weight[p] * _UNIT * F.least(F.lit(2), _times(F.col("_hp"), p))
+        return phrase_weight[p["phrase"]] * _UNIT * F.least(F.lit(2), p["n"])
 
     bonus = (F.least(F.lit(18 * _UNIT), F.size("_matched") * 35)
              + F.when(_in(F.col("_matched"), K.ADULT_CLUSTER) >= 3, 15 * _UNIT).otherwise(0)
@@ -78,7 +83,7 @@ def lexicon_score(mails: DataFrame, subject: str = "subject", body: str = "body"
         "keyword_label": F.when(score >= 50, "Spam").otherwise("Safe"),
         "matched": X.ordered_matches(F.col("_tokens"), F.col("_matched")),
     }).withColumn("keywords", X.clean_keywords(F.col("matched"))).drop(
-        "_all", "_hs", "_hb", "_hp", "_tokens", "_words", "_phrases", "_matched", "_k", "_p", "_x")
+        "_ls", "_lb", "_ps", "_pb", "_hs", "_hb", "_tokens", "_words", "_phrases", "_matched", "_k", "_p", "_x")
 
 
 def keyword_hits(mails: DataFrame, terms: DataFrame, key: str = "email_id", subject: str = "subject",

@@ -46,7 +46,7 @@ def mail_requests(mails: DataFrame, key: str) -> DataFrame:
 
 def raw_links(body: Column, url: Column, suffixes: Iterable[str] | None = None) -> Column:
     """Domains of the body's links followed by the supplied URL, first seen first."""
-    found = F.coalesce(U.body_domains(body, suffixes), no_strings())
+    found = F.coalesce(U.link_domains(body, suffixes), no_strings())
     return X.first_seen(F.concat(found, F.array(url)))
 
 

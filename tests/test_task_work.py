@@ -9,7 +9,9 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from mailtriage.operators import explain as E, ngrams as NG, tfidf as T
+from mailtriage import constants as K
+from mailtriage.functions import text as X, urls as U
+from mailtriage.operators import explain as E, ngrams as NG, scoring as S, tfidf as T
 from mailtriage.plans import train as TR
 
 
@@ -71,3 +73,41 @@ def test_top_reasons_of_rows_with_one_key(spark):
     df = spark.createDataFrame(rows, "email_id long, contributions array<struct<source:string,value:string,contribution:double>>")
     got = sorted((r["email_id"], r["place"], r["reason"], r["impact"]) for r in E.top_reason_rows(df, limit=2).collect())
     assert got == [(1, 1, 'Body contains "beta"', 0.75), (1, 2, 'Body contains "alpha"', 0.5)]
+
+
+ODD_TEXTS = [
+    "verify verify.verify re-verify 'verify' éverify verify2 reverify verify\tverify  (click) click—here clicḱ login_ login‍",
+    "reset your \n password, password reset reset password\x1creset your passwords click  here.", "i̇accept ä otp o-t-p otp", "", " ", "plain words only",
+    "verify your account verify your\naccount xverify your account verify your account2 verify  your account", None,
+]
+
+
+def test_pieces_hold_every_hit_and_little_else(spark):
+    df = spark.createDataFrame([(t,) for t in ODD_TEXTS], "t string").withColumn("p", X.term_pieces(F.col("t"), K.KEYWORD_WEIGHTS))
+    for find in (X.term_hits, X.token_terms):
+        for r in df.select("t", find(F.col("t"), K.KEYWORD_WEIGHTS).alias("a"), find(F.col("p"), K.KEYWORD_WEIGHTS).alias("b")).collect():
+            assert r["a"] == r["b"], r["t"]
+    assert [r["p"] for r in df.where("t = 'plain words only'").collect()] == [""]
+    assert X.term_pieces(F.col("t"), ["log in"])._jc.toString() == F.col("t")._jc.toString()
+
+
+@pytest.mark.parametrize("phrase", K.PHRASE_WEIGHTS)
+def test_phrases_are_counted_in_the_raw_text(spark, phrase):
+    text = F.concat(F.lower(F.coalesce("t", F.lit(""))), F.lit(f" {phrase} {phrase}s {phrase.replace(' ', chr(0xa0) + chr(10))} x{phrase} {phrase}"))
+    rows = spark.createDataFrame([(t,) for t in ODD_TEXTS], "t string").select(
+        X.phrase_count(text, phrase).alias("n"), F.size(X.term_hits(X.normalise(text), [phrase])).alias("m")).collect()
+    assert all(r["n"] == r["m"] >= 3 for r in rows)
+
+
+def test_links_of_a_body_are_cut_out_once(spark):
+    df = spark.createDataFrame([("see https://a.example.com/x and www.b.org", ""), (None, "u")], "body string, url string").select(
+        S.raw_links(F.col("body"), F.col("url")).alias("links"))
+    assert [r["links"] for r in df.collect()] == [["example.com", "b.org"], ["u"]]
+    assert str(df._jdf.queryExecution().analyzed()).count("regexp_extract_all") == 1
+
+
+def test_addresses_are_looked_for_in_texts_with_one(spark):
+    df = spark.createDataFrame([("write to a.b@mail.example.com or https://c.org/x",), ("no such sign",), ("@",), (None,)], "t string")
+    found = df.select(U.text_domains(F.col("t")).alias("d"))
+    assert [r["d"] for r in found.collect()] == [["c.org", "example.com"], [], [], []]
+    assert "contains" in str(found._jdf.queryExecution().analyzed()).lower()
