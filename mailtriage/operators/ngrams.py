@@ -44,9 +44,9 @@ def char_text(text: Column) -> Column:
     return X.normalise(text)
 
 
-def _cuts(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(first row, rows) of groups of about GROUP_BYTES, one row at least."""
-    group = (np.cumsum(sizes) - sizes) // GROUP_BYTES if len(sizes) else sizes
+def _cuts(sizes: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of groups of about GROUP_BYTES, or ``most``, one row at least."""
+    group = (np.cumsum(sizes) - sizes) // (most or GROUP_BYTES) if len(sizes) else sizes
     cuts = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
     for start, end in zip(cuts, [*cuts[1:], len(sizes)]):
         yield start, end - start
@@ -56,6 +56,11 @@ def _bytes(texts: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def cuts(columns: Iterable[pa.Array], most: int) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of groups of about so many bytes of text columns taken together."""
+    return _cuts(sum(_bytes(c) for c in columns), most)
+
+
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of about GROUP_BYTES of text: all columns are texts."""
     for batch in batches:

@@ -10,7 +10,6 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import SQLTransformer
@@ -220,31 +219,51 @@ def _term_entries(words: bool, terms: list[str]) -> Callable[[pa.Array], tuple[n
     return entries
 
 
+VECTOR_BYTES = 512 << 10  # of text at a time while vectors are made
+VECTORS = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+
+
+def _block_vectors(entries: list[Callable], weights: list[np.ndarray], columns: tuple[pa.Array, ...]) -> Iterator[pa.Array]:
+    """Normed vectors of texts, one column a block, block behind block: a piece for every VECTOR_BYTES of text."""
+    first = np.cumsum([0, *map(len, weights)])
+    for start, n in NG.cuts(columns, VECTOR_BYTES):
+        found = []
+        for column, known, weight, at in zip(columns, entries, weights, first):
+            row, number, count = known(column.slice(start, n))
+            value = (1 + np.log(count)) * weight[number]
+            norm = np.sqrt(np.bincount(row, value * value, minlength=n))
+            found.append((row, number + at, value / norm[row]))
+        row, number, value = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(row, kind="stable")
+        ends = pa.array(np.searchsorted(row[order], np.arange(n + 1)).astype(np.int32))
+        yield pa.StructArray.from_arrays(
+            [pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, first[-1], np.int32)), pa.ListArray.from_arrays(ends, pa.array(number[order].astype(np.int32))),
+             pa.ListArray.from_arrays(ends, pa.array(value[order]))], fields=list(VECTORS))
+
+
+def register_blocks(spark: SparkSession, function: str, blocks: list[tuple[bool, list[str], list[float]]]) -> None:
+    """Register the vector function of some blocks (words or characters, terms, weights), which takes a text column for
+    each; a saved model needs it again after loading.  One worker makes all vectors of a task, a piece at a time."""
+    @F.arrow_udf(VectorUDT())
+    def vectors(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        entries = [_term_entries(words, terms) for words, terms, _ in blocks]
+        weights = [np.array(w, float) for _, _, w in blocks]
+        for batch in batches:
+            yield from _block_vectors(entries, weights, batch if isinstance(batch, tuple) else (batch,))
+
+    spark.udf.register(function, vectors)
+
+
 def register_block(spark: SparkSession, function: str, words: bool, terms: list[str], weights: list[float]) -> None:
-    """Register a block's vector function; a saved model needs it again after loading."""
-
-    @F.pandas_udf(VectorUDT())
-    def block_vector(texts: pd.Series) -> pd.DataFrame:
-        entries = _term_entries(words, terms)
-        indices, values = [], []
-        for group in NG.text_groups(pa.array(texts, pa.string(), from_pandas=True)):
-            row, number, count = entries(group)
-            value = (1 + np.log(count)) * np.array(weights)[number]
-            norm = np.sqrt(np.bincount(row, value * value, minlength=len(group)))
-            value /= norm[row]
-            cuts = np.searchsorted(row, np.arange(1, len(group)))
-            indices += np.split(number.astype(np.int32), cuts)
-            values += np.split(value, cuts)
-        return pd.DataFrame({"type": np.zeros(len(indices), np.int8), "size": np.full(len(indices), len(terms), np.int32),
-                             "indices": pd.Series(indices, dtype=object), "values": pd.Series(values, dtype=object)})
-
-    spark.udf.register(function, block_vector)
+    """Register the vector function of one block."""
+    register_blocks(spark, function, [(words, terms, weights)])
 
 
 def block_weights(vocab: list, n_rows: int) -> list[float]:
     return [float(np.log((1.0 + n_rows) / (1.0 + r["df"])) + 1.0) for r in vocab]
 
 
-def block_stage(block: Block, function: str) -> SQLTransformer:
-    """Stage that turns a text column into a normed TF-IDF vector named like the block."""
-    return SQLTransformer(statement=f"SELECT *, {function}({block.text}) AS {block.name} FROM __THIS__")
+def block_stage(blocks: list[Block], function: str, name: str) -> SQLTransformer:
+    """Stage that turns the blocks' text columns into one vector, every block normed by itself."""
+    texts = ", ".join(b.text for b in blocks)
+    return SQLTransformer(statement=f"SELECT *, {function}({texts}) AS {name} FROM __THIS__")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import ElementwiseProduct, SQLTransformer, VectorAssembler
@@ -23,6 +25,7 @@ from mailtriage.schemas import require_columns
 from mailtriage.session import staged_table
 
 SOLVER_ROWS = 2000  # rows of a solver partition at least
+TERMS = "term_weights"  # the vector of all blocks
 
 
 @dataclass
@@ -33,7 +36,7 @@ class TrainedModel:
     feature_names: list  # (source, value) per vector position
     metrics: dict = field(default_factory=dict)
     weights: list = field(default_factory=list)  # inverse document frequency per vector position, 1 for numeric ones
-    functions: dict = field(default_factory=dict)  # vector function by block
+    functions: dict = field(default_factory=dict)  # name of the vector function by block
 
 
 def feature_table(df: DataFrame, keep: Iterable[str], stops: Iterable[str] | None = None,
@@ -51,7 +54,7 @@ def term_table(df: DataFrame, keep: Iterable[str], stops: Iterable[str] | None =
 def _numeric_stages(scaling: list) -> list:
     scaled = ", ".join(f"({r['feature']} - ({r['mean']!r})) / ({r['std']!r}) AS z_{r['feature']}" for r in scaling)
     return [SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
-            VectorAssembler(inputCols=[b.name for b in T.BLOCKS] + [f"z_{c}" for c in K.NUMERIC_COLUMNS],
+            VectorAssembler(inputCols=[TERMS] + [f"z_{c}" for c in K.NUMERIC_COLUMNS],
                             outputCol="features")]
 
 
@@ -64,17 +67,17 @@ def feature_stages(spark: SparkSession, train: DataFrame) -> tuple[list, Trained
     kept: dict[str, list] = {b.name: [] for b in T.BLOCKS}
     for r in T.block_vocabularies(train).orderBy("block", F.desc("tf"), "term").collect():
         kept[r["block"]].append(r)
-    stages, made = [], TrainedModel(None, [])
+    blocks, made, function = [], TrainedModel(None, []), f"{TERMS}_{uuid.uuid4().hex}"
     for block in T.BLOCKS:
         if not kept[block.name]:
             raise ValueError(f"no term of block {block.name} occurs in {K.MIN_DOC_FREQ} mails")
         terms, weights = [r["term"] for r in kept[block.name]], T.block_weights(kept[block.name], n_train)
-        made.functions[block.name] = f"{block.name}_{uuid.uuid4().hex}"
-        T.register_block(spark, made.functions[block.name], block.words, terms, weights)
-        stages.append(T.block_stage(block, made.functions[block.name]))
+        made.functions[block.name] = function
+        blocks.append((block.words, terms, weights))
         made.feature_names += [(block.name, t) for t in terms]
         made.weights += weights
-    stages += _numeric_stages(M.scaling(train).collect())
+    T.register_blocks(spark, function, blocks)
+    stages = [T.block_stage(T.BLOCKS, function, TERMS), *_numeric_stages(M.scaling(train).collect())]
     made.feature_names += [("numeric", c) for c in K.NUMERIC_COLUMNS]
     made.weights += [1.0] * len(K.NUMERIC_COLUMNS)
     return stages, made
@@ -131,7 +134,7 @@ def gradient(fitted: TrainedModel, vectors: DataFrame) -> tuple[np.ndarray, floa
     solved = fitted.model.stages[-1]
     margin = solved.transform(vectors).withColumn("_r", F.col("weight") * (vector_to_array("probability")[1] - F.col("label")))
     total = margin.agg(F.sum("weight"), F.sum("_r")).first()
-    entries = margin.select("_r", F.posexplode(vector_to_array("features")).alias("i", "x")).where("x <> 0")
+    entries = margin.select("_r", F.inline(vector_entries("features")))
     sums = {r["i"]: r["g"] for r in entries.groupBy("i").agg(F.sum(F.col("_r") * F.col("x")).alias("g")).collect()}
     coefficients = solved.coefficients.toArray()
     slopes = np.array([sums.get(i, 0.0) for i in range(len(coefficients))]) / total[0]
@@ -161,18 +164,11 @@ def predict(fitted: TrainedModel, mails: DataFrame, key: str = "email_id") -> Da
 
 
 def vector_entries(vectors: str) -> Column:
-    """array<struct<i, x>>: the entries of a vector column other than 0."""
-    @F.pandas_udf("array<struct<i:int,x:double>>")
-    def entries(column: pd.DataFrame) -> pd.Series:
-        def nonzero(indices, values):
-            values = np.asarray(values, float)
-            places = np.flatnonzero(values)
-            numbers = places if indices is None else np.asarray(indices)[places]
-            return [{"i": i, "x": x} for i, x in zip(numbers.tolist(), values[places].tolist())]
-
-        return pd.Series([nonzero(i, v) for i, v in zip(column["indices"], column["values"])], dtype=object)
-
-    return entries(vectors)
+    """array<struct<i, x>>: the entries of a vector column other than 0, without a copy for Python."""
+    held = F.unwrap_udt(vectors)
+    places = F.when(held["type"] == 0, held["indices"]).otherwise(F.slice(F.sequence(F.lit(0), F.size(held["values"])), 1, F.size(held["values"])))
+    entries = F.zip_with(places, held["values"], lambda i, x: F.struct(i.alias("i"), x.alias("x")))
+    return F.filter(entries, lambda e: e["x"] != 0)
 
 
 def _indicators(fitted: TrainedModel, vectors: DataFrame, limit: int, name_numeric: bool) -> DataFrame:
@@ -191,25 +187,32 @@ def _indicators(fitted: TrainedModel, vectors: DataFrame, limit: int, name_numer
     held = spark.sparkContext.broadcast((np.array([place.get(r, -1) for r in reasons], np.int64), spelt))
     scaled = ElementwiseProduct(scalingVec=Vectors.dense(coefficients), inputCol="features", outputCol="_products")
 
-    @F.pandas_udf("array<struct<reason:string,impact:double>>")
-    def strongest(products: pd.DataFrame) -> pd.Series:
-        places, spelt = held.value
+    # sources whose features have reasons, as runs of places: other entries do not leave the vector
+    runs = [(min(p), max(p)) for p in ([i for i, (s, _) in enumerate(fitted.feature_names) if s == source and reasons[i] is not None]
+                                       for source in dict.fromkeys(s for s, _ in fitted.feature_names)) if p]
 
-        def top(indices, values):
-            values = np.asarray(values, float)
-            reason = places if indices is None else places[np.asarray(indices)]
-            known = (values > 0) & (reason >= 0)
-            reason, values = reason[known], values[known]
-            found: dict[int, float] = {}
-            for at in np.lexsort((reason, -values)):
-                if len(found) == limit:
-                    break
-                found.setdefault(int(reason[at]), float(values[at]))
-            return [{"reason": spelt[r], "impact": x} for r, x in found.items()]
-
-        return pd.Series([top(i, v) for i, v in zip(products["indices"], products["values"])], dtype=object)
-
-    rows = scaled.transform(vectors).withColumn("_top", strongest("_products"))
+    @F.arrow_udf("array<struct<reason:string,impact:double>>")
+    def strongest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        places, spelt = held.value
+        spelt = pa.array(spelt, pa.string())
+        for batch in batches:
+            found, value = (x.to_numpy(zero_copy_only=False) for x in batch.flatten().flatten())
+            row, reason = np.repeat(np.arange(len(batch)), pc.list_value_length(batch).to_numpy(zero_copy_only=False)), places[found]
+            known = reason >= 0
+            row, reason, value = row[known], reason[known], value[known]
+            order = np.lexsort((-value, reason, row))  # of the features of one reason the strongest
+            row, reason, value = row[order], reason[order], value[order]
+            first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(reason, prepend=-1) != 0))
+            row, reason, value = row[first], reason[first], value[first]
+            order = np.lexsort((reason, -value, row))
+            order = order[np.arange(len(row)) - np.searchsorted(row, row) < limit]
+            row, reason, value = row[order], reason[order], value[order]
+            entries = pa.StructArray.from_arrays([spelt.take(pa.array(reason)), pa.array(value)], names=["reason", "impact"])
+            yield pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(batch) + 1)).astype(np.int32)), entries)
+
+    positive = F.filter(vector_entries("_products"), lambda e: (e["x"] > 0) & functools.reduce(
+        Column.__or__, [e["i"].between(*run) for run in runs], F.lit(False)))
+    rows = scaled.transform(vectors).withColumn("_top", strongest(positive))
     return rows.withColumn("model_indicators", F.transform("_top", lambda x: F.struct(
         x["reason"].alias("reason"), F.bround(x["impact"], 4).alias("impact")))).drop("_top", "_products")
 
@@ -275,11 +278,13 @@ def load(spark: SparkSession, path: str) -> TrainedModel:
     if folder is None:
         raise FileNotFoundError(f"no model has been published in {path}")
     rows = spark.read.parquet(f"{folder}/features").orderBy("i").collect()
-    functions = {}
+    functions, blocks = {}, {}  # blocks by function: models of earlier versions have one for each block
     for block in T.BLOCKS:
         own = [r for r in rows if r["source"] == block.name]
         functions[block.name] = own[0]["function"]
-        T.register_block(spark, own[0]["function"], block.words, [r["value"] for r in own], [r["weight"] for r in own])
+        blocks.setdefault(own[0]["function"], []).append((block.words, [r["value"] for r in own], [r["weight"] for r in own]))
+    for function, held in blocks.items():
+        T.register_blocks(spark, function, held)
     model = PipelineModel.load(f"{folder}/model")
     metrics = spark.read.json(f"{folder}/metrics").first().asDict()
     return TrainedModel(model, [(r["source"], r["value"]) for r in rows], metrics, [r["weight"] for r in rows], functions)

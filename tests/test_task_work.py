@@ -111,3 +111,20 @@ def test_addresses_are_looked_for_in_texts_with_one(spark):
     found = df.select(U.text_domains(F.col("t")).alias("d"))
     assert [r["d"] for r in found.collect()] == [["c.org", "example.com"], [], [], []]
     assert "contains" in str(found._jdf.queryExecution().analyzed()).lower()
+
+
+def test_vectors_of_all_blocks_are_made_in_pieces(monkeypatch):
+    texts = [pa.array(["ab cd", None, "cd", "ab ab"]), pa.array(["", "cd ab", "cd", None])]
+    entries = [T._term_entries(True, ["ab", "cd"]), T._term_entries(False, [" cd", "ab "])]
+    weights = [np.array([1.0, 2.0]), np.array([3.0, 4.0])]
+    whole = [v for p in T._block_vectors(entries, weights, texts) for v in p.to_pylist()]
+    monkeypatch.setattr(T, "VECTOR_BYTES", 4)
+    pieces = list(T._block_vectors(entries, weights, texts))
+    assert len(pieces) > 2 and [v for p in pieces for v in p.to_pylist()] == whole
+    assert [v["indices"] for v in whole] == [[0, 1], [2, 3], [1, 2], [0]] and {v["size"] for v in whole} == {4}
+    assert np.allclose(whole[1]["values"], [0.6, 0.8])
+
+
+def test_entries_of_a_vector_are_not_sent_to_python(spark):
+    df = spark.createDataFrame([(Vectors.sparse(4, [1, 3], [0.0, -2.5]),)], ["v"])
+    assert "Python" not in plan_of(df.select(TR.vector_entries("v").alias("e")))
