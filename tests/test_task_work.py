@@ -13,6 +13,7 @@ from mailtriage import constants as K
 from mailtriage.functions import text as X, urls as U
 from mailtriage.operators import explain as E, ngrams as NG, scoring as S, tfidf as T
 from mailtriage.plans import train as TR
+from mailtriage.session import staged_table
 
 
 def plan_of(df):
@@ -128,3 +129,15 @@ def test_vectors_of_all_blocks_are_made_in_pieces(monkeypatch):
 def test_entries_of_a_vector_are_not_sent_to_python(spark):
     df = spark.createDataFrame([(Vectors.sparse(4, [1, 3], [0.0, -2.5]),)], ["v"])
     assert "Python" not in plan_of(df.select(TR.vector_entries("v").alias("e")))
+
+
+def test_staged_tables_are_made_of_small_batches(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+
+    texts = spark.range(24, numPartitions=1).select(F.repeat(F.lit("a"), 1 << 20).alias("t"))
+    found = [r["n"] for r in staged_table(texts.mapInArrow(sizes, "n long"), "sizes").collect()]
+    assert sum(found) >= 24 << 20 and max(found) <= 10 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
