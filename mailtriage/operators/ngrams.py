@@ -124,6 +124,14 @@ def distinct(numbers: np.ndarray) -> np.ndarray:
     return numbers[np.concatenate([[True], numbers[1:] != numbers[:-1]])] if len(numbers) else numbers
 
 
+def repeated(owner: np.ndarray, owners: int, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of all entries of each owner asked for, one after the other, how many each has) in sorted ``owner``."""
+    first = np.searchsorted(owner, np.arange(owners + 1))
+    sizes = np.diff(first)[asked]
+    ends = np.cumsum(sizes)
+    return np.repeat(first[asked] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0), sizes
+
+
 def _counted(key: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys, occurrences, rows that hold them)."""
     found = distinct(key)
@@ -187,12 +195,8 @@ class _Words:
         grams = max(len(found), 1)
         tf = np.bincount(code, self.tf[word], len(found)).astype(np.int64)
         inside = distinct(word * grams + code)  # each n-gram of a word once
-        first = np.searchsorted(inside // grams, np.arange(len(self.spelt) + 1))
-        sizes = np.diff(first)[self.pair_word]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        gram = (inside % grams)[np.repeat(first[self.pair_word] - ends + sizes, sizes) + np.arange(total)]
-        row = np.repeat(self.pair_row, sizes)
+        places, sizes = repeated(inside // grams, len(self.spelt), self.pair_word)
+        gram, row, total = (inside % grams)[places], np.repeat(self.pair_row, sizes), len(places)
         rows = int(row[-1]) + 1 if total else 0
         if rows * grams <= DENSE * total:
             seen = np.zeros(rows * grams, bool)
@@ -327,9 +331,9 @@ def vocabularies(df: DataFrame, words: dict[str, str], chars: dict[str, str], si
 
     The result is that of counting everything.  Each task hands on a summary: its most frequent terms, and the largest
     count it left out.  Summed, these give every term a lower and an upper bound; terms whose upper bound reaches the
-    lower bound of the last wanted one are candidates, and a second pass counts just those.  Where a term that no
-    summary holds could still be wanted, or too many terms are candidates, summaries grow fourfold and the pass is
-    repeated; at last they leave nothing out.
+    lower bound of the last wanted one are candidates, and a second pass counts just those, in blocks of which a summary left
+    something out.  Where a term that no summary holds could still be wanted, or too many terms are candidates, summaries
+    grow fourfold and the pass is repeated; at last they leave nothing out.
     """
     df = df.select(*dict.fromkeys([*words.values(), *chars.values()]))
     factor, largest = first, 1 << 30
@@ -346,15 +350,15 @@ def vocabularies(df: DataFrame, words: dict[str, str], chars: dict[str, str], si
         bounds = seen.join(F.broadcast(last), "block", "left").withColumn("kth", F.coalesce("kth", F.lit(0)))
         wanted = bounds.where(F.expr("low + left_out - known >= kth"))
         summary = wanted.groupBy("block").agg(F.count("*").alias("n"), F.first("left_out").alias("left_out"), F.first("kth").alias("kth")).collect()
-        whole = all(r["left_out"] == 0 for r in summary)
-        certain = all(r["left_out"] < r["kth"] and r["n"] <= MOST_CANDIDATES * sizes[r["block"]] for r in summary)
-        if whole or not summary:  # nothing was left out: the sums are the counts
-            exact = seen.select("block", "term", F.col("low").alias("tf"), "df")
-        elif certain:
-            exact = staged_table(_recounted(df, words, chars, wanted.select("block", "term")), "counts")
-        else:
+        whole = {r["block"] for r in summary if r["left_out"] == 0}  # nothing was left out: the sums are the counts
+        if any(r["block"] not in whole and not (r["left_out"] < r["kth"] and r["n"] <= MOST_CANDIDATES * sizes[r["block"]]) for r in summary):
             factor *= 4
             continue
+        exact = seen.where(F.col("block").isin(*whole)).select("block", "term", F.col("low").alias("tf"), "df")
+        open_blocks = {r["block"] for r in summary} - whole
+        if open_blocks:
+            again = [{b: t for b, t in texts.items() if b in open_blocks} for texts in (words, chars)]
+            exact = exact.unionByName(staged_table(_recounted(df, *again, wanted.where(F.col("block").isin(*open_blocks)).select("block", "term")), "counts"))
         return _most_frequent(exact, "tf", sizes, min_df).select("block", "term", "tf", "df")
 
 
@@ -378,4 +382,5 @@ def _recounted(df: DataFrame, words: dict[str, str], chars: dict[str, str], cand
             yield pa.RecordBatch.from_arrays([pa.array([block] * len(keep), pa.string()), found.take(pa.array(keep)), pa.array(tf[keep]), pa.array(held[keep])],
                                              ["block", "term", "tf", "df"])
 
-    return df.mapInArrow(run, STATS).groupBy("block", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    texts = df.select(*dict.fromkeys([*words.values(), *chars.values()]))
+    return texts.mapInArrow(run, STATS).groupBy("block", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))

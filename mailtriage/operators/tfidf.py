@@ -191,19 +191,27 @@ class _CharTerms:
             order = np.argsort(keys)
             self.known[n] = keys[order], np.array(places, np.int64)[order]
 
-    def hits(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        points, row = NG.code_points(texts)
-        code, rows, numbers = self.number[points], [], []
+    def hits(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, term number, occurrences): n-grams never cross words, so they are looked up in the distinct words."""
+        spelt, row, code, _, _ = NG.word_grams(texts)
+        size = max(len(spelt), 1)
+        pairs, times = np.unique(row * size + code, return_counts=True)
+        row, word = pairs // size, pairs % size
+        points, owner = NG.code_points(spelt)
+        code, words, numbers = self.number[points], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for n, (keys, places) in self.known.items():
             if not len(keys):
                 continue
-            at = NG.windows(points, row, n)
+            at = NG.windows(points, owner, n)
             key = NG.packed(code, at, n, self.base)
             found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             same = keys[found] == key
-            rows.append(row[at[same]])
+            words.append(owner[at[same]])
             numbers.append(places[found[same]])
-        return (np.concatenate(rows), np.concatenate(numbers)) if rows else (np.zeros(0, np.int64),) * 2
+        words, numbers = np.concatenate(words), np.concatenate(numbers)
+        order = np.argsort(words, kind="stable")
+        places, sizes = NG.repeated(words[order], len(spelt), word)
+        return np.repeat(row, sizes), numbers[order][places], np.repeat(times, sizes)
 
 
 def _term_entries(words: bool, terms: list[str]) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -211,10 +219,19 @@ def _term_entries(words: bool, terms: list[str]) -> Callable[[pa.Array], tuple[n
     known = pa.array(terms, pa.string()) if words else _CharTerms(terms)
 
     def entries(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        row, number = _word_hits(texts, known) if words else known.hits(texts)
-        held = number >= 0
-        place, count = np.unique(row[held] * len(terms) + number[held], return_counts=True)
-        return place // len(terms), place % len(terms), count
+        if words:
+            row, number = _word_hits(texts, known)
+            row, number = row[number >= 0], number[number >= 0]
+            count = np.ones(len(row), np.int64)
+        else:
+            row, number, count = known.hits(texts)
+        place, size = row * len(terms) + number, len(texts) * len(terms)
+        if size <= 2 * len(place):  # a table of all texts by all terms is no larger than the hits
+            count = np.bincount(place, count, size).astype(np.int64)
+            place = np.flatnonzero(count)
+            return place // len(terms), place % len(terms), count[place]
+        place, which = np.unique(place, return_inverse=True)
+        return place // len(terms), place % len(terms), np.bincount(which, count, len(place)).astype(np.int64)
 
     return entries
 

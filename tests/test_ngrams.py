@@ -116,3 +116,12 @@ def test_a_broken_save_leaves_the_published_model(spark, tmp_path, monkeypatch):
     assert trained and TR.published(spark, path) == f"{path}/versions/v1"
     TR.publish(spark, path, "v2")
     assert TR.published(spark, path) == f"{path}/versions/v2"
+
+
+def test_only_blocks_that_left_something_out_are_counted_again(spark, monkeypatch):
+    again, recounted = [], NG._recounted
+    monkeypatch.setattr(NG, "_recounted", lambda df, words, chars, wanted: again.append((words, chars)) or recounted(df, words, chars, wanted))
+    df = spark.createDataFrame([("ab ab ab ab cd cd ef", "ab ab cd")] * 3 + [("ab gh ij kl", "ab")], "w string, c string")
+    got = {(r["block"], r["term"]): (r["tf"], r["df"]) for r in NG.vocabularies(df, {"words": "w"}, {"chars": "c"}, {"words": 1, "chars": 9}, first=3).collect()}
+    assert got[("words", "ab")] == (13, 4) and got[("chars", " ab")] == (7, 4)
+    assert again == [({"words": "w"}, {})]
